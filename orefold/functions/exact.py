@@ -18,6 +18,11 @@ _SPLIT_LIMIT = 1e9
 _MILLION = 1_000_000
 
 
+def weighted_count(value: Column, copies: Column) -> Column:
+    """How many values are not NULL, each standing for ``copies`` of itself."""
+    return F.coalesce(F.sum(F.when(value.isNotNull(), copies)), F.lit(0).cast("bigint"))
+
+
 class ExactSum:
     """Aggregates for one summed column; they can be aggregated again after a join."""
 
@@ -31,17 +36,18 @@ class ExactSum:
     def columns(self) -> list[str]:
         return [self.units, self.micros, self.rest, self.count]
 
-    def first(self, value: Column) -> list[Column]:
-        """Aggregates over raw rows."""
+    def first(self, value: Column, copies: Column | None = None) -> list[Column]:
+        """Aggregates over raw rows, each standing for ``copies`` of itself."""
         value = value.cast("double")
+        times = F.lit(1).cast("bigint") if copies is None else copies
         fits = F.abs(value) < _SPLIT_LIMIT
         whole = F.floor(value)
         millionths = F.rint((value - whole) * float(_MILLION)).cast("bigint")
         return [
-            F.sum(F.when(fits, whole)).cast("decimal(28,0)").alias(self.units),
-            F.sum(F.when(fits, millionths)).cast("decimal(28,0)").alias(self.micros),
-            F.sum(F.when(~fits, value)).alias(self.rest),
-            F.count(value).alias(self.count),
+            F.sum(F.when(fits, whole * times)).cast("decimal(28,0)").alias(self.units),
+            F.sum(F.when(fits, millionths * times)).cast("decimal(28,0)").alias(self.micros),
+            F.sum(F.when(~fits, value * times)).alias(self.rest),
+            weighted_count(value, times).alias(self.count),
         ]
 
     def again(self, copies: Column) -> list[Column]:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, functions as F
 
 from .fixed import USD_RATES
+from .numbers import round_cents
 
 
 def to_usd(amount: Column, currency: Column, rates: Mapping[str, float] = USD_RATES) -> Column:
@@ -17,4 +18,4 @@ def to_usd(amount: Column, currency: Column, rates: Mapping[str, float] = USD_RA
     rate = F.lit(1.0)
     for code, value in reversed(list(rates.items())):
         rate = F.when(currency == code, F.lit(float(value))).otherwise(rate)
-    return F.round(amount * rate, 2)
+    return round_cents(amount.cast("double") * rate)

@@ -1,22 +1,23 @@
-"""Left join of pre-aggregated facts with a dimension.
+"""Left joins of facts with a dimension that is not trusted to be small or unique.
 
-The metrics never join raw fact rows. Facts are first aggregated by the join key,
-which map-side combine does before any shuffle: a key that holds a third of the
-facts leaves each map task as one row. The dimension is likewise reduced to its
-distinct rows with a ``copies`` count, because a duplicated key must multiply the
-facts it meets, and copies of one row must not meet in one task.
+``distinct_with_copies`` reduces a dimension to its distinct rows with a ``copies``
+count, because a duplicated key must multiply the facts it meets, and copies of
+one row must neither meet in one task nor multiply rows in flight.
 
-No broadcast is forced. Spark broadcasts a side only under its own size limit,
-and adaptive execution measures the reduced sides before it decides; beyond the
-limit the join is a sort-merge join of two reduced sides.
+``fits_broadcast`` measures the dimension. Below the limit the facts can be joined
+as they are read and are never shuffled by key. Beyond it they are first
+aggregated by the join key, which map-side combine does before the shuffle: a key
+that holds a third of the facts leaves each map task as one row, and
+``join_dimension`` then joins two reduced sides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+BROADCAST_LIMIT = 64 * 1024 * 1024
 COPIES = "_copies"
 _SALT = "_salt"
 _SALTS = "_salts"
@@ -31,6 +32,24 @@ def distinct_with_copies(dimension: DataFrame, key: str, attributes: Sequence[st
     )
 
 
+def fits_broadcast(
+    dimension: DataFrame, columns: Sequence[str], limit: int = BROADCAST_LIMIT
+) -> bool:
+    """Whether these columns of ``dimension`` measure at most ``limit`` bytes.
+
+    The measure is an aggregate over the columns alone; one number comes back.
+    """
+    if limit <= 0:
+        return False
+    size = F.lit(16)
+    for name in columns:
+        text = isinstance(dimension.schema[name].dataType, (T.StringType, T.BinaryType))
+        width = F.coalesce(F.octet_length(name), F.lit(0)) + 8 if text else F.lit(8)
+        size = size + width
+    total = dimension.agg(F.sum(size.cast("bigint"))).first()[0]
+    return (total or 0) <= limit
+
+
 def join_dimension(
     facts: DataFrame, dimension: DataFrame, key: str, attributes: Sequence[str], salts: int = 1
 ) -> DataFrame:

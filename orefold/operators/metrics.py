@@ -1,21 +1,29 @@
 """Gold metrics.
 
-Each one aggregates the facts by their join key first (see ``joins``), so only
-partial sums per key cross the network. Sums are exact and do not depend on
-row order. Sorted results break ties by key, which makes the order total and lets
-the range sort split a run of equal values.
+Only partial sums cross the network, never fact rows: a metric per course is
+aggregated before its join, one per attribute of the course after a broadcast join
+or, if the courses are too many for that, around it (see ``joins``). Sums are exact
+and do not depend on row order. Sorted results break ties by key, which makes the
+order total and lets the range sort split a run of equal values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.exact import ExactSum
+from ..functions.exact import ExactSum, weighted_count
 from ..functions.numbers import number
 from .clean import with_completion
-from .joins import copies, join_dimension
+from .joins import (
+    BROADCAST_LIMIT,
+    copies,
+    distinct_with_copies,
+    fits_broadcast,
+    join_dimension,
+)
 
 _MONEY = ExactSum("_money")
 _PERCENT = ExactSum("_percent")
@@ -73,9 +81,36 @@ def completion_rate_single_round(
     )
 
 
-def _money_by(enrollments: DataFrame, amount: str, enrollment: str, *keys: str) -> DataFrame:
-    return enrollments.groupBy(*keys).agg(
-        F.count(enrollment).alias(_ROWS), *_MONEY.first(number(enrollments, amount))
+def _money_by_attribute(
+    enrollments: DataFrame,
+    courses: DataFrame,
+    amount: str,
+    enrollment: str,
+    course: str,
+    attribute: str,
+    others: Sequence[str],
+    salts: int,
+    broadcast_limit: int,
+) -> DataFrame:
+    """Money and rows by an attribute of the course and ``others`` of the facts."""
+    value = number(enrollments, amount)
+    if fits_broadcast(courses, [course, attribute], broadcast_limit):
+        small = F.broadcast(distinct_with_copies(courses, course, [attribute]))
+        return (
+            enrollments.join(small, course, "left")
+            .groupBy(attribute, *others)
+            .agg(
+                weighted_count(F.col(enrollment), copies()).alias(_ROWS),
+                *_MONEY.first(value, copies()),
+            )
+        )
+    per_course = enrollments.groupBy(course, *others).agg(
+        F.count(enrollment).alias(_ROWS), *_MONEY.first(value)
+    )
+    return (
+        join_dimension(per_course, courses, course, [attribute], salts)
+        .groupBy(attribute, *others)
+        .agg(F.sum(F.col(_ROWS) * copies()).alias(_ROWS), *_MONEY.again(copies()))
     )
 
 
@@ -91,17 +126,15 @@ def revenue_by_instructor(
     country: str = "country",
     k: int | None = None,
     salts: int = 1,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per instructor, highest revenue first.
 
     Enrollments without a known course form the group with a NULL instructor. Pass
     ``amount="payment_amount"`` for sums of the unconverted amounts.
     """
-    per_course = _money_by(enrollments, amount, enrollment, course)
-    per_instructor = (
-        join_dimension(per_course, courses, course, [instructor], salts)
-        .groupBy(instructor)
-        .agg(F.sum(F.col(_ROWS) * copies()).alias(_ROWS), *_MONEY.again(copies()))
+    per_instructor = _money_by_attribute(
+        enrollments, courses, amount, enrollment, course, instructor, [], salts, broadcast_limit
     )
     result = join_dimension(per_instructor, instructors, instructor, [name, country], salts).select(
         instructor,
@@ -158,21 +191,16 @@ def revenue_by_category(
     category: str = "category",
     k: int | None = None,
     salts: int = 1,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per category, highest revenue first.
 
     The NULL category holds enrollments whose course is unknown.
     """
-    per_course = _money_by(enrollments, amount, enrollment, course)
-    result = (
-        join_dimension(per_course, courses, course, [category], salts)
-        .groupBy(category)
-        .agg(F.sum(F.col(_ROWS) * copies()).alias(_ROWS), *_MONEY.again(copies()))
-        .select(
-            category,
-            _MONEY.total().alias("revenue_usd"),
-            F.col(_ROWS).alias("inscripciones"),
-        )
+    result = _money_by_attribute(
+        enrollments, courses, amount, enrollment, course, category, [], salts, broadcast_limit
+    ).select(
+        category, _MONEY.total().alias("revenue_usd"), F.col(_ROWS).alias("inscripciones")
     )
     return _sorted(result, [F.desc("revenue_usd"), F.asc(category)], k)
 
@@ -186,23 +214,20 @@ def revenue_by_category_month(
     category: str = "category",
     enrolled_at: str = "enrolled_at",
     salts: int = 1,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per category and first day of the month."""
     day = F.col(enrolled_at).try_cast("timestamp_ntz")
     dated = enrollments.withColumn("month", F.trunc(day.cast("date"), "month"))
-    per_course = _money_by(dated, amount, enrollment, course, "month")
-    return (
-        join_dimension(per_course, courses, course, [category], salts)
-        .groupBy(category, "month")
-        .agg(F.sum(F.col(_ROWS) * copies()).alias(_ROWS), *_MONEY.again(copies()))
-        .select(
-            category,
-            "month",
-            _MONEY.total().alias("revenue_usd"),
-            F.col(_ROWS).alias("inscripciones"),
-        )
-        .orderBy(F.asc(category), F.asc("month"))
+    per_month = _money_by_attribute(
+        dated, courses, amount, enrollment, course, category, ["month"], salts, broadcast_limit
     )
+    return per_month.select(
+        category,
+        "month",
+        _MONEY.total().alias("revenue_usd"),
+        F.col(_ROWS).alias("inscripciones"),
+    ).orderBy(F.asc(category), F.asc("month"))
 
 
 def headline_totals(

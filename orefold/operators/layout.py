@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _HASH = "_row_hash"
 _POSITION = "_row_position"
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    unsupported = (T.MapType, T.VariantType)
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, unsupported)]
+def _row_hash(df: DataFrame) -> Column:
+    """A hash over all columns; Spark hashes no maps, so those go in as JSON text."""
+
+    def part(field: T.StructField) -> Column:
+        name = field.dataType.simpleString()
+        return F.to_json(F.struct(field.name)) if "map<" in name else F.col(field.name)
+
+    return F.xxhash64(*[part(f) for f in df.schema.fields])
 
 
 def cluster_by(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
@@ -20,15 +25,16 @@ def cluster_by(df: DataFrame, column: str, partitions: int | None = None) -> Dat
     read skips the files outside by their Parquet statistics. A value that fills a
     large part of the table is split further by a hash of the row, and copies of
     one row by position, so no single task receives the whole value. Positions are
-    given after a sort within the task: a repeated task gives the same ones.
+    given after a sort by the hash within the task, so that a repeated task gives
+    the same ones whatever the order in which its rows arrive.
 
     ``partitions`` defaults to the session's shuffle partitions, which adaptive
     execution then joins up to its advisory size.
     """
     kept = df.columns
     placed = (
-        df.withColumn(_HASH, F.xxhash64(*_hashable(df)))
-        .sortWithinPartitions(column, _HASH)
+        df.withColumn(_HASH, _row_hash(df))
+        .sortWithinPartitions(_HASH)
         .withColumn(_POSITION, F.monotonically_increasing_id())
     )
     keys = [column, _HASH, _POSITION]

@@ -21,7 +21,7 @@ from ..functions.fixed import (
 from ..operators import audit, clean, metrics, quality
 from ..operators.layout import cluster_by
 from ..sources.csv_files import read_csv
-from ..sources.tables import overwrite_table
+from ..sources.tables import overwrite_table, overwrite_tables
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "enrollments": clean.with_usd,
@@ -57,11 +57,13 @@ class Layers:
         return audit.layer_rejections(self.bronze, self.silver)
 
 
+def _store(layer: str, frames: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
+    stored = overwrite_tables({f"{schema}.{layer}_{e}": df for e, df in frames.items()})
+    return dict(zip(frames, stored.values()))
+
+
 def load_bronze(spark: SparkSession, landing: str, schema: str) -> dict[str, DataFrame]:
-    return {
-        entity: overwrite_table(read_csv(spark, landing, entity), f"{schema}.bronze_{entity}")
-        for entity in ENTITIES
-    }
+    return _store("bronze", {e: read_csv(spark, landing, e) for e in ENTITIES}, schema)
 
 
 def build_silver(
@@ -72,15 +74,15 @@ def build_silver(
 ) -> dict[str, DataFrame]:
     """Clean each entity. ``check_rules`` also applies the quality rules, and
     ``cluster_enrollments`` lays the enrollments out by that column."""
-    stored = {}
+    clean_rows = {}
     for entity, df in bronze.items():
         if check_rules and entity in _RULES:
             df = quality.apply_rules(df, _RULES[entity](df))
         cleaned = SILVER[entity](df)
         if entity == "enrollments" and cluster_enrollments:
             cleaned = cluster_by(cleaned, cluster_enrollments)
-        stored[entity] = overwrite_table(cleaned, f"{schema}.silver_{entity}")
-    return stored
+        clean_rows[entity] = cleaned
+    return _store("silver", clean_rows, schema)
 
 
 def build_gold(silver: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
@@ -95,8 +97,8 @@ def build_gold(silver: Mapping[str, DataFrame], schema: str) -> dict[str, DataFr
         GOLD_LOW_ENGAGEMENT: metrics.low_engagement(gold[GOLD_COMPLETION], enrollments),
         GOLD_CATEGORIES: metrics.revenue_by_category(enrollments, courses),
     }
-    for name, df in others.items():
-        gold[name] = overwrite_table(df, f"{schema}.{name}")
+    stored = overwrite_tables({f"{schema}.{name}": df for name, df in others.items()})
+    gold.update(zip(others, stored.values()))
     return gold
 
 

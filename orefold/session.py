@@ -25,6 +25,8 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        # Fewer, larger read tasks; a scan-and-write step makes one file per task.
+        .config("spark.sql.files.maxPartitionBytes", "256m")
         # A lost executor may replay a map task whose output order is not fixed;
         # the checksum makes Spark notice and rerun the readers of that output.
         .config("spark.sql.shuffle.orderIndependentChecksum.enabled", "true")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,6 +20,13 @@ def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> Da
     return spark.table(table)
 
 
+def overwrite_tables(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Replace several tables at once, so that small ones fill the gaps of large ones."""
+    with ThreadPoolExecutor(max_workers=max(len(frames), 1)) as pool:
+        stored = pool.map(overwrite_table, frames.values(), frames.keys())
+        return dict(zip(frames, stored))
+
+
 def set_comment(spark: SparkSession, table: str, comment: str) -> None:
     escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"COMMENT ON TABLE {table} IS '{escaped}'")

@@ -13,18 +13,20 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, "")
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        # One host runs everything, so its own temporary folder is shared by all.
-        folder = tempfile.mkdtemp(prefix="orefold-")
-        spark.conf.set(_SETTING, folder)
-        return folder
-    raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
+    # One host runs everything, so its own temporary folder is shared by all.
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="orefold-")
+    return _local_folders[context.applicationId]
 
 
 @dataclass(frozen=True)

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from orefold.plans import batch
@@ -45,6 +47,16 @@ def test_row_counts_read_no_columns(spark, space, landing):
     assert plan.count("ReadSchema: struct<>") == 12
 
 
+def test_shared_folder_without_the_setting():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    local = workspace.shared_folder(session("local[2]"))
+    assert local == workspace.shared_folder(session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(session("yarn"))
+
+
 def test_workspace_lies_in_the_shared_folder(spark, space):
     assert space.folder.startswith(workspace.shared_folder(spark))
-    assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

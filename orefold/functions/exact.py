@@ -9,18 +9,15 @@ large for that split (and NaN) are summed as doubles beside it, so none is lost.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, functions as F
 
 # Below this bound a double still resolves a tenth of a millionth.
-_SPLIT_LIMIT = 1e9
-_MILLION = 1_000_000
+_SPLIT_LIMIT = "1e9"
 
 
-def weighted_count(value: Column, copies: Column) -> Column:
+def weighted_count(value: str, copies: str = "1L") -> str:
     """How many values are not NULL, each standing for ``copies`` of itself."""
-    return F.coalesce(F.sum(F.when(value.isNotNull(), copies)), F.lit(0).cast("bigint"))
+    return f"coalesce(sum(CASE WHEN {value} IS NOT NULL THEN {copies} END), 0L)"
 
 
 class ExactSum:
@@ -32,59 +29,56 @@ class ExactSum:
         self.rest = f"{prefix}_rest"
         self.count = f"{prefix}_count"
 
-    @property
-    def columns(self) -> list[str]:
-        return [self.units, self.micros, self.rest, self.count]
-
-    def first(self, value: Column, copies: Column | None = None) -> list[Column]:
+    def first(self, value: str, copies: str = "1L") -> list[Column]:
         """Aggregates over raw rows, each standing for ``copies`` of itself."""
-        value = value.cast("double")
-        times = F.lit(1).cast("bigint") if copies is None else copies
-        fits = F.abs(value) < _SPLIT_LIMIT
-        whole = F.floor(value)
-        millionths = F.rint((value - whole) * float(_MILLION)).cast("bigint")
+        value = f"CAST({value} AS DOUBLE)"
+        fits = f"abs({value}) < {_SPLIT_LIMIT}"
+        millionths = f"CAST(rint(({value} - floor({value})) * 1e6) AS BIGINT)"
         return [
-            F.sum(F.when(fits, whole * times)).cast("decimal(28,0)").alias(self.units),
-            F.sum(F.when(fits, millionths * times)).cast("decimal(28,0)").alias(self.micros),
-            F.sum(F.when(~fits, value * times)).alias(self.rest),
-            weighted_count(value, times).alias(self.count),
+            F.expr(
+                f"CAST(sum(CASE WHEN {fits} THEN floor({value}) * {copies} END)"
+                f" AS DECIMAL(28, 0)) AS {self.units}"
+            ),
+            F.expr(
+                f"CAST(sum(CASE WHEN {fits} THEN {millionths} * {copies} END)"
+                f" AS DECIMAL(28, 0)) AS {self.micros}"
+            ),
+            F.expr(f"sum(CASE WHEN NOT {fits} THEN {value} * {copies} END) AS {self.rest}"),
+            F.expr(f"{weighted_count(value, copies)} AS {self.count}"),
         ]
 
-    def again(self, copies: Column) -> list[Column]:
+    def again(self, copies: str) -> list[Column]:
         """Aggregates over grouped rows, each standing for ``copies`` of itself."""
-        times = copies.cast("decimal(20,0)")
+        times = f"CAST({copies} AS DECIMAL(20, 0))"
         return [
-            F.sum(F.col(self.units) * times).cast("decimal(28,0)").alias(self.units),
-            F.sum(F.col(self.micros) * times).cast("decimal(28,0)").alias(self.micros),
-            F.sum(F.col(self.rest) * copies).alias(self.rest),
-            F.sum(F.col(self.count) * copies).alias(self.count),
+            F.expr(f"CAST(sum({self.units} * {times}) AS DECIMAL(28, 0)) AS {self.units}"),
+            F.expr(f"CAST(sum({self.micros} * {times}) AS DECIMAL(28, 0)) AS {self.micros}"),
+            F.expr(f"sum({self.rest} * {copies}) AS {self.rest}"),
+            F.expr(f"sum({self.count} * {copies}) AS {self.count}"),
         ]
 
-    def total(self, copies: Column | None = None) -> Column:
+    def total(self, copies: str = "1L") -> Column:
         """The sum, rounded half up to two places, as a double."""
-        units, micros, rest = F.col(self.units), F.col(self.micros), F.col(self.rest)
-        exact = units + micros * F.lit(Decimal("0.000001"))
-        if copies is not None:
-            exact = exact * copies.cast("decimal(20,0)")
-            rest = rest * copies
-        return F.when(rest.isNull(), F.round(exact, 2).cast("double")).otherwise(
-            F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + rest, 2)
+        exact = (
+            f"({self.units} + {self.micros} * 0.000001BD) * CAST({copies} AS DECIMAL(20, 0))"
+        )
+        return F.expr(
+            f"CASE WHEN {self.rest} IS NULL THEN CAST(round({exact}, 2) AS DOUBLE)"
+            f" ELSE round(coalesce(CAST({exact} AS DOUBLE), 0D) + {self.rest} * {copies}, 2) END"
         )
 
     def mean(self) -> Column:
         """The mean, rounded half up to two places, as a double; NULL without values."""
-        units, micros, rest = F.col(self.units), F.col(self.micros), F.col(self.rest)
-        total = (units * _MILLION + micros).cast("decimal(36,0)")
-        # Hundredths = total / (count * 10 000), rounded half away from zero.
-        step = F.col(self.count).cast("decimal(20,0)") * (_MILLION // 100)
-        size = F.call_function("div", F.abs(total) * 2 + step, step * 2)
-        exact = F.when(total < 0, -size).otherwise(size) / F.lit(100.0)
+        micros = f"CAST({self.units} * 1000000 + {self.micros} AS DECIMAL(36, 0))"
+        # Hundredths = micros / (count * 10 000), rounded half away from zero.
+        step = f"CAST({self.count} AS DECIMAL(20, 0)) * 10000"
+        exact = (
+            f"sign({micros}) * ((abs({micros}) * 2 + {step}) DIV ({step} * 2)) / 100D"
+        )
         as_double = (
-            F.coalesce(units.cast("double"), F.lit(0.0))
-            + F.coalesce(micros.cast("double"), F.lit(0.0)) / float(_MILLION)
-            + rest
+            f"(coalesce(CAST({micros} AS DOUBLE), 0D) / 1e6 + {self.rest}) / {self.count}"
         )
-        return F.when(
-            F.col(self.count) > 0,
-            F.when(rest.isNull(), exact).otherwise(F.round(as_double / F.col(self.count), 2)),
+        return F.expr(
+            f"CASE WHEN {self.count} > 0 THEN"
+            f" CASE WHEN {self.rest} IS NULL THEN {exact} ELSE round({as_double}, 2) END END"
         )

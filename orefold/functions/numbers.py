@@ -1,4 +1,4 @@
-"""Numbers out of raw text, and percentages that do not depend on float noise.
+"""Numbers out of raw text, and roundings that do not depend on float noise.
 
 Raw columns are text, and ANSI casts stop a job at the first unreadable value.
 Every number is therefore read with ``try_cast``: unreadable text becomes NULL.
@@ -8,70 +8,70 @@ reaches the Parquet reader.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-# Whole lesson counts up to this bound keep the long arithmetic far from overflow.
-_WHOLE_LIMIT = 1e12
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def number(df: DataFrame, name: str) -> Column:
+
+def number(df: DataFrame, name: str) -> str:
     """Column ``name`` as a number; text becomes double or NULL."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.col(name).try_cast("double")
-    return F.col(name)
+        return f"try_cast({quoted(name)} AS DOUBLE)"
+    return quoted(name)
 
 
-def _not_nan(df: DataFrame, name: str, predicate: Column) -> Column:
+def _at_least(df: DataFrame, name: str, bound: int) -> str:
+    value = number(df, name)
+    predicate = f"{value} >= {bound}"
     # NaN compares above every number in Spark, so it must be excluded by name.
     if isinstance(df.schema[name].dataType, (T.StringType, T.FloatType, T.DoubleType)):
-        return predicate & ~F.isnan(number(df, name))
+        predicate = f"({predicate} AND NOT isnan({value}))"
     return predicate
 
 
-def at_least_one(df: DataFrame, name: str) -> Column:
+def at_least_one(df: DataFrame, name: str) -> str:
     """True where the number, cut to a whole one, is above zero."""
-    return _not_nan(df, name, number(df, name) >= 1)
+    return _at_least(df, name, 1)
 
 
-def not_negative(df: DataFrame, name: str) -> Column:
-    return _not_nan(df, name, number(df, name) >= 0)
+def not_negative(df: DataFrame, name: str) -> str:
+    return _at_least(df, name, 0)
 
 
-def percent(done: Column, total: Column) -> Column:
-    """``done / total * 100`` rounded half up to two places, as a double.
+def percent(done: str, total: str) -> str:
+    """``done / total * 100`` of two doubles, rounded half up to two places.
 
     Whole counts go through long arithmetic, which is exact on ties. Fractions go
     through decimals, and values no decimal can hold through doubles.
     """
-    done, total = done.cast("double"), total.cast("double")
-    whole = (
-        done.between(0, _WHOLE_LIMIT)
-        & total.between(1, _WHOLE_LIMIT)
-        & (F.rint(done) == done)
-        & (F.rint(total) == total)
-    )
-    n, d = done.cast("bigint"), total.cast("bigint")
-    hundredths = F.call_function("div", n * 20000 + d, d * 2)
-    fraction = F.round(
-        F.try_divide(done.try_cast("decimal(18,6)") * 100, total.try_cast("decimal(18,6)")), 2
-    ).cast("double")
-    return F.when(whole, hundredths / F.lit(100.0)).otherwise(
-        F.coalesce(fraction, F.round(F.try_divide(done, total) * 100, 2))
-    )
-
-
-def round_cents(value: Column) -> Column:
+    return f"""CASE
+      WHEN {done} BETWEEN 0 AND 1e12 AND {total} BETWEEN 1 AND 1e12
+           AND rint({done}) = {done} AND rint({total}) = {total}
+      THEN ((CAST({done} AS BIGINT) * 20000 + CAST({total} AS BIGINT))
+            DIV (CAST({total} AS BIGINT) * 2)) / 100D
+      ELSE coalesce(
+        CAST(round(try_divide(try_cast({done} AS DECIMAL(18, 6)) * 100,
+                              try_cast({total} AS DECIMAL(18, 6))), 2) AS DOUBLE),
+        round(try_divide({done}, {total}) * 100, 2))
+      END"""
+
+
+def percent_unrounded(done: str, total: str) -> str:
+    return f"try_divide({done}, {total}) * 100"
+
+
+def round_cents(value: str) -> str:
     """``round(value, 2)`` of a double, with the same result at a fraction of its cost.
 
     ``round`` goes through the decimal text of every value, which decides ties such
     as 1.005. Only values close to a tie, or too large for whole hundredths, need it.
+    Adding zero turns -0.0 into 0.0, as ``round`` does.
     """
-    hundredths = value * 100.0
-    off_tie = F.abs(hundredths - F.floor(hundredths) - 0.5) > 1e-4
-    # Adding zero turns -0.0 into 0.0, as round does.
-    fast = F.rint(hundredths) / 100.0 + 0.0
-    return F.when((F.abs(value) < 1e9) & off_tie, fast).otherwise(F.round(value, 2))
-
-
-def percent_unrounded(done: Column, total: Column) -> Column:
-    return F.try_divide(done.cast("double"), total.cast("double")) * 100
+    hundredths = f"({value}) * 100D"
+    return f"""CASE
+      WHEN abs({value}) < 1e9 AND abs({hundredths} - floor({hundredths}) - 0.5D) > 1e-4
+      THEN rint({hundredths}) / 100D + 0D
+      ELSE round({value}, 2)
+      END"""

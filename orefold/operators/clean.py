@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed import UNCATEGORISED, UNKNOWN_COUNTRY, USD_RATES
 from ..functions.money import to_usd
-from ..functions.numbers import at_least_one, number, percent, percent_unrounded
+from ..functions.numbers import at_least_one, number, percent, percent_unrounded, quoted
 
 
 def fill_country(
@@ -25,8 +25,8 @@ def standardise_category(
     df: DataFrame, column: str = "category", default: str = UNCATEGORISED
 ) -> DataFrame:
     """NULL and the empty string become ``default``; nothing else is touched."""
-    missing = F.col(column).isNull() | (F.col(column) == "")
-    return df.withColumn(column, F.when(missing, F.lit(default)).otherwise(F.col(column)))
+    given = F.expr(f"nullif({quoted(column)}, '')")
+    return df.withColumn(column, F.coalesce(given, F.lit(default)))
 
 
 def valid_progress(df: DataFrame, total: str = "total_lessons") -> DataFrame:
@@ -46,12 +46,12 @@ def with_usd(
     target: str = "payment_usd",
     rates: Mapping[str, float] = USD_RATES,
 ) -> DataFrame:
-    return df.withColumn(target, to_usd(number(df, amount), F.col(currency), rates))
+    return df.withColumn(target, F.expr(to_usd(number(df, amount), quoted(currency), rates)))
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:
     """Replace the columns by their double value, NULL where unreadable."""
-    return df.withColumns({c: number(df, c).cast("double") for c in columns})
+    return df.withColumns({c: F.expr(f"CAST({number(df, c)} AS DOUBLE)") for c in columns})
 
 
 def with_completion(
@@ -64,4 +64,4 @@ def with_completion(
     """Add the completion percentage of each row; it may exceed 100."""
     compute = percent if rounded else percent_unrounded
     typed = as_double(df, done, total)
-    return typed.withColumn(target, compute(F.col(done), F.col(total)))
+    return typed.withColumn(target, F.expr(compute(quoted(done), quoted(total))))

@@ -15,10 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..functions.numbers import quoted
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 COPIES = "_copies"
+# Copies of the matched dimension row; an unmatched fact counts once.
+TIMES = f"coalesce({COPIES}, 1L)"
 _SALT = "_salt"
 _SALTS = "_salts"
 
@@ -41,13 +45,13 @@ def fits_broadcast(
     """
     if limit <= 0:
         return False
-    size = F.lit(16)
+    size = "16L"
     for name in columns:
-        text = isinstance(dimension.schema[name].dataType, (T.StringType, T.BinaryType))
-        width = F.coalesce(F.octet_length(name), F.lit(0)) + 8 if text else F.lit(8)
-        size = size + width
-    total = dimension.agg(F.sum(size.cast("bigint"))).first()[0]
-    return (total or 0) <= limit
+        size += " + 8"
+        if isinstance(dimension.schema[name].dataType, (T.StringType, T.BinaryType)):
+            size += f" + coalesce(octet_length({quoted(name)}), 0)"
+    [row] = dimension.agg(F.expr(f"coalesce(sum({size}), 0L) AS bytes")).collect()
+    return row.bytes <= limit
 
 
 def join_dimension(
@@ -71,8 +75,3 @@ def join_dimension(
         .drop(_SALTS)
     )
     return spread.join(salted, [key, _SALT], "left").drop(_SALT)
-
-
-def copies() -> Column:
-    """Copies of the matched dimension row; an unmatched fact counts once."""
-    return F.coalesce(F.col(COPIES), F.lit(1).cast("bigint"))

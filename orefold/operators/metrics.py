@@ -15,11 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exact import ExactSum, weighted_count
-from ..functions.numbers import number
+from ..functions.numbers import number, quoted
 from .clean import with_completion
 from .joins import (
     BROADCAST_LIMIT,
-    copies,
+    TIMES,
     distinct_with_copies,
     fits_broadcast,
     join_dimension,
@@ -48,13 +48,13 @@ def completion_rate(
     per_course = (
         with_completion(progress)
         .groupBy(course)
-        .agg(F.count(user).alias(_ROWS), *_PERCENT.first(F.col("completion_pct")))
+        .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
     )
     return join_dimension(per_course, courses, course, [title, category], salts).select(
         course,
         title,
         category,
-        (F.col(_ROWS) * copies()).alias("total_usuarios"),
+        F.expr(f"{_ROWS} * {TIMES}").alias("total_usuarios"),
         _PERCENT.mean().alias("avg_completion_pct"),
     )
 
@@ -73,11 +73,11 @@ def completion_rate_single_round(
         .groupBy(course)
         .agg(
             F.count(user).alias(_ROWS),
-            F.round(F.avg("completion_pct"), 2).alias("completion_pct"),
+            F.expr("round(avg(completion_pct), 2) AS completion_pct"),
         )
     )
     return join_dimension(per_course, courses, course, [title], salts).select(
-        course, title, (F.col(_ROWS) * copies()).alias("total_usuarios"), "completion_pct"
+        course, title, F.expr(f"{_ROWS} * {TIMES}").alias("total_usuarios"), "completion_pct"
     )
 
 
@@ -100,8 +100,8 @@ def _money_by_attribute(
             enrollments.join(small, course, "left")
             .groupBy(attribute, *others)
             .agg(
-                weighted_count(F.col(enrollment), copies()).alias(_ROWS),
-                *_MONEY.first(value, copies()),
+                F.expr(f"{weighted_count(quoted(enrollment), TIMES)} AS {_ROWS}"),
+                *_MONEY.first(value, TIMES),
             )
         )
     per_course = enrollments.groupBy(course, *others).agg(
@@ -110,7 +110,7 @@ def _money_by_attribute(
     return (
         join_dimension(per_course, courses, course, [attribute], salts)
         .groupBy(attribute, *others)
-        .agg(F.sum(F.col(_ROWS) * copies()).alias(_ROWS), *_MONEY.again(copies()))
+        .agg(F.expr(f"sum({_ROWS} * {TIMES}) AS {_ROWS}"), *_MONEY.again(TIMES))
     )
 
 
@@ -140,8 +140,8 @@ def revenue_by_instructor(
         instructor,
         name,
         country,
-        _MONEY.total(copies()).alias("total_revenue_usd"),
-        (F.col(_ROWS) * copies()).alias("total_inscripciones"),
+        _MONEY.total(TIMES).alias("total_revenue_usd"),
+        F.expr(f"{_ROWS} * {TIMES}").alias("total_inscripciones"),
     )
     order = [F.desc("total_revenue_usd"), F.asc(instructor), F.asc(name), F.asc(country)]
     return _sorted(result, order, k)
@@ -217,8 +217,8 @@ def revenue_by_category_month(
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per category and first day of the month."""
-    day = F.col(enrolled_at).try_cast("timestamp_ntz")
-    dated = enrollments.withColumn("month", F.trunc(day.cast("date"), "month"))
+    day = f"CAST(try_cast({quoted(enrolled_at)} AS TIMESTAMP_NTZ) AS DATE)"
+    dated = enrollments.withColumn("month", F.expr(f"trunc({day}, 'month')"))
     per_month = _money_by_attribute(
         dated, courses, amount, enrollment, course, category, ["month"], salts, broadcast_limit
     )
@@ -237,10 +237,10 @@ def headline_totals(
     amount: str = "total_revenue_usd",
 ) -> DataFrame:
     """Mean completion over courses and revenue over instructors, one row each."""
-    mean = completion.agg(*_PERCENT.first(F.col(rate))).select(
+    mean = completion.agg(*_PERCENT.first(quoted(rate))).select(
         F.lit("mean_completion_pct").alias("metric"), _PERCENT.mean().alias("value")
     )
-    total = revenue.agg(*_MONEY.first(F.col(amount))).select(
+    total = revenue.agg(*_MONEY.first(quoted(amount))).select(
         F.lit("total_revenue_usd").alias("metric"), _MONEY.total().alias("value")
     )
     return reduce(DataFrame.unionByName, [mean, total])

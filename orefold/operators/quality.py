@@ -13,7 +13,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.fixed import RULE_COURSE_KEY, RULE_ENROLLMENT_COURSE, RULE_LESSONS, RULE_PAYMENT
-from ..functions.numbers import at_least_one, not_negative
+from ..functions.numbers import at_least_one, not_negative, quoted
 
 Action = Literal["warn", "drop", "fail"]
 _PASSED = "passed_"
@@ -43,12 +43,12 @@ def enrollment_rules(
 ) -> list[Rule]:
     return [
         Rule(RULE_PAYMENT, not_negative(df, amount), "drop"),
-        Rule(RULE_ENROLLMENT_COURSE, F.col(course).isNotNull(), "warn"),
+        Rule(RULE_ENROLLMENT_COURSE, f"{quoted(course)} IS NOT NULL", "warn"),
     ]
 
 
 def course_rules(df: DataFrame, course: str = "course_id") -> list[Rule]:
-    return [Rule(RULE_COURSE_KEY, F.col(course).isNotNull(), "warn")]
+    return [Rule(RULE_COURSE_KEY, f"{quoted(course)} IS NOT NULL", "warn")]
 
 
 def progress_rules(df: DataFrame, total: str = "total_lessons") -> list[Rule]:

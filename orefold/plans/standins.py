@@ -7,59 +7,66 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 _STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+# The columns the views use. Named here, they need not be looked up in the files.
+_COLUMNS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_size INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+    "events": "event_id BIGINT, user_id BIGINT",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def enrollments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NULL and negative amounts, four currencies and NULL."""
-    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
-    supplier = F.col("l_suppkey") % 5
-    return _table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("enrollment_id"),
-        F.col("l_partkey").alias("course_id"),
-        F.when(quantity == 13, None).when(quantity == 7, -price).otherwise(price)
-        .alias("payment_amount"),
-        F.when(supplier == 0, "MXN").when(supplier == 1, "COP").when(supplier == 2, "PEN")
-        .when(supplier == 3, "USD").alias("currency"),
-        F.col("l_shipdate").alias("enrolled_at"),
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS enrollment_id",
+        "l_partkey AS course_id",
+        "CASE l_quantity WHEN 13 THEN NULL WHEN 7 THEN -l_extendedprice"
+        " ELSE l_extendedprice END AS payment_amount",
+        "CASE l_suppkey % 5 WHEN 0 THEN 'MXN' WHEN 1 THEN 'COP' WHEN 2 THEN 'PEN'"
+        " WHEN 3 THEN 'USD' END AS currency",
+        "l_shipdate AS enrolled_at",
     )
 
 
 def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Empty and NULL categories."""
-    kind = F.col("p_type")
-    return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("course_id"),
-        F.col("p_name").alias("title"),
-        F.when(kind == "ECONOMY", "").when(kind == "STANDARD", None).otherwise(kind)
-        .alias("category"),
-        F.col("p_size").cast("bigint").alias("instructor_id"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS course_id",
+        "p_name AS title",
+        "CASE p_type WHEN 'ECONOMY' THEN '' WHEN 'STANDARD' THEN NULL ELSE p_type END"
+        " AS category",
+        "CAST(p_size AS BIGINT) AS instructor_id",
     )
 
 
 def instructors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NULL country for one nation in five."""
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = _table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     return (
         _table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            F.col("s_suppkey").alias("instructor_id"),
-            F.col("s_name").alias("name"),
-            F.when(F.col("s_nationkey") % 5 != 0, F.col("n_name")).alias("country"),
+        .join(nation, "s_nationkey", "left")
+        .selectExpr(
+            "s_suppkey AS instructor_id",
+            "s_name AS name",
+            "CASE WHEN s_nationkey % 5 <> 0 THEN n_name END AS country",
         )
     )
 
 
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lesson totals from 0, which is corrupt, to 20."""
-    event = F.col("event_id")
-    return _table(spark, sf_dir, "events").select(
+    return _table(spark, sf_dir, "events").selectExpr(
         "user_id",
-        (event % 211).alias("course_id"),
-        ((event * 7) % (event % 21 + 1)).alias("lessons_completed"),
-        (event % 21).alias("total_lessons"),
+        "event_id % 211 AS course_id",
+        "(event_id * 7) % (event_id % 21 + 1) AS lessons_completed",
+        "event_id % 21 AS total_lessons",
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +22,7 @@ from ..functions.fixed import (
 from ..operators import audit, clean, metrics, quality
 from ..operators.layout import cluster_by
 from ..sources.csv_files import read_csv
-from ..sources.tables import overwrite_table, overwrite_tables
+from ..sources.tables import overwrite_table, side_by_side
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "enrollments": clean.with_usd,
@@ -58,8 +59,9 @@ class Layers:
 
 
 def _store(layer: str, frames: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
-    stored = overwrite_tables({f"{schema}.{layer}_{e}": df for e, df in frames.items()})
-    return dict(zip(frames, stored.values()))
+    return side_by_side(
+        {e: partial(overwrite_table, df, f"{schema}.{layer}_{e}") for e, df in frames.items()}
+    )
 
 
 def load_bronze(spark: SparkSession, landing: str, schema: str) -> dict[str, DataFrame]:
@@ -87,18 +89,27 @@ def build_silver(
 
 def build_gold(silver: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
     enrollments, courses = silver["enrollments"], silver["courses"]
-    gold = {
-        GOLD_COMPLETION: overwrite_table(
-            metrics.completion_rate(silver["progress"], courses), f"{schema}.{GOLD_COMPLETION}"
-        )
-    }
-    others = {
-        GOLD_REVENUE: metrics.revenue_by_instructor(enrollments, courses, silver["instructors"]),
-        GOLD_LOW_ENGAGEMENT: metrics.low_engagement(gold[GOLD_COMPLETION], enrollments),
-        GOLD_CATEGORIES: metrics.revenue_by_category(enrollments, courses),
-    }
-    stored = overwrite_tables({f"{schema}.{name}": df for name, df in others.items()})
-    gold.update(zip(others, stored.values()))
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return overwrite_table(df, f"{schema}.{name}")
+
+    def completion() -> dict[str, DataFrame]:
+        rates = store(GOLD_COMPLETION, metrics.completion_rate(silver["progress"], courses))
+        low = store(GOLD_LOW_ENGAGEMENT, metrics.low_engagement(rates, enrollments))
+        return {GOLD_COMPLETION: rates, GOLD_LOW_ENGAGEMENT: low}
+
+    def revenue() -> dict[str, DataFrame]:
+        df = metrics.revenue_by_instructor(enrollments, courses, silver["instructors"])
+        return {GOLD_REVENUE: store(GOLD_REVENUE, df)}
+
+    def categories() -> dict[str, DataFrame]:
+        df = metrics.revenue_by_category(enrollments, courses)
+        return {GOLD_CATEGORIES: store(GOLD_CATEGORIES, df)}
+
+    steps = {f.__name__: f for f in (completion, revenue, categories)}
+    gold: dict[str, DataFrame] = {}
+    for stored in side_by_side(steps).values():
+        gold.update(stored)
     return gold
 
 

@@ -22,7 +22,7 @@ from ..functions.fixed import (
 from ..operators import clean, metrics, quality
 from ..operators.quality import Rule
 from ..sources.csv_files import read_csv, stream_csv
-from ..sources.tables import overwrite_table
+from ..sources.tables import overwrite_table, side_by_side
 from ..streaming.flows import Flow, run_flows, store_rule_metrics, stream_table
 
 BRONZE_COMMENTS = {
@@ -190,12 +190,14 @@ class Incremental:
             store_rule_metrics(self.spark, lines, self.table("rule_metrics"))
 
     def refresh_gold(self) -> dict[str, DataFrame]:
-        return {
-            GOLD_COMPLETION: self.refresh_completion(),
-            GOLD_REVENUE: self.refresh_revenue(),
-            GOLD_LOW_ENGAGEMENT: self.refresh_low_engagement(),
-            GOLD_CATEGORIES: self.refresh_categories(),
+        steps = {
+            GOLD_COMPLETION: lambda: (self.refresh_completion(), self.refresh_low_engagement()),
+            GOLD_REVENUE: self.refresh_revenue,
+            GOLD_CATEGORIES: self.refresh_categories,
         }
+        stored = side_by_side(steps)
+        rates, low = stored.pop(GOLD_COMPLETION)
+        return {GOLD_COMPLETION: rates, GOLD_LOW_ENGAGEMENT: low, **stored}
 
     def run(self) -> dict[str, DataFrame]:
         """Take all new files and return the refreshed Gold tables."""

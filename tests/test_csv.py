@@ -4,7 +4,7 @@ import pytest
 
 from orefold.sources.csv_files import read_csv, stream_csv, write_csv
 from orefold.sources.schemas import text_schema
-from orefold.sources.tables import overwrite_table
+from orefold.sources.tables import overwrite_table, side_by_side
 from rows import frames, sorted_rows
 
 
@@ -64,3 +64,9 @@ def test_overwrite_replaces_and_comments(spark, space):
 def test_stream_layout_is_checked(spark, tmp_path):
     with pytest.raises(ValueError):
         stream_csv(spark, str(tmp_path), "courses", text_schema("courses"), layout="other")
+
+
+def test_side_by_side_returns_all_or_raises():
+    assert side_by_side({"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2}
+    with pytest.raises(ZeroDivisionError):
+        side_by_side({"a": lambda: 1, "b": lambda: 1 // 0})

@@ -343,13 +343,12 @@ def expired_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _versioned_enrollments(spark, sf_dir)
-    return table.read().filter(
-        F.col("enrolled_at").between(
-            F.expr("timestamp_ntz'1995-01-01 00:00:00'"),
-            F.expr("timestamp_ntz'1995-12-31 00:00:00'"),
-        )
-    )
+    """A range of dates, kept as text like all raw columns, out of clustered files."""
+    table = VersionedTable(spark, new_workspace(spark, "clustered").table("silver_enrollments"))
+    table.write(clean.with_usd(standins.as_text(_raw(spark, sf_dir, "enrollments"))))
+    table.cluster("enrolled_at")
+    in_1995 = F.col("enrolled_at").between("1995-01-01 00:00:00", "1995-12-31 00:00:00.000000")
+    return standins.typed(table.read().filter(in_1995))
 
 
 def queries() -> dict[str, Query]:
@@ -646,7 +645,7 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 1, 'EXPIRE', count(*) FROM venr"""
             ),
             "clustered_range_read": _sql(
-                """SELECT * FROM venr WHERE enrolled_at
+                """SELECT * FROM senr WHERE enrolled_at
                    BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1995-12-31'"""
             ),
         }

@@ -31,6 +31,8 @@ def build_session(
         # the checksum makes Spark notice and rerun the readers of that output.
         .config("spark.sql.shuffle.orderIndependentChecksum.enabled", "true")
         .config("spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch", "true")
+        # The older form of stored timestamps carries no statistics to skip files by.
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         # Call sites are looked up once per column expression otherwise.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Rule metrics are read from progress reports, so keep more than the default 100.

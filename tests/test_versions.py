@@ -131,6 +131,22 @@ def test_cluster_writes_the_latest_rows_again(spark, table, skewed):
     assert len(files) == 8 and all(a.hi <= b.lo for a, b in zip(files, files[1:]))
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp"])
+def test_range_read_skips_clustered_files(spark, table, kind):
+    rows = spark.range(0, 100_000, 1, 8).selectExpr(
+        f"CAST(date_add(DATE'2020-01-01', CAST(id % 1000 AS INT)) AS {kind}) AS day", "id"
+    )
+    table.write(rows)
+    table.cluster("day", 16)
+    days = table.read().filter(
+        f"day BETWEEN CAST('2021-01-01' AS {kind}) AND CAST('2021-01-31' AS {kind})"
+    )
+    plan = days._jdf.queryExecution().executedPlan()
+    assert len(plan.executeCollect()) == 3_100
+    scanned = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+    assert scanned <= 100_000 / 16 * 3
+
+
 def test_cluster_accepts_map_columns(spark):
     df = spark.range(10).withColumn("m", F.create_map(F.lit("a"), "id"))
     assert cluster_by(df, "id", 2).count() == 10

@@ -8,7 +8,8 @@ one row must neither meet in one task nor multiply rows in flight.
 as they are read and are never shuffled by key. Beyond it they are first
 aggregated by the join key, which map-side combine does before the shuffle: a key
 that holds a third of the facts leaves each map task as one row, and
-``join_dimension`` then joins two reduced sides.
+``join_dimension`` then joins two reduced sides. A dimension key with very many
+different rows is found by ``salts_needed`` and spread over several tasks.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.numbers import quoted
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+ROWS_PER_TASK = 1_000_000
 COPIES = "_copies"
 # Copies of the matched dimension row; an unmatched fact counts once.
 TIMES = f"coalesce({COPIES}, 1L)"
@@ -54,16 +56,36 @@ def fits_broadcast(
     return row.bytes <= limit
 
 
+def salts_needed(dimension: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Over how many tasks the rows of the most frequent key should be spread."""
+    per_key = dimension.filter(F.col(key).isNotNull()).groupBy(key).agg(F.expr("count(1) AS n"))
+    [row] = per_key.agg(F.expr("coalesce(max(n), 0L) AS most")).collect()
+    return max(1, -(-row.most // rows_per_task))
+
+
 def join_dimension(
-    facts: DataFrame, dimension: DataFrame, key: str, attributes: Sequence[str], salts: int = 1
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    attributes: Sequence[str],
+    fits: bool | None = None,
+    salts: int | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """``facts`` left join the distinct rows of ``dimension`` on ``key``.
 
-    With ``salts`` above one, a dimension key with very many different rows is
-    spread over that many tasks. Each fact row is repeated only for the salts its
-    key really has, so an unmatched fact still yields exactly one row.
+    ``fits`` and ``salts`` are measured where they are not given. With ``salts``
+    above one the rows of a key are spread over that many tasks; each fact row is
+    repeated only for the salts its key really has, so an unmatched fact still
+    yields exactly one row.
     """
     distinct = distinct_with_copies(dimension, key, attributes)
+    if fits is None:
+        fits = fits_broadcast(dimension, [key, *attributes], broadcast_limit)
+    if fits:
+        return facts.join(F.broadcast(distinct), key, "left")
+    if salts is None:
+        salts = salts_needed(dimension, key)
     if salts <= 1:
         return facts.join(distinct, key, "left")
     salted = distinct.withColumn(_SALT, F.pmod(F.xxhash64(*attributes), F.lit(salts)))

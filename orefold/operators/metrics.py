@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exact import ExactSum, weighted_count
 from ..functions.numbers import number, quoted
+from ..parallel import side_by_side
 from .clean import with_completion
 from .joins import (
     BROADCAST_LIMIT,
@@ -42,7 +43,8 @@ def completion_rate(
     course: str = "course_id",
     title: str = "title",
     category: str = "category",
-    salts: int = 1,
+    salts: int | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Users and mean completion per course; each row is rounded, then the mean."""
     per_course = (
@@ -50,7 +52,10 @@ def completion_rate(
         .groupBy(course)
         .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
     )
-    return join_dimension(per_course, courses, course, [title, category], salts).select(
+    joined = join_dimension(
+        per_course, courses, course, [title, category], None, salts, broadcast_limit
+    )
+    return joined.select(
         course,
         title,
         category,
@@ -65,7 +70,8 @@ def completion_rate_single_round(
     user: str = "user_id",
     course: str = "course_id",
     title: str = "title",
-    salts: int = 1,
+    salts: int | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Users and mean completion per course; only the mean is rounded."""
     per_course = (
@@ -76,7 +82,8 @@ def completion_rate_single_round(
             F.expr("round(avg(completion_pct), 2) AS completion_pct"),
         )
     )
-    return join_dimension(per_course, courses, course, [title], salts).select(
+    joined = join_dimension(per_course, courses, course, [title], None, salts, broadcast_limit)
+    return joined.select(
         course, title, F.expr(f"{_ROWS} * {TIMES}").alias("total_usuarios"), "completion_pct"
     )
 
@@ -89,12 +96,12 @@ def _money_by_attribute(
     course: str,
     attribute: str,
     others: Sequence[str],
-    salts: int,
-    broadcast_limit: int,
+    fits: bool,
+    salts: int | None,
 ) -> DataFrame:
     """Money and rows by an attribute of the course and ``others`` of the facts."""
     value = number(enrollments, amount)
-    if fits_broadcast(courses, [course, attribute], broadcast_limit):
+    if fits:
         small = F.broadcast(distinct_with_copies(courses, course, [attribute]))
         return (
             enrollments.join(small, course, "left")
@@ -108,7 +115,7 @@ def _money_by_attribute(
         F.count(enrollment).alias(_ROWS), *_MONEY.first(value)
     )
     return (
-        join_dimension(per_course, courses, course, [attribute], salts)
+        join_dimension(per_course, courses, course, [attribute], fits, salts)
         .groupBy(attribute, *others)
         .agg(F.expr(f"sum({_ROWS} * {TIMES}) AS {_ROWS}"), *_MONEY.again(TIMES))
     )
@@ -125,7 +132,7 @@ def revenue_by_instructor(
     name: str = "name",
     country: str = "country",
     k: int | None = None,
-    salts: int = 1,
+    salts: int | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per instructor, highest revenue first.
@@ -133,10 +140,21 @@ def revenue_by_instructor(
     Enrollments without a known course form the group with a NULL instructor. Pass
     ``amount="payment_amount"`` for sums of the unconverted amounts.
     """
+    fits = side_by_side(
+        {
+            "courses": lambda: fits_broadcast(courses, [course, instructor], broadcast_limit),
+            "instructors": lambda: fits_broadcast(
+                instructors, [instructor, name, country], broadcast_limit
+            ),
+        }
+    )
     per_instructor = _money_by_attribute(
-        enrollments, courses, amount, enrollment, course, instructor, [], salts, broadcast_limit
+        enrollments, courses, amount, enrollment, course, instructor, [], fits["courses"], salts
+    )
+    joined = join_dimension(
+        per_instructor, instructors, instructor, [name, country], fits["instructors"], salts
     )
-    result = join_dimension(per_instructor, instructors, instructor, [name, country], salts).select(
+    result = joined.select(
         instructor,
         name,
         country,
@@ -190,15 +208,16 @@ def revenue_by_category(
     course: str = "course_id",
     category: str = "category",
     k: int | None = None,
-    salts: int = 1,
+    salts: int | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per category, highest revenue first.
 
     The NULL category holds enrollments whose course is unknown.
     """
+    fits = fits_broadcast(courses, [course, category], broadcast_limit)
     result = _money_by_attribute(
-        enrollments, courses, amount, enrollment, course, category, [], salts, broadcast_limit
+        enrollments, courses, amount, enrollment, course, category, [], fits, salts
     ).select(
         category, _MONEY.total().alias("revenue_usd"), F.col(_ROWS).alias("inscripciones")
     )
@@ -213,14 +232,15 @@ def revenue_by_category_month(
     course: str = "course_id",
     category: str = "category",
     enrolled_at: str = "enrolled_at",
-    salts: int = 1,
+    salts: int | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Revenue and enrollments per category and first day of the month."""
     day = f"CAST(try_cast({quoted(enrolled_at)} AS TIMESTAMP_NTZ) AS DATE)"
     dated = enrollments.withColumn("month", F.expr(f"trunc({day}, 'month')"))
+    fits = fits_broadcast(courses, [course, category], broadcast_limit)
     per_month = _money_by_attribute(
-        dated, courses, amount, enrollment, course, category, ["month"], salts, broadcast_limit
+        dated, courses, amount, enrollment, course, category, ["month"], fits, salts
     )
     return per_month.select(
         category,

@@ -21,8 +21,9 @@ from ..functions.fixed import (
 )
 from ..operators import audit, clean, metrics, quality
 from ..operators.layout import cluster_by
+from ..parallel import side_by_side
 from ..sources.csv_files import read_csv
-from ..sources.tables import overwrite_table, side_by_side
+from ..sources.tables import overwrite_table
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "enrollments": clean.with_usd,

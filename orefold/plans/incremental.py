@@ -21,8 +21,9 @@ from ..functions.fixed import (
 )
 from ..operators import clean, metrics, quality
 from ..operators.quality import Rule
+from ..parallel import side_by_side
 from ..sources.csv_files import read_csv, stream_csv
-from ..sources.tables import overwrite_table, side_by_side
+from ..sources.tables import overwrite_table
 from ..streaming.flows import Flow, run_flows, store_rule_metrics, stream_table
 
 BRONZE_COMMENTS = {

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from typing import Any
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,14 +17,6 @@ def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> Da
     return spark.table(table)
 
 
-def side_by_side(steps: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
-    """Results of independent steps, run at once so that small jobs fill the gaps of
-    large ones. The first failure is raised after the others have ended."""
-    with ThreadPoolExecutor(max_workers=max(len(steps), 1)) as pool:
-        running = {name: pool.submit(step) for name, step in steps.items()}
-    return {name: step.result() for name, step in running.items()}
-
-
 def set_comment(spark: SparkSession, table: str, comment: str) -> None:
     escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"COMMENT ON TABLE {table} IS '{escaped}'")

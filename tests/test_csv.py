@@ -2,9 +2,10 @@ import os
 
 import pytest
 
+from orefold.parallel import side_by_side
 from orefold.sources.csv_files import read_csv, stream_csv, write_csv
 from orefold.sources.schemas import text_schema
-from orefold.sources.tables import overwrite_table, side_by_side
+from orefold.sources.tables import overwrite_table
 from rows import frames, sorted_rows
 
 

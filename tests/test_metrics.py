@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orefold.operators import clean, metrics
-from orefold.operators.joins import fits_broadcast, join_dimension
+from orefold.operators.joins import fits_broadcast, join_dimension, salts_needed
 from rows import frames, sorted_rows
 
 
@@ -90,9 +90,9 @@ def test_top_k(silver):
     assert top == every[:2]
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_completion_rate(silver, salts):
-    got = metrics.completion_rate(silver["progress"], silver["courses"], salts=salts)
+@pytest.mark.parametrize("way", WAYS)
+def test_completion_rate(silver, way):
+    got = metrics.completion_rate(silver["progress"], silver["courses"], **way)
     want = (
         clean.with_completion(silver["progress"])
         .join(silver["courses"].select("course_id", "title", "category"), "course_id", "left")
@@ -107,11 +107,9 @@ def test_completion_rate(silver, salts):
     assert sorted_rows(got) == sorted_rows(want)
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_completion_rate_single_round(silver, salts):
-    got = metrics.completion_rate_single_round(
-        silver["progress"], silver["courses"], salts=salts
-    )
+@pytest.mark.parametrize("way", WAYS)
+def test_completion_rate_single_round(silver, way):
+    got = metrics.completion_rate_single_round(silver["progress"], silver["courses"], **way)
     want = (
         clean.with_completion(silver["progress"], rounded=False)
         .join(silver["courses"].select("course_id", "title"), "course_id", "left")
@@ -239,11 +237,23 @@ def test_facts_are_never_shuffled_row_by_row(spark, hot):
 def test_salted_join_spreads_a_key_and_keeps_unmatched(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k bigint, f string")
     dimension = spark.range(0, 1000).selectExpr("1L AS k", "id % 300 AS v")
-    plain = join_dimension(facts, dimension, "k", ["v"])
-    salted = join_dimension(facts, dimension, "k", ["v"], salts=8)
+    plain = join_dimension(facts, dimension, "k", ["v"], fits=False, salts=1)
+    salted = join_dimension(facts, dimension, "k", ["v"], fits=False, salts=8)
     columns = ["k", "f", "v", "_copies"]
     assert sorted_rows(salted.select(*columns)) == sorted_rows(plain.select(*columns))
     assert salted.count() == 302
+    assert sorted_rows(join_dimension(facts, dimension, "k", ["v"]).select(*columns)) == sorted_rows(
+        plain.select(*columns)
+    )
+
+
+def test_salts_follow_the_most_frequent_key(spark):
+    dimension = spark.range(0, 1000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k")
+    assert salts_needed(dimension, "k", rows_per_task=100) == 4
+    assert salts_needed(dimension, "k") == 1
+    assert salts_needed(dimension.filter("k < 0"), "k") == 1
+    nothing = spark.range(0, 1000).selectExpr("CAST(NULL AS BIGINT) AS k")
+    assert salts_needed(nothing, "k", rows_per_task=100) == 1
 
 
 def test_broadcast_only_below_the_measured_limit(spark):

@@ -227,7 +227,7 @@ def low_engagement_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.low_engagement(
         completion_rate(spark, sf_dir),
         _silver(spark, sf_dir, "enrollments"),
-        max_completion=50.0,
+        max_completion=60.0,
         min_enrolled=30,
     )
 
@@ -560,7 +560,7 @@ def oracle_sql() -> dict[str, str]:
             "low_engagement": low,
             "low_engagement_single_round": low_once,
             "low_engagement_threshold": _sql(
-                "SELECT * FROM low WHERE avg_completion_pct <= 50 AND inscritos >= 30",
+                "SELECT * FROM low WHERE avg_completion_pct <= 60 AND inscritos >= 30",
                 _COMPLETION,
                 _INSCRITOS,
                 _LOW,

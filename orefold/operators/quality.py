@@ -104,8 +104,8 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], table_name: str) -> DataFr
                 F.lit(table_name).alias("table_name"),
                 F.lit(r.name).alias("rule"),
                 F.lit(r.action).alias("action"),
-                F.col(_PASSED + r.name).alias("passed"),
-                (F.col(_TOTAL) - F.col(_PASSED + r.name)).alias("failed"),
+                F.col(quoted(_PASSED + r.name)).alias("passed"),
+                (F.col(_TOTAL) - F.col(quoted(_PASSED + r.name))).alias("failed"),
             )
             for r in rules
         ]

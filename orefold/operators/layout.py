@@ -18,29 +18,33 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[part(f) for f in df.schema.fields])
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """``df`` with a hash and a position per row. Positions are given after a sort by
+    the hash within the task, so that a repeated task gives the same ones whatever
+    the order in which its rows arrive."""
+    return (
+        df.withColumn(_HASH, _row_hash(df))
+        .sortWithinPartitions(_HASH)
+        .withColumn(_POSITION, F.monotonically_increasing_id())
+    )
+
+
 def cluster_by(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
     """Range-partition by ``column`` and sort within, leaving the rows as they are.
 
     Written out, each file covers its own narrow range of ``column``, and a range
     read skips the files outside by their Parquet statistics. A value that fills a
     large part of the table is split further by a hash of the row, and copies of
-    one row by position, so no single task receives the whole value. Positions are
-    given after a sort by the hash within the task, so that a repeated task gives
-    the same ones whatever the order in which its rows arrive.
+    one row by position, so no single task receives the whole value.
 
     ``partitions`` defaults to the session's shuffle partitions, which adaptive
     execution then joins up to its advisory size.
     """
-    kept = df.columns
-    placed = (
-        df.withColumn(_HASH, _row_hash(df))
-        .sortWithinPartitions(_HASH)
-        .withColumn(_POSITION, F.monotonically_increasing_id())
-    )
     keys = [column, _HASH, _POSITION]
+    placed = _placed(df)
     spread = (
         placed.repartitionByRange(*keys)
         if partitions is None
         else placed.repartitionByRange(partitions, *keys)
     )
-    return spread.sortWithinPartitions(column).select(*kept)
+    return spread.sortWithinPartitions(column).select(*df.columns)

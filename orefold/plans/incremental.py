@@ -22,7 +22,7 @@ from ..functions.fixed import (
 from ..operators import clean, metrics, quality
 from ..operators.quality import Rule
 from ..parallel import side_by_side
-from ..sources.csv_files import read_csv, stream_csv
+from ..sources.csv_files import MAX_BATCH_BYTES, read_csv, stream_csv
 from ..sources.tables import overwrite_table
 from ..streaming.flows import Flow, run_flows, store_rule_metrics, stream_table
 
@@ -64,7 +64,7 @@ class Incremental:
     convert: bool = True
     rules_first: bool = False
     max_files: int | None = None
-    max_bytes: str | None = None
+    max_bytes: int = MAX_BATCH_BYTES
     entities: Sequence[str] = field(default=ENTITIES)
 
     def table(self, name: str) -> str:
@@ -117,7 +117,9 @@ class Incremental:
     def silver_flows(self) -> list[Flow]:
         flows = []
         for entity in self.entities:
-            bronze = stream_table(self.spark, self.table(f"bronze_{entity}"))
+            bronze = stream_table(
+                self.spark, self.table(f"bronze_{entity}"), self.max_files, self.max_bytes
+            )
             source, rules = self.silver_source(entity, bronze)
             name = f"silver_{entity}"
             flows.append(

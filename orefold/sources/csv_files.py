@@ -8,6 +8,21 @@ A file belongs to the entity its name starts with (``enrollments.csv``,
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.streaming import DataStreamReader
+
+
+# What one micro-batch takes at most: enough to fill a cluster, and a failed batch
+# repeats no more than this.
+MAX_BATCH_BYTES = 1 << 40
+
+
+def bound_batches(
+    reader: DataStreamReader, max_files: int | None, max_bytes: int
+) -> DataStreamReader:
+    """Bound each micro-batch by ``max_files`` or, without it, by ``max_bytes``."""
+    if max_files is not None:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes)
 
 
 def landing_path(landing: str, entity: str) -> str:
@@ -35,20 +50,17 @@ def stream_csv(
     schema: T.StructType,
     layout: str = "files",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
     """The files of ``entity`` as a stream that takes each file once.
 
     ``layout="files"`` expects plain files in the landing folder, ``"folders"``
-    folders of part files. ``max_files`` or ``max_bytes`` bounds a micro-batch.
+    folders of part files.
     """
     reader = (
         spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     )
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    reader = bound_batches(reader, max_files, max_bytes)
     if layout == "files":
         return reader.option("pathGlobFilter", f"{entity}*.csv").csv(landing)
     if layout == "folders":

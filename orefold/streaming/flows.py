@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.quality import REPORT_COLUMNS, Rule, apply_rules, report_rows
+from ..sources.csv_files import MAX_BATCH_BYTES, bound_batches
 from ..sources.tables import set_comment
 
 
@@ -45,12 +46,14 @@ class Flow:
         )
 
 
-def stream_table(spark: SparkSession, table: str, max_files: int | None = None) -> DataFrame:
+def stream_table(
+    spark: SparkSession,
+    table: str,
+    max_files: int | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
+) -> DataFrame:
     """The rows appended to ``table`` since the reading flow last ran."""
-    reader = spark.readStream
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.table(table)
+    return bound_batches(spark.readStream, max_files, max_bytes).table(table)
 
 
 def run_flows(flows: Sequence[Flow], poll_seconds: float = 2.0) -> list[tuple]:

@@ -119,6 +119,22 @@ def test_rules_before_the_filter_see_every_row(spark, space):
     assert spark.table(flows.table("silver_progress")).count() == 10
 
 
+@pytest.mark.parametrize("bound", [{"max_files": 1}, {"max_bytes": 1}])
+def test_batches_are_bounded_and_their_counts_add_up(spark, space, bound):
+    for part in range(3):
+        rows = frames(spark)["enrollments"].coalesce(1)
+        write_csv(rows, space.landing, "enrollments", str(part))
+    flows = incremental(
+        spark, space, layout="folders", entities=("enrollments",), rules_first=True, **bound
+    )
+    flows.run_bronze()
+    flows.run_silver()
+    per_batch = spark.table(flows.table("rule_metrics"))
+    assert per_batch.select("batch_id").distinct().count() == 3
+    total = summarise_rule_metrics(per_batch).filter("rule = 'pago_valido'").first()
+    assert (total.passed, total.failed) == (36, 12)
+
+
 def test_fail_rule_stops_a_stream_and_stores_nothing(spark, space):
     write_csv(frames(spark)["courses"], space.landing, "courses")
     flows = incremental(spark, space, layout="folders", entities=("courses",))

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from orefold.operators.layout import cluster_by
+from orefold.operators.layout import _placed, cluster_by
 from orefold.sources.versions import VersionedTable
 from rows import sorted_rows
 
@@ -116,6 +116,14 @@ def test_cluster_keeps_rows_and_separates_ranges(spark, skewed):
     assert max(r.n for r in ranges) < 30_000 / 8 * 1.5
 
 
+def test_positions_do_not_depend_on_row_order(skewed):
+    """A repeated task may see its rows in another order; no row may move then."""
+    parts = skewed.repartition(4, "id")
+    one = _placed(parts.sortWithinPartitions("day", "id"))
+    other = _placed(parts.sortWithinPartitions(F.desc("id"), F.desc("day")))
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
 def test_cluster_writes_the_latest_rows_again(spark, table, skewed):
     table.write(skewed)
     assert table.cluster("day", 8) == 1

@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from orefold.__main__ import main
 from orefold.plans import batch
 from orefold.sources import workspace
 from orefold.sources.csv_files import write_csv
@@ -60,3 +61,15 @@ def test_shared_folder_without_the_setting():
 
 def test_workspace_lies_in_the_shared_folder(spark, space):
     assert space.folder.startswith(workspace.shared_folder(spark))
+
+
+def test_command_line(spark, space, landing, capsys):
+    main(["batch", "--landing", landing, "--schema", space.schema])
+    assert "gold_top_categorias" in capsys.readouterr().out
+    main(
+        ["incremental", "--landing", landing, "--schema", space.schema, "--layout", "folders",
+         "--checkpoints", space.checkpoints]
+    )
+    assert "pago_valido" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["incremental", "--landing", landing, "--schema", space.schema])

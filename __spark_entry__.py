@@ -256,6 +256,34 @@ def top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The same metrics as planned where the courses are too many to broadcast.
+
+
+def completion_rate_large_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.completion_rate(
+        _silver(spark, sf_dir, "progress"),
+        _silver(spark, sf_dir, "courses"),
+        broadcast_limit=0,
+        salts=4,
+    )
+
+
+def revenue_by_instructor_large_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.revenue_by_instructor(
+        _silver(spark, sf_dir, "enrollments"),
+        _silver(spark, sf_dir, "courses"),
+        _silver(spark, sf_dir, "instructors"),
+        broadcast_limit=0,
+        salts=4,
+    )
+
+
+def revenue_by_category_month_large_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.revenue_by_category_month(
+        _silver(spark, sf_dir, "enrollments"), _silver(spark, sf_dir, "courses"), broadcast_limit=0
+    )
+
+
 def headline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.headline_totals(
         completion_rate(spark, sf_dir), revenue_by_instructor(spark, sf_dir)
@@ -378,6 +406,9 @@ def queries() -> dict[str, Query]:
         revenue_by_category_raw,
         revenue_by_category_month,
         top_categories,
+        completion_rate_large_courses,
+        revenue_by_instructor_large_courses,
+        revenue_by_category_month_large_courses,
         headline_totals,
         layer_row_counts,
         layer_rejections,
@@ -531,6 +562,12 @@ def oracle_sql() -> dict[str, str]:
     )
     revenue = _sql("SELECT * FROM revenue", _REVENUE)
     category = _sql("SELECT * FROM cat", _CATEGORY)
+    category_month = _sql(
+        """SELECT category, CAST(date_trunc('month', enrolled_at) AS DATE) AS month,
+           CAST(sum(CAST(payment_usd AS DECIMAL(18,2))) AS DOUBLE) AS revenue_usd,
+           count(enrollment_id) AS inscripciones
+           FROM senr LEFT JOIN scrs USING (course_id) GROUP BY ALL"""
+    )
     history = """
   SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM senr
   UNION ALL SELECT 1, 'WRITE', count(*) FROM venr
@@ -569,12 +606,7 @@ def oracle_sql() -> dict[str, str]:
             "revenue_by_category_raw": _sql(
                 "SELECT * FROM cat", _category("venr", "payment_amount")
             ),
-            "revenue_by_category_month": _sql(
-                """SELECT category, CAST(date_trunc('month', enrolled_at) AS DATE) AS month,
-                   CAST(sum(CAST(payment_usd AS DECIMAL(18,2))) AS DOUBLE) AS revenue_usd,
-                   count(enrollment_id) AS inscripciones
-                   FROM senr LEFT JOIN scrs USING (course_id) GROUP BY ALL"""
-            ),
+            "revenue_by_category_month": category_month,
             "top_categories": _sql(
                 "SELECT * FROM cat ORDER BY revenue_usd DESC NULLS LAST, category LIMIT 3",
                 _CATEGORY,
@@ -628,6 +660,9 @@ def oracle_sql() -> dict[str, str]:
             "gold_from_batch_low_engagement": low,
             "gold_from_batch_revenue": revenue,
             "gold_from_batch_categories": category,
+            "completion_rate_large_courses": completion,
+            "revenue_by_instructor_large_courses": revenue,
+            "revenue_by_category_month_large_courses": category_month,
             "version_as_of": _sql("SELECT * FROM senr"),
             "version_as_of_limit": _sql(
                 """SELECT * FROM senr ORDER BY enrollment_id NULLS FIRST, course_id NULLS FIRST,

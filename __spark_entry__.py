@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from orefold.functions.fixed import ENTITIES  # noqa: E402
-from orefold.operators import audit, clean, layout, metrics, quality  # noqa: E402,F401
+from orefold.operators import audit, clean, metrics, quality  # noqa: E402
 from orefold.plans import batch, standins  # noqa: E402
 from orefold.plans.incremental import Incremental  # noqa: E402
 from orefold.sources.csv_files import read_csv, write_csv  # noqa: E402
 from orefold.sources.tables import overwrite_table  # noqa: E402
 from orefold.sources.versions import VersionedTable  # noqa: E402
 from orefold.sources.workspace import Workspace, new_workspace  # noqa: E402
-from orefold.streaming.flows import store_rule_metrics, summarise_rule_metrics, run_flows  # noqa: E402
+from orefold.streaming.flows import summarise_rule_metrics  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,7 +240,9 @@ def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_by_category_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.revenue_by_category(
-        _valid_enrollments(spark, sf_dir), _silver(spark, sf_dir, "courses"), amount="payment_amount"
+        _valid_enrollments(spark, sf_dir),
+        _silver(spark, sf_dir, "courses"),
+        amount="payment_amount",
     )
 
 
@@ -622,7 +624,8 @@ def oracle_sql() -> dict[str, str]:
             ),
             "layer_row_counts": _sql(
                 "\nUNION ALL ".join(
-                    f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS row_count FROM {view}"
+                    f"SELECT '{layer}' AS layer, '{name}' AS table_name,"
+                    f" count(*) AS row_count FROM {view}"
                     for layer, name, view in [
                         *[("bronze", f"bronze_{e}", v) for e, v in short.items()],
                         *[("silver", f"silver_{e}", f"s{v}") for e, v in short.items()],

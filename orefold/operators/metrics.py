@@ -101,17 +101,18 @@ def _money_by_attribute(
 ) -> DataFrame:
     """Money and rows by an attribute of the course and ``others`` of the facts."""
     value = number(enrollments, amount)
+    facts = enrollments.select(course, enrollment, amount, *others)
     if fits:
         small = F.broadcast(distinct_with_copies(courses, course, [attribute]))
         return (
-            enrollments.join(small, course, "left")
+            facts.join(small, course, "left")
             .groupBy(attribute, *others)
             .agg(
                 F.expr(f"{weighted_count(quoted(enrollment), TIMES)} AS {_ROWS}"),
                 *_MONEY.first(value, TIMES),
             )
         )
-    per_course = enrollments.groupBy(course, *others).agg(
+    per_course = facts.groupBy(course, *others).agg(
         F.count(enrollment).alias(_ROWS), *_MONEY.first(value)
     )
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -91,12 +91,13 @@ _TYPES = {
 
 def as_text(df: DataFrame) -> DataFrame:
     """All columns as text, times in one fixed form, ready for CSV."""
-    return df.select(
-        *[
-            F.date_format(c, _STAMP).alias(c) if t.startswith("timestamp") else F.col(c).cast("string").alias(c)
-            for c, t in df.dtypes
-        ]
-    )
+
+    def text(name: str, kind: str) -> Column:
+        if kind.startswith("timestamp"):
+            return F.date_format(name, _STAMP).alias(name)
+        return F.col(name).cast("string").alias(name)
+
+    return df.select(*[text(name, kind) for name, kind in df.dtypes])
 
 
 def typed(df: DataFrame) -> DataFrame:

@@ -52,6 +52,18 @@ def test_revenue_by_instructor(silver, way, amount):
     assert known == sorted(known, reverse=True) and totals[: len(known)] == known
 
 
+@pytest.mark.parametrize("way", WAYS)
+def test_other_fact_columns_do_not_collide(silver, way):
+    more = silver["enrollments"].withColumns(
+        {c: F.lit("x") for c in ("instructor_id", "category", "title", "name")}
+    )
+    got = metrics.revenue_by_instructor(more, silver["courses"], silver["instructors"], **way)
+    assert sorted_rows(got) == sorted_rows(plain_revenue(silver))
+    got = metrics.revenue_by_category(more, silver["courses"], **way)
+    want = metrics.revenue_by_category(silver["enrollments"], silver["courses"], **way)
+    assert got.collect() == want.collect()
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_revenue_by_category(silver, way):
     got = metrics.revenue_by_category(silver["enrollments"], silver["courses"], **way)

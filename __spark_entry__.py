@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -381,8 +382,34 @@ def clustered_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.typed(table.read().filter(in_1995))
 
 
+# -- preparing training text --------------------------------------------------
+
+
+def _training_text() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage for training text, where it is there."""
+    found, sql = {}, {}
+    for name in ("orefold.llm.queries", "corpus_pipeline"):
+        try:
+            module = importlib.import_module(name)
+        except ModuleNotFoundError as error:
+            if error.name not in ("orefold.llm", "orefold.llm.queries", "corpus_pipeline"):
+                raise
+            continue
+        if name == "corpus_pipeline":
+            found["pipeline"] = module.run
+            if module.ORACLE_SQL:
+                sql["pipeline"] = module.ORACLE_SQL
+        else:
+            found.update(module.QUERIES)
+            sql.update(module.ORACLE_SQL)
+    return found, sql
+
+
+TRAINING_QUERIES, TRAINING_SQL = _training_text()
+
+
 def queries() -> dict[str, Query]:
-    found: dict[str, Query] = {}
+    found: dict[str, Query] = dict(TRAINING_QUERIES)
     for entity in ENTITIES:
         found[f"bronze_csv_{entity}"] = _bronze_csv(entity)
         found[f"bronze_stream_{entity}"] = _bronze_stream(entity)
@@ -539,7 +566,7 @@ _RULE_LINES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    found: dict[str, str] = {}
+    found: dict[str, str] = dict(TRAINING_SQL)
     short = {"enrollments": "enr", "courses": "crs", "progress": "prg", "instructors": "ins"}
     for entity, view in short.items():
         raw = _sql(f"SELECT * FROM {view}")

@@ -27,7 +27,7 @@ from . import blocks
 from .stored import shuffle_partitions
 
 #: Bytes of text in a block.
-BLOCK_TEXT = 16 << 20
+BLOCK_TEXT = 10 << 20
 
 
 def vocabulary(path: str) -> str:
@@ -87,13 +87,13 @@ class TextBlock:
         place[order] = np.arange(len(order))
         self.index = place[inverse]
         self.bounds = np.searchsorted(shard[order], np.arange(n_shards + 1))
+        self.hashes = distinct[order]
         self.starts, self.ends = np.concatenate(starts)[first[order]], np.concatenate(ends)[first[order]]
         self.mark = int(blocks.mix(np.array([np.bitwise_xor.reduce(distinct), len(hashes)], np.uint64))[0])
 
-    def words(self, lo: int, hi: int) -> list[bytes]:
-        data = self.data.tobytes() if not hasattr(self, "_bytes") else self._bytes
-        self._bytes = data
-        return [data[a:b] for a, b in zip(self.starts[lo:hi].tolist(), self.ends[lo:hi].tolist(), strict=True)]
+    def words(self, which: slice | np.ndarray) -> list[bytes]:
+        data = memoryview(self.data)
+        return [bytes(data[a:b]) for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist(), strict=True)]
 
 
 def _text_blocks(batches: Iterator[pa.RecordBatch], n_shards: int) -> Iterator[tuple[str, pa.Array, TextBlock]]:
@@ -117,24 +117,25 @@ def _words(batches: Iterator[pa.RecordBatch], n_shards: int) -> Iterator[pa.Reco
         for shard in range(n_shards):
             lo, hi = block.bounds[shard : shard + 2]
             if hi > lo:
-                words = b" ".join(block.words(lo, hi))
-                yield pa.record_batch([[name], pa.array([shard], pa.int32()), pa.array([words], pa.binary())], ["block", "shard", "words"])
+                words = packed(b" ".join(block.words(slice(lo, hi))))
+                yield pa.record_batch([[name], pa.array([shard], pa.int32()), words], ["block", "shard", "words"])
 
 
 def _places(batches: Iterator[pa.RecordBatch], n_shards: int) -> Iterator[pa.RecordBatch]:
     for name, ids, block in _text_blocks(batches, n_shards):
-        # The low two bytes and the rest apart: the rest is mostly zeros, which the shuffle's compression shortens.
-        low, high = (block.index & 0xFFFF).astype("<u2"), (block.index >> 16).astype("<u2")
-        yield pa.record_batch(
-            [
-                [name],
-                blocks_list(ids.cast(pa.int64())),
-                blocks_list(pa.array(block.n_words.astype(np.int64))),
-                pa.array([low.tobytes()], pa.binary()),
-                pa.array([high.tobytes()], pa.binary()),
-            ],
-            ["block", "doc_ids", "n_words", "low", "high"],
-        )
+        # First bytes, second bytes and so on apart: they compress better than mixed.
+        planes = block.index.astype("<u4").view(np.uint8).reshape(-1, 4).T
+        columns = [[name], blocks_list(ids.cast(pa.int64())), blocks_list(pa.array(block.n_words.astype(np.int64)))]
+        yield pa.record_batch([*columns, packed(planes.tobytes())], ["block", "doc_ids", "n_words", "places"])
+
+
+def packed(raw: bytes) -> pa.BinaryArray:
+    """One value, its length in eight bytes and then its bytes compressed."""
+    return pa.array([len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)], pa.binary())
+
+
+def unpacked(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
 
 
 def blocks_list(values: pa.Array) -> pa.ListArray:
@@ -176,7 +177,7 @@ def encode(docs: DataFrame, description: str, decode: bool = True) -> DataFrame:
                 n = counts[at]
                 own = flat[expanded(starts[at], n)].astype(kind)
                 yield pa.record_batch(
-                    [[block], pa.array([shard], pa.int32()), pa.array([n.astype("<u4").tobytes()], pa.binary()), pa.array([own.tobytes()], pa.binary())],
+                    [[block], pa.array([shard], pa.int32()), packed(n.astype("<u4").tobytes()), packed(own.tobytes())],
                     ["block", "shard", "counts", "ids"],
                 )
             waiting.clear()
@@ -184,7 +185,7 @@ def encode(docs: DataFrame, description: str, decode: bool = True) -> DataFrame:
         size = 0
         for batch in batches:
             for block, shard, joined in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                waiting.append((block, shard, joined.split(b" ")))
+                waiting.append((block, shard, unpacked(joined).split(b" ")))
                 size += len(joined)
                 if size > blocks.BLOCK_BYTES:
                     yield from answered()
@@ -193,7 +194,7 @@ def encode(docs: DataFrame, description: str, decode: bool = True) -> DataFrame:
 
     answers = words.repartition(n_shards, "shard").mapInArrow(encode_shard, "block string, shard int, counts binary, ids binary")
     places = rows.mapInArrow(
-        lambda b: _places(b, n_shards), "block string, doc_ids array<long>, n_words array<long>, low binary, high binary"
+        lambda b: _places(b, n_shards), "block string, doc_ids array<long>, n_words array<long>, places binary"
     )
 
     def put_back(asked: pa.Table, got: pa.Table) -> pa.Table:
@@ -202,10 +203,11 @@ def encode(docs: DataFrame, description: str, decode: bool = True) -> DataFrame:
         one = asked.to_pylist()[0]
         got = sorted(got.to_pylist(), key=lambda r: r["shard"])
         kind = id_type(shared.value)
-        counts = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in got] or [np.zeros(0, "<u4")]).astype(np.int64)
-        flat = np.concatenate([np.frombuffer(r["ids"], kind) for r in got] or [np.zeros(0, kind)])
+        counts = np.concatenate([np.frombuffer(unpacked(r["counts"]), "<u4") for r in got] or [np.zeros(0, "<u4")]).astype(np.int64)
+        flat = np.concatenate([np.frombuffer(unpacked(r["ids"]), kind) for r in got] or [np.zeros(0, kind)])
         starts = np.append(0, np.cumsum(counts))
-        index = np.frombuffer(one["low"], "<u2").astype(np.int64) | (np.frombuffer(one["high"], "<u2").astype(np.int64) << 16)
+        planes = np.frombuffer(unpacked(one["places"]), np.uint8).reshape(4, -1)
+        index = np.ascontiguousarray(planes.T).view("<u4").ravel()
         n_words = np.array(one["n_words"], np.int64)
         n = counts[index]
         ids = flat[expanded(starts[index], n)].astype("<u4")

@@ -27,26 +27,38 @@ from .stored import id_ranges, new_folder, range_of, shuffle_partitions, stored
 LENGTH = 1024
 ROWS = 256
 #: Distinct words that a Python worker remembers between batches.
-REMEMBERED = 400_000
+REMEMBERED = 3_000_000
 
-_known: dict[bytes, int] = {}
-_memory: dict[str, np.ndarray | str] = {}
+_memory: dict = {}
 
 
-def _remembered(words: list[bytes], description: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts, starts and flat ids of the words; what a worker has encoded before is not encoded again."""
-    if _memory.get("of") != description or len(_known) > REMEMBERED:
-        _known.clear()
-        _memory.update(of=description, counts=np.zeros(0, np.int64), flat=np.zeros(0, np.uint32))
-    new = [w for w in words if w not in _known]
-    if new:
-        ids = encoding.encode_words(new, description)
-        _known.update(zip(new, range(len(_known), len(_known) + len(new)), strict=True))
-        _memory["counts"] = np.append(_memory["counts"], [len(i) for i in ids])
-        _memory["flat"] = np.append(_memory["flat"], np.array([x for i in ids for x in i], np.uint32))
-    at = np.fromiter((_known[w] for w in words), np.int64, len(words))
-    starts = np.append(0, np.cumsum(_memory["counts"]))
-    return _memory["counts"][at], starts[at], _memory["flat"]
+def _remembered(block: encoding.TextBlock, description: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts and starts of each distinct word's ids, and the ids.
+
+    What a worker has encoded before is found by the word's 64-bit hash and not encoded again.
+    """
+    m, hashes = _memory, block.hashes
+    if m.get("of") != description or len(m["hashes"]) > REMEMBERED:
+        kind = encoding.id_type(description)
+        m.update(of=description, hashes=np.zeros(0, np.uint64), place=np.zeros(0, np.int32))
+        m.update(counts=np.zeros(0, np.int32), starts=np.zeros(0, np.int64), flat=np.zeros(0, kind))
+    at = np.searchsorted(m["hashes"], hashes)
+    there = np.minimum(at, max(len(m["hashes"]) - 1, 0))
+    new = np.flatnonzero(m["hashes"][there] != hashes) if len(m["hashes"]) else np.arange(len(hashes))
+    if len(new):
+        ids = encoding.encode_words(block.words(new), description)
+        counts = np.array([len(i) for i in ids], np.int32)
+        n, used = len(m["counts"]), len(m["flat"])
+        m["counts"] = np.append(m["counts"], counts)
+        m["starts"] = np.append(m["starts"], used + np.cumsum(counts) - counts)
+        m["flat"] = np.append(m["flat"], np.array([x for i in ids for x in i], m["flat"].dtype))
+        every = np.append(m["hashes"], hashes[new])
+        order = np.argsort(every, kind="stable")
+        m["hashes"] = every[order]
+        m["place"] = np.append(m["place"], np.arange(n, n + len(new), dtype=np.int32))[order]
+        at = np.searchsorted(m["hashes"], hashes)
+    place = m["place"][at]
+    return m["counts"][place], m["starts"][place], m["flat"]
 
 
 def encode_in_place(docs: DataFrame, description: str, end_id: int) -> DataFrame:
@@ -54,16 +66,15 @@ def encode_in_place(docs: DataFrame, description: str, end_id: int) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(description)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = encoding.id_type(shared.value)
         for _, doc_ids, block in encoding._text_blocks(batches, 1):
-            counts, starts, flat = _remembered(block.words(0, len(block.starts)), shared.value)
+            counts, starts, flat = _remembered(block, shared.value)
             n = counts[block.index]
             # The end id is one more word, after the last of each text.
-            flat = np.append(flat, np.uint32(end_id))
+            flat = np.append(flat, np.array([end_id], flat.dtype))
             after = np.cumsum(block.n_words)
             n = np.insert(n, after, 1)
             begin = np.insert(starts[block.index], after, len(flat) - 1)
-            ids = flat[encoding.expanded(begin, n)].astype(kind)
+            ids = flat[encoding.expanded(begin, n)]
             edges = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(block.n_words + 1))]
             # Arrow's binary columns take 2 GB; a batch is far below.
             yield pa.record_batch([doc_ids, blocks.binary_array(ids, edges)], ["doc_id", "ids"])

@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -27,7 +28,7 @@ from . import blocks
 from .stored import shuffle_partitions
 
 #: Bytes of text in a block.
-BLOCK_TEXT = 10 << 20
+BLOCK_TEXT = 6 << 20
 
 
 def vocabulary(path: str) -> str:
@@ -101,7 +102,7 @@ def _text_blocks(batches: Iterator[pa.RecordBatch], n_shards: int) -> Iterator[t
     part, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         column = batch.column(1).cast(pa.large_binary())
-        sizes = np.cumsum(np.asarray(column.fill_null(b"").to_pandas().str.len(), np.int64)) if len(column) else np.zeros(0)
+        sizes = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False))
         lo = 0
         while lo < len(column):
             before = sizes[lo - 1] if lo else 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, fingerprints, mixing, outliers, sequences, toxicity
+from . import encoding, fingerprints, mixing, outliers, quality, sequences, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +22,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = quality.select(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return chosen.select("doc_id", "log_weight", "key", "kept")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(documents(spark, sf_dir))
 
@@ -54,7 +59,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing)
+    f.__name__: f for f in (op1_toxicity, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {}

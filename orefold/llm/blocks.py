@@ -150,3 +150,10 @@ def binary_array(values: np.ndarray, at: np.ndarray) -> pa.BinaryArray:
     """Row i holds the bytes of the values from at[i] to at[i + 1]."""
     offsets = (at * values.itemsize).astype(np.int32)
     return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def run_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the values from each start to its end."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power("up", len(values) or 1)[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * _power("down", len(total))[starts] + (ends - starts).astype(np.uint64))

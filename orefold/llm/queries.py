@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, fingerprints, mixing, outliers, quality, sequences, toxicity
+from . import encoding, fingerprints, mixing, outliers, quality, sequences, spans, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
@@ -58,8 +58,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The digest is of the words, one blank between them.
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    out = spans.dedup(documents(spark, sf_dir))
+    return out.select("doc_id", "n_sentences", "n_removed", F.md5(words.cast("binary")).alias("kept_md5"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing)
+    f.__name__: f for f in (op1_toxicity, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_spans": spans.ORACLE}

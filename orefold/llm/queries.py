@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, fingerprints, mixing, outliers, quality, sequences, spans, toxicity
+from . import encoding, fingerprints, mixing, near, outliers, quality, sequences, spans, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
@@ -65,8 +65,13 @@ def op9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_sentences", "n_removed", F.md5(words.cast("binary")).alias("kept_md5"))
 
 
+def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = near.join(documents(spark, sf_dir), k=4, percent=80)
+    return joined.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans)
+    f.__name__: f for f in (op1_toxicity, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_spans": spans.ORACLE}

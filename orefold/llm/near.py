@@ -9,10 +9,13 @@ So classes as similar as the threshold stay together in about one child per node
 unlike ones part. Nodes of one class end. Nodes of at most ``SMALL`` classes, and those of
 depth ``DEPTH``, are leaves; larger ones branch on.
 
-In a leaf every class is paired with one pivot first; after the links that this confirms,
-classes outside the leaf's largest component are paired with all classes of the leaf that
-are in other components. So copies by the thousand cost a pair each, and no link that
-would join two components is skipped. Links are confirmed on the full sets.
+All classes of a small leaf are paired with each other. In a large one, which holds copies
+by the hundred, every class is paired with a few pivots; after the links that this
+confirms, classes outside the leaf's largest component are paired with all classes of
+the leaf that are in other components and, by their distances from the pivots, can be
+near enough. So copies by the thousand cost a few pairs each,
+and no link that would join two components is skipped. Sketches of four bits for each
+token pass over pairs that are far from alike; links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -29,11 +32,16 @@ from .stored import stored
 COORDINATES = 64
 TREES = 16
 SMALL = 12
-DEPTH = 6
+DEPTH = 14
 #: Pairs whose tokens agree in less than this share are passed over, if both sets have
-#: ``SKETCHED`` shingles or more: at the threshold that would be seven standard errors off.
-SKETCH = 0.45
+#: ``SKETCHED`` shingles or more: at the threshold that would be five standard errors off.
+SKETCH = 0.58
 SKETCHED = 64
+#: Pivots of a large leaf.
+PIVOTS = 6
+#: Documents that are looked up by broadcasting their hashes (8 bytes each); more go by a join of two shuffled sides.
+BROADCAST_ROWS = 500_000
+SKETCHES = [f"s{i}" for i in range(4)]
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int, tokens: bool) -> Iterator[pa.RecordBatch]:
@@ -64,10 +72,32 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int, tokens: bool) -> Iterator[p
                 np.minimum.at(table, row, hashes)
                 table = fingerprints.densify(table.reshape(block.n, COORDINATES))
                 values = (table >> np.uint64(24)).astype(np.uint32).view(np.int32).ravel()
-                last = blocks.list_array(values, np.arange(block.n + 1) * COORDINATES)
+                bits = ((table >> np.uint64(24)) & np.uint64(15)).reshape(block.n, 4, 16) << (np.uint64(4) * np.arange(16, dtype=np.uint64))
+                bits = np.bitwise_or.reduce(bits, axis=2).view(np.int64)
+                last = [blocks.list_array(values, np.arange(block.n + 1) * COORDINATES), *(pa.array(bits[:, i].copy()) for i in range(4))]
             else:
-                last = blocks.list_array(hashes.view(np.int64), edges)
-            yield pa.record_batch([*given, sizes, column, last], [*labels, "n", "name", "tokens" if tokens else "shingles"])
+                last = [blocks.list_array(hashes.view(np.int64), edges)]
+            yield pa.record_batch([*given, sizes, column, *last], [*labels, "n", "name", *(["tokens", *SKETCHES] if tokens else ["shingles"])])
+
+
+def _alike(a: str, b: str, percent: int):
+    """Whether the classes of two sides of a join may be similar enough, by set sizes and sketches."""
+    unlike = []
+    for s in SKETCHES:
+        x = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        unlike.append(F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111))))
+    fewer = F.least(f"{a}.n", f"{b}.n")
+    near = (fewer < SKETCHED) | (sum(unlike[1:], unlike[0]) <= int((1 - SKETCH) * COORDINATES))
+    return near & (100 * fewer >= percent * F.greatest(f"{a}.n", f"{b}.n"))
+
+
+def _pair(a: str, b: str) -> list:
+    """Names and set sizes of two sides, the least name first."""
+    sides = [F.struct(f"{x}.name", f"{x}.n") for x in (a, b)]
+    low, high = F.least(*sides), F.greatest(*sides)
+    return [low["name"].alias("a"), high["name"].alias("b"), low["n"].alias("n_a"), high["n"].alias("n_b")]
 
 
 def _branch(members: DataFrame, level: int) -> DataFrame:
@@ -83,7 +113,8 @@ def _branch(members: DataFrame, level: int) -> DataFrame:
 
 
 def _leaves(classes: DataFrame) -> DataFrame:
-    """(node, name, n) of all leaves with more than one class."""
+    """(node, name, n, size) of all leaves with more than one class."""
+    sketches = classes.select("name", *SKETCHES)
     trees = F.explode(F.array(*[F.xxhash64(F.lit(1000 + t)) for t in range(TREES)]))
     members = classes.select(trees.alias("node"), "name", "n", "tokens")
     # The first level is by far the largest, so tokens stay behind: only what shares a node gets them back.
@@ -94,32 +125,31 @@ def _leaves(classes: DataFrame) -> DataFrame:
         members = stored(members.join(sizes, "node"), f"near_level{level}")
         leaf = F.col("size") <= SMALL
         if level == DEPTH:
-            found.append(members.select("node", "name", "n"))
+            found.append(members)
             break
-        found.append(members.where(leaf).select("node", "name", "n"))
+        found.append(members.where(leaf))
         active = members.where(~leaf).drop("size")
         if active.isEmpty():
             break
+        # Few classes are in large nodes, and deeper nodes have no others.
+        branching = active.select("name").distinct()
+        classes = stored(classes.join(branching, "name", "left_semi"), f"near_active{level}")
         members = _branch(active.join(classes.select("name", "tokens"), "name"), level).select("node", "name", "n")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return stored(out.join(sketches, "name"), "near_leaves")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, label: str) -> DataFrame:
-    """Those of the pairs (a, b, n_a, n_b) whose full sets are similar enough."""
-    pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "n_a", "n_b")
+    """The pairs (a, b, n_a, n_b) with the distance of their full sets, and whether that links them."""
     pairs = pairs.groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    tokens = classes.select("name", "tokens")
-    both = pairs.join(tokens.toDF("b", "tokens_b"), "b").join(tokens.toDF("a", "tokens_a"), "a")
-    same = F.aggregate(F.zip_with("tokens_a", "tokens_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    hopeful = (F.least("n_a", "n_b") < SKETCHED) | (same >= SKETCH * COORDINATES)
-    pairs = stored(both.where(hopeful).select("a", "b", "n_a", "n_b"), f"near_{label}_pairs")
+    pairs = stored(pairs, f"near_{label}_pairs")
     # One document of each class that is in a pair gives the full set.
     asked = pairs.select("a").union(pairs.select("b")).distinct().toDF("name")
-    # Stored, so that Spark knows how many there are and spares the texts a shuffle where they are few.
     holders = stored(classes.join(asked, "name").select("holder"), f"near_{label}_holders")
+    if holders.count() <= BROADCAST_ROWS:
+        holders = F.broadcast(holders)
     texts = docs.select(F.xxhash64("doc_id", "text").alias("holder"), "text").join(holders, "holder")
     sets = texts.select("text").mapInArrow(lambda b: _sets(b, k, False), "n long, name binary, shingles array<long>")
     sets = stored(sets.join(asked, "name", "left_semi").select("name", "shingles"), f"near_{label}_sets")
@@ -127,30 +157,28 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, pe
     with_b = pairs.join(sets.toDF("b", "set_b"), "b")
     with_both = with_b.join(sets.toDF("a", "set_a"), "a")
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    linked = with_both.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared))
-    return stored(linked.select("a", "b"), f"near_{label}_links")
+    either = F.col("n_a") + F.col("n_b") - F.col("shared")
+    measured = with_both.withColumn("shared", shared).select(
+        "a", "b", (1 - F.col("shared") / either).alias("distance"), (100 * F.col("shared") >= percent * either).alias("linked")
+    )
+    return stored(measured, f"near_{label}_measured")
 
 
 def components(vertices: DataFrame, links: DataFrame) -> DataFrame:
     """(name, label): the least ``label`` that the links (a, b) reach from each vertex that has any.
 
-    Each round every vertex takes the least label beside it, then the label that this
-    label's own vertex has. Ends when a round changes nothing.
+    A label ends with its vertex's name. Each round every vertex takes the least label
+    beside it, then the label that this label's vertex has. Ends when nothing changes.
     """
-    ends = links.select("a", "b").union(links.select("b", "a"))
-    ends = stored(ends, "near_ends")
+    ends = stored(links.select("a", "b").union(links.select("b", "a")), "near_ends")
     now = stored(ends.select(F.col("a").alias("name")).distinct().join(vertices, "name").select("name", "label"), "near_labels")
     while True:
         beside = ends.join(now.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near"))
-        step = now.join(beside.withColumnRenamed("a", "name"), "name").select(
-            "name", F.col("label").alias("old"), F.least("label", "near").alias("label")
-        )
-        step = stored(step, "near_step")
-        # What the vertex that gave its label has found meanwhile.
-        owner = step.join(vertices.select("name", F.col("label").alias("own")), "name").select(F.col("own").alias("label"), F.col("label").alias("further"))
-        owner = owner.groupBy("label").agg(F.min("further").alias("further"))
-        jumped = step.join(owner, "label", "left").select("name", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
-        jumped = stored(jumped, "near_labels")
+        step = now.join(beside.toDF("name", "near"), "name")
+        step = stored(step.select("name", F.col("label").alias("old"), F.least("label", "near").alias("label")), "near_step")
+        owner = step.select(F.col("name").alias("owner"), F.col("label").alias("further"))
+        jumped = step.join(owner, F.col("label.name") == F.col("owner"))
+        jumped = stored(jumped.select("name", "old", F.least("label", "further").alias("label")), "near_labels")
         now = jumped.select("name", "label")
         if jumped.where("label < old").isEmpty():
             return now
@@ -169,46 +197,59 @@ def join(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     rows = stored(
-        keyed.mapInArrow(lambda b: _sets(b, k, True), "doc_id long, row long, n long, name binary, tokens array<int>"), "near_rows"
+        keyed.mapInArrow(lambda b: _sets(b, k, True), "doc_id long, row long, n long, name binary, tokens array<int>, s0 long, s1 long, s2 long, s3 long"), "near_rows"
     )
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     # Equal sets have equal tokens, so any will do; the holder is one row that has the set.
     classes = rows.where("n > 0").groupBy("name").agg(
-        F.min(F.struct(order.alias("label"), "row", "n", "tokens")).alias("f")
+        F.min(F.struct(order.alias("label"), "row", "n", "tokens", *SKETCHES)).alias("f")
     )
     classes = stored(
-        classes.select("name", F.col("f.label").alias("label"), F.col("f.row").alias("holder"), F.col("f.n").alias("n"), F.col("f.tokens").alias("tokens")),
+        classes.select(
+            "name", F.struct("f.label", "name").alias("label"), F.col("f.row").alias("holder"), *[f"f.{c}" for c in ("n", "tokens", *SKETCHES)]
+        ),
         "near_classes",
     )
-    leaves = stored(_leaves(classes), "near_leaves")
+    leaves = _leaves(classes)
     vertices = classes.select("name", "label")
-    # First a star in each leaf, around the class whose hash is least: the same one in most leaves of a group.
-    rank = F.struct(F.xxhash64("name").alias("h"), "name", "n")
-    pivots = leaves.groupBy("node").agg(F.min(rank).alias("p"))
-    star = leaves.join(pivots, "node").where("name <> p.name").select(
-        F.col("p.name").alias("a"), F.col("name").alias("b"), F.col("p.n").alias("n_a"), F.col("n").alias("n_b")
-    )
-    links = _confirmed(star, classes, docs, k, percent, "star")
+    small, large = leaves.where(F.col("size") <= SMALL), leaves.where(F.col("size") > SMALL)
+    within = small.alias("x").join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.name") < F.col("y.name")) & _alike("x", "y", percent))
+    # The pivots of a leaf have the least hashes of their sixth: the same ones in most leaves of a group.
+    sixth = F.pmod(F.xxhash64("name"), F.lit(PIVOTS))
+    pivots = large.groupBy("node", sixth.alias("q")).agg(F.min(F.struct(F.xxhash64(F.lit(1), "name"), "name", "n", *SKETCHES)).alias("p"))
+    pivots = pivots.select("node", "q", *[F.col(f"p.{c}").alias(c) for c in ("name", "n", *SKETCHES)])
+    star = large.alias("x").join(pivots.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.name") != F.col("y.name")) & _alike("x", "y", percent))
+    first = within.select(*_pair("x", "y")).unionByName(star.select(*_pair("x", "y")))
+    measured = _confirmed(first, classes, docs, k, percent, "first")
+    links = measured.where("linked")
     labels = components(vertices, links)
-    # Then, in each leaf, what is outside its largest component with all that is in other components.
-    placed = leaves.join(labels.withColumnRenamed("label", "part"), "name", "left")
-    placed = stored(placed.withColumn("part", F.coalesce("part", F.xxhash64("name"))), "near_placed")
+    # How far each class of a large leaf is from the leaf's pivots.
+    known = star.select("x.node", F.col("x.name").alias("name"), "q", *_pair("x", "y")).join(measured, ["a", "b"])
+    known = known.groupBy("node", "name").agg(*[F.max(F.when(F.col("q") == i, F.col("distance"))).alias(f"d{i}") for i in range(PIVOTS)])
+    # What is outside a large leaf's largest component, with all that is in others.
+    placed = large.join(labels.select("name", F.col("label.name").alias("part")), "name", "left")
+    placed = stored(placed.withColumn("part", F.coalesce("part", "name")), "near_placed")
     parts = placed.groupBy("node", "part").agg(F.count("*").alias("m"))
     largest = parts.groupBy("node").agg(F.max(F.struct("m", "part")).alias("top"), F.count("*").alias("parts"))
-    mixed = placed.join(largest.where("parts > 1"), "node").select("node", "name", "n", "part", (F.col("part") == F.col("top.part")).alias("main"))
-    mixed = stored(mixed, "near_mixed")
-    outside = mixed.where("NOT main").select("node", *[F.col(c).alias(f"{c}_a") for c in ("name", "n", "part")])
-    across = outside.join(mixed, "node").where("part_a <> part AND (main OR name_a < name)")
-    across = across.select(
-        F.expr("least(struct(name_a AS name, n_a AS n), struct(name, n))").alias("x"),
-        F.expr("greatest(struct(name_a AS name, n_a AS n), struct(name, n))").alias("y"),
-    ).select(F.col("x.name").alias("a"), F.col("y.name").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
-    # Pairs that the stars have tried need no second look.
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _confirmed(across.join(tried, ["a", "b"], "left_anti"), classes, docs, k, percent, "across")
-    labels = components(vertices, links.unionByName(more))
-    classed = vertices.withColumnRenamed("label", "own").join(labels, "name", "left").select("name", F.coalesce("label", "own").alias("label"))
-    classed = stored(classed, "near_classed")
+    mixed = placed.join(largest.where("parts > 1"), "node").withColumn("main", F.col("part") == F.col("top.part"))
+    mixed = stored(mixed.drop("top", "parts").join(known, ["node", "name"], "left"), "near_mixed")
+    # Jaccard distance is a metric: who is this much further from a pivot is at least as far away.
+    limit = 1 - percent / 100 + 1e-9
+    for i in range(PIVOTS):
+        close = F.abs(F.col(f"x.d{i}") - F.col(f"y.d{i}")) <= limit
+        metric = F.coalesce(close, F.lit(True)) if i == 0 else metric & F.coalesce(close, F.lit(True))
+    apart = metric & (F.col("x.node") == F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & (F.col("y.main") | (F.col("x.name") < F.col("y.name")))
+    across = mixed.where("NOT main").alias("x").join(mixed.alias("y"), apart & _alike("x", "y", percent))
+    more = _confirmed(across.select(*_pair("x", "y")), classes, docs, k, percent, "across").where("linked")
+    # These links join whole components, each named by its label's class.
+    placed = vertices.join(labels.withColumnRenamed("label", "found"), "name", "left")
+    placed = stored(placed.select("name", F.coalesce("found", "label").alias("label")), "near_classed")
+    part = placed.select("name", F.col("label.name").alias("part"))
+    joined = more.join(part.toDF("a", "part_a"), "a").join(part.toDF("b", "part_b"), "b")
+    wider = components(vertices, joined.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).where("a <> b").distinct())
+    wider = wider.select(F.col("name").alias("part"), F.col("label").alias("found"))
+    classed = placed.join(wider, F.col("label.name") == F.col("part"), "left")
+    classed = classed.select("name", F.coalesce("found", "label")["label"].alias("label"))
     out = rows.select("doc_id", "row", "n", "name").join(classed, "name", "left")
     found = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("label") < (1 << 63) - 1, F.col("label"))
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), found.alias("component_id"))

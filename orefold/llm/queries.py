@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, fingerprints, mixing, near, outliers, quality, sequences, spans, toxicity
+from . import encoding, fingerprints, licences, mixing, near, outliers, quality, sequences, spans, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +22,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licences.label(docs, licences.fit(docs)).withColumn("families", F.array_join("families", ","))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = quality.select(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return chosen.select("doc_id", "log_weight", "key", "kept")
@@ -71,7 +76,7 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near)
+    f.__name__: f for f in (op1_toxicity, op2_licences, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_spans": spans.ORACLE}

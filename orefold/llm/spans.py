@@ -119,10 +119,10 @@ def dedup_rows(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        F.struct(*[F.col(f"`{n}`") for n in names if n != "text"], F.lit(0).alias("")).alias("rest"),
+        F.struct(F.lit(0).alias("none"), *[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names) if n != "text"]).alias("rest"),
     )
     out = _dedup(rows, run, least_words)
-    return out.select(*[F.col("text") if n == "text" else F.col("rest").getField(n).alias(n) for n in names])
+    return out.select(*[F.col("text") if n == "text" else F.col("rest").getField(f"c{i}").alias(n) for i, n in enumerate(names)])
 
 
 def _dedup(rows: DataFrame, run: int, least_words: int) -> DataFrame:

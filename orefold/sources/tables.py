@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
     """Replace ``table`` by ``df`` and return the stored table.
 
-    Later steps use the returned DataFrame, so nothing upstream is computed twice.
+    The rows are written beside the table first, so a failed write leaves the former
+    rows readable; only then are the two exchanged. Later steps use the returned
+    DataFrame, so nothing upstream is computed twice.
     """
     spark = df.sparkSession
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
+    incoming = f"{table}_incoming_{uuid.uuid4().hex[:8]}"
+    df.write.format("parquet").saveAsTable(incoming)
     if comment:
-        set_comment(spark, table, comment)
+        set_comment(spark, incoming, comment)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
     return spark.table(table)
 
 

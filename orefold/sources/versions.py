@@ -50,20 +50,15 @@ class VersionedTable:
         stamped = df.withColumn(VERSION, F.lit(version))
         if not self.spark.catalog.tableExists(self.table):
             stamped.limit(0).write.format("parquet").partitionBy(VERSION).saveAsTable(self.table)
-        # A failed attempt may have left rows under this number.
-        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({VERSION}={version})")
+        # A failed attempt may have left rows under this number, known to the catalog or not.
+        part = f"PARTITION ({VERSION}={version})"
+        self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {part}")
+        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {part}")
         columns = self.spark.table(self.table).columns
         if set(columns) != set(stamped.columns):
             raise ValueError(f"{self.table} has columns {columns[:-1]}, not {df.columns}")
-        # Dynamic overwrite replaces this one partition, and lets the rows come
-        # from another version of the same table.
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
-            stamped.select(*columns).write.mode("overwrite").insertInto(self.table)
-        finally:
-            self.spark.conf.set(mode, before)
+        # The partition is empty now, and rows may come from another version of the same table.
+        stamped.select(*columns).write.mode("append").insertInto(self.table)
 
     def _record(self, rows: DataFrame) -> None:
         line = rows.select(
@@ -120,18 +115,23 @@ class VersionedTable:
     def expire(
         self, keep_last: int | None = None, older_than: datetime | None = None
     ) -> list[int]:
-        """Remove the files of the versions ``to_expire`` names."""
+        """Remove the files of the versions ``to_expire`` names, and of versions that were
+        marked before but kept their files because that run was stopped."""
         chosen = self.to_expire(keep_last, older_than)
         # Version numbers only: a few per table, whatever the size of its rows.
         versions = sorted(r["version"] for r in chosen.select("version").collect())
-        if not versions:
-            return []
-        # Marked first: a stop half-way leaves unread files, not broken versions.
-        marked = self.live().filter(F.col("version").isin(versions))
-        rows = marked.withColumn("operation", F.lit(_EXPIRE)).select(
-            "version", "operation", "num_rows"
-        )
-        self._record(rows)
-        parts = ", ".join(f"PARTITION ({VERSION}={v})" for v in versions)
-        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {parts}")
+        if versions:
+            # Marked first: a stop half-way leaves unread files, not broken versions.
+            marked = self.live().filter(F.col("version").isin(versions))
+            rows = marked.withColumn("operation", F.lit(_EXPIRE)).select(
+                "version", "operation", "num_rows"
+            )
+            self._record(rows)
+        expired = self.history().filter(F.col("operation") == _EXPIRE).select("version")
+        marked_numbers = {r["version"] for r in expired.distinct().collect()}
+        stored = self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()
+        numbers = {int(r["partition"].rpartition("=")[2]) for r in stored}
+        parts = ", ".join(f"PARTITION ({VERSION}={v})" for v in sorted(numbers & marked_numbers))
+        if parts:
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {parts}")
         return versions

@@ -6,27 +6,22 @@ Everything goes under the shared folder the cluster names in
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, "")
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
-    # One host runs everything, so its own temporary folder is shared by all.
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="orefold-")
-    return _local_folders[context.applicationId]
+    # The warehouse is where tables without a place of their own go, too.
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/orefold_scratch"
 
 
 @dataclass(frozen=True)
@@ -53,3 +48,10 @@ def new_workspace(spark: SparkSession, label: str = "run") -> Workspace:
     folder = f"{shared_folder(spark)}/{name}"
     spark.sql(f"CREATE SCHEMA {name} LOCATION '{folder}/tables'")
     return Workspace(folder, name)
+
+
+def drop_workspace(spark: SparkSession, space: Workspace) -> None:
+    """Drop the workspace's tables and remove its folder."""
+    spark.sql(f"DROP SCHEMA IF EXISTS {space.schema} CASCADE")
+    path = spark._jvm.org.apache.hadoop.fs.Path(space.folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -51,10 +51,10 @@ def test_row_counts_read_no_columns(spark, space, landing):
 def test_shared_folder_without_the_setting():
     def session(master):
         context = SimpleNamespace(master=master, applicationId="app-1")
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default="warehouse": default), sparkContext=context)
 
     local = workspace.shared_folder(session("local[2]"))
-    assert local == workspace.shared_folder(session("local[2]"))
+    assert local == workspace.shared_folder(session("local[2]")) == "warehouse/orefold_scratch"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_folder(session("yarn"))
 

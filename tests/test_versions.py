@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orefold.operators.layout import _placed, cluster_by
+from orefold.parallel import side_by_side
+from orefold.sources.tables import overwrite_table
 from orefold.sources.versions import VersionedTable
 from rows import sorted_rows
 
@@ -158,3 +160,40 @@ def test_range_read_skips_clustered_files(spark, table, kind):
 def test_cluster_accepts_map_columns(spark):
     df = spark.range(10).withColumn("m", F.create_map(F.lit("a"), "id"))
     assert cluster_by(df, "id", 2).count() == 10
+
+
+def test_a_stopped_expiry_is_finished_by_the_next(spark, table, monkeypatch):
+    for n in (1, 2, 3):
+        table.write(spark.range(n))
+    sql = spark.sql
+    # The stop falls between the mark and the removal of the files.
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (_ for _ in ()).throw(KeyboardInterrupt) if "DROP IF EXISTS" in text else sql(text, *a, **k))
+    with pytest.raises(KeyboardInterrupt):
+        table.expire(keep_last=1)
+    monkeypatch.undo()
+    assert spark.sql(f"SHOW PARTITIONS {table.table}").count() == 3
+    assert table.expire(keep_last=1) == []
+    assert spark.sql(f"SHOW PARTITIONS {table.table}").count() == 1 and table.read().count() == 3
+
+
+def test_a_failed_overwrite_keeps_the_former_rows(spark, space):
+    name = space.table("kept")
+    overwrite_table(spark.range(5), name)
+    with pytest.raises(Exception):
+        overwrite_table(spark.range(3).select(F.raise_error(F.lit("stop")).cast("long").alias("id")), name)
+    assert spark.table(name).count() == 5
+    assert sorted_rows(overwrite_table(spark.table(name).where("id > 2"), name, "some")) == [(3,), (4,)]
+
+
+def test_versions_leave_the_session_as_it_is(spark, table):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    table.write(spark.range(3))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert table.read().count() == 3
+
+
+def test_threads_keep_the_job_group(spark):
+    spark.sparkContext.setJobGroup("theirs", "their jobs")
+    seen = side_by_side({str(i): lambda: spark.sparkContext.getLocalProperty("spark.jobGroup.id") for i in range(3)})
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(seen.values()) == {"theirs"}

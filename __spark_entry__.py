@@ -253,20 +253,43 @@ def revenue_by_category_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hundredths(spark: SparkSession, sf_dir: str, amount: str) -> DataFrame:
+    """Enrollments with amounts made from the whole hundredths ``h`` of their prices."""
+    rows = _raw(spark, sf_dir, "enrollments").withColumn(
+        "h", F.expr("CAST(rint(payment_amount * 100) AS BIGINT)")
+    )
+    return rows.withColumn("payment_usd", F.expr(amount))
+
+
+def revenue_by_instructor_large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of ten to a hundred thousand millions."""
+    return metrics.revenue_by_instructor(
+        _hundredths(spark, sf_dir, "(h * 1000000 + 37) / 100D"),
+        _silver(spark, sf_dir, "courses"),
+        _silver(spark, sf_dir, "instructors"),
+    )
+
+
+def revenue_by_category_small_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of about a millionth and less."""
+    return metrics.revenue_by_category(
+        _hundredths(spark, sf_dir, "h / 1e12D"), _silver(spark, sf_dir, "courses")
+    )
+
+
 def top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.revenue_by_category(
         _silver(spark, sf_dir, "enrollments"), _silver(spark, sf_dir, "courses"), k=3
     )
 
 
-# The same metrics as planned where the courses are too many to broadcast.
+# The same metrics with the rows of a course spread over fewer tasks.
 
 
 def completion_rate_large_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.completion_rate(
         _silver(spark, sf_dir, "progress"),
         _silver(spark, sf_dir, "courses"),
-        broadcast_limit=0,
         salts=4,
     )
 
@@ -276,14 +299,13 @@ def revenue_by_instructor_large_courses(spark: SparkSession, sf_dir: str) -> Dat
         _silver(spark, sf_dir, "enrollments"),
         _silver(spark, sf_dir, "courses"),
         _silver(spark, sf_dir, "instructors"),
-        broadcast_limit=0,
         salts=4,
     )
 
 
 def revenue_by_category_month_large_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.revenue_by_category_month(
-        _silver(spark, sf_dir, "enrollments"), _silver(spark, sf_dir, "courses"), broadcast_limit=0
+        _silver(spark, sf_dir, "enrollments"), _silver(spark, sf_dir, "courses"), salts=4
     )
 
 
@@ -434,6 +456,8 @@ def queries() -> dict[str, Query]:
         revenue_by_category,
         revenue_by_category_raw,
         revenue_by_category_month,
+        revenue_by_instructor_large_amounts,
+        revenue_by_category_small_amounts,
         top_categories,
         completion_rate_large_courses,
         revenue_by_instructor_large_courses,
@@ -636,6 +660,20 @@ def oracle_sql() -> dict[str, str]:
                 "SELECT * FROM cat", _category("venr", "payment_amount")
             ),
             "revenue_by_category_month": category_month,
+            "revenue_by_instructor_large_amounts": _sql(
+                """SELECT scrs.instructor_id, name, country, CAST(sum((CAST(CAST(round(
+                   payment_amount * 100) AS BIGINT) AS DECIMAL(20,0)) * 1000000 + 37) * 0.01)
+                   AS DOUBLE) AS total_revenue_usd, count(enrollment_id) AS total_inscripciones
+                   FROM enr LEFT JOIN scrs USING (course_id)
+                   LEFT JOIN sins ON scrs.instructor_id = sins.instructor_id
+                   GROUP BY scrs.instructor_id, name, country"""
+            ),
+            "revenue_by_category_small_amounts": _sql(
+                """SELECT category, CAST(round(sum(CAST(CAST(round(payment_amount * 100)
+                   AS BIGINT) AS DECIMAL(18,0)) * 0.000000000001), 2) AS DOUBLE) AS revenue_usd,
+                   count(enrollment_id) AS inscripciones
+                   FROM enr LEFT JOIN scrs USING (course_id) GROUP BY category"""
+            ),
             "top_categories": _sql(
                 "SELECT * FROM cat ORDER BY revenue_usd DESC NULLS LAST, category LIMIT 3",
                 _CATEGORY,

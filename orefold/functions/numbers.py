@@ -43,18 +43,15 @@ def not_negative(df: DataFrame, name: str) -> str:
 def percent(done: str, total: str) -> str:
     """``done / total * 100`` of two doubles, rounded half up to two places.
 
-    Whole counts go through long arithmetic, which is exact on ties. Fractions go
-    through decimals, and values no decimal can hold through doubles.
+    Whole counts go through long arithmetic, which is exact on ties. Fractions are
+    divided as the doubles they are and rounded once.
     """
     return f"""CASE
       WHEN {done} BETWEEN 0 AND 1e12 AND {total} BETWEEN 1 AND 1e12
            AND rint({done}) = {done} AND rint({total}) = {total}
       THEN ((CAST({done} AS BIGINT) * 20000 + CAST({total} AS BIGINT))
             DIV (CAST({total} AS BIGINT) * 2)) / 100D
-      ELSE coalesce(
-        CAST(round(try_divide(try_cast({done} AS DECIMAL(18, 6)) * 100,
-                              try_cast({total} AS DECIMAL(18, 6))), 2) AS DOUBLE),
-        round(try_divide({done}, {total}) * 100, 2))
+      ELSE round(try_divide({done}, {total}) * 100, 2)
       END"""
 
 

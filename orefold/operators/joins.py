@@ -1,27 +1,23 @@
-"""Left joins of facts with a dimension that is not trusted to be small or unique.
+"""Left joins of aggregated facts with a dimension that is not trusted to be small or unique.
+
+Facts are aggregated by the join key first, which map-side combine does before the
+shuffle: a key that holds a third of the facts leaves each map task as one row. How
+the two reduced sides meet is left to adaptive execution, which knows their real
+sizes when they have been shuffled and broadcasts the smaller one if it is small.
 
 ``distinct_with_copies`` reduces a dimension to its distinct rows with a ``copies``
 count, because a duplicated key must multiply the facts it meets, and copies of
 one row must neither meet in one task nor multiply rows in flight.
-
-``fits_broadcast`` measures the dimension. Below the limit the facts can be joined
-as they are read and are never shuffled by key. Beyond it they are first
-aggregated by the join key, which map-side combine does before the shuffle: a key
-that holds a third of the facts leaves each map task as one row, and
-``join_dimension`` then joins two reduced sides. A dimension key with very many
-different rows is found by ``salts_needed`` and spread over several tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
-
-from ..functions.numbers import quoted
+from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-ROWS_PER_TASK = 1_000_000
+#: Tasks that the different rows of one dimension key are spread over.
+SALTS = 32
 COPIES = "_copies"
 # Copies of the matched dimension row; an unmatched fact counts once.
 TIMES = f"coalesce({COPIES}, 1L)"
@@ -38,54 +34,21 @@ def distinct_with_copies(dimension: DataFrame, key: str, attributes: Sequence[st
     )
 
 
-def fits_broadcast(
-    dimension: DataFrame, columns: Sequence[str], limit: int = BROADCAST_LIMIT
-) -> bool:
-    """Whether these columns of ``dimension`` measure at most ``limit`` bytes.
-
-    The measure is an aggregate over the columns alone; one number comes back.
-    """
-    if limit <= 0:
-        return False
-    size = "16L"
-    for name in columns:
-        size += " + 8"
-        if isinstance(dimension.schema[name].dataType, (T.StringType, T.BinaryType)):
-            size += f" + coalesce(octet_length({quoted(name)}), 0)"
-    [row] = dimension.agg(F.expr(f"coalesce(sum({size}), 0L) AS bytes")).collect()
-    return row.bytes <= limit
-
-
-def salts_needed(dimension: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> int:
-    """Over how many tasks the rows of the most frequent key should be spread."""
-    per_key = dimension.filter(F.col(key).isNotNull()).groupBy(key).agg(F.expr("count(1) AS n"))
-    [row] = per_key.agg(F.expr("coalesce(max(n), 0L) AS most")).collect()
-    return max(1, -(-row.most // rows_per_task))
-
-
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,
     key: str,
     attributes: Sequence[str],
-    fits: bool | None = None,
-    salts: int | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """``facts`` left join the distinct rows of ``dimension`` on ``key``.
+    """``facts``, aggregated by ``key``, left join the distinct rows of ``dimension``.
 
-    ``fits`` and ``salts`` are measured where they are not given. With ``salts``
-    above one the rows of a key are spread over that many tasks; each fact row is
-    repeated only for the salts its key really has, so an unmatched fact still
-    yields exactly one row.
+    With ``salts`` above one the different rows of a dimension key are spread over that
+    many tasks, so a key with millions of them fills no single one. Each fact row is
+    repeated only for the salts its key really has, so an unmatched fact still yields
+    exactly one row. Give ``salts=1`` where the keys are known to be unique.
     """
     distinct = distinct_with_copies(dimension, key, attributes)
-    if fits is None:
-        fits = fits_broadcast(dimension, [key, *attributes], broadcast_limit)
-    if fits:
-        return facts.join(F.broadcast(distinct), key, "left")
-    if salts is None:
-        salts = salts_needed(dimension, key)
     if salts <= 1:
         return facts.join(distinct, key, "left")
     salted = distinct.withColumn(_SALT, F.pmod(F.xxhash64(*attributes), F.lit(salts)))

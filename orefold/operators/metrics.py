@@ -1,9 +1,9 @@
 """Gold metrics.
 
-Only partial sums cross the network, never fact rows: a metric per course is
-aggregated before its join, one per attribute of the course after a broadcast join
-or, if the courses are too many for that, around it (see ``joins``). Sums are exact
-and do not depend on row order. Sorted results break ties by key, which makes the
+Only partial sums cross the network, never fact rows: facts are aggregated by course,
+joined with the courses, and aggregated again where a metric is by an attribute of the
+course (see ``joins``). Building a metric starts no job. Sums are exact to eighteen
+places and do not depend on row order. Sorted results break ties by key, which makes the
 order total and lets the range sort split a run of equal values.
 """
 
@@ -16,15 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exact import ExactSum, weighted_count
 from ..functions.numbers import number, quoted
-from ..parallel import side_by_side
 from .clean import with_completion
-from .joins import (
-    BROADCAST_LIMIT,
-    TIMES,
-    distinct_with_copies,
-    fits_broadcast,
-    join_dimension,
-)
+from .joins import SALTS, TIMES, distinct_with_copies, join_dimension
 
 _MONEY = ExactSum("_money")
 _PERCENT = ExactSum("_percent")
@@ -43,8 +36,7 @@ def completion_rate(
     course: str = "course_id",
     title: str = "title",
     category: str = "category",
-    salts: int | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Users and mean completion per course; each row is rounded, then the mean."""
     per_course = (
@@ -52,9 +44,7 @@ def completion_rate(
         .groupBy(course)
         .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
     )
-    joined = join_dimension(
-        per_course, courses, course, [title, category], None, salts, broadcast_limit
-    )
+    joined = join_dimension(per_course, courses, course, [title, category], salts)
     return joined.select(
         course,
         title,
@@ -70,21 +60,20 @@ def completion_rate_single_round(
     user: str = "user_id",
     course: str = "course_id",
     title: str = "title",
-    salts: int | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Users and mean completion per course; only the mean is rounded."""
     per_course = (
         with_completion(progress, rounded=False)
         .groupBy(course)
-        .agg(
-            F.count(user).alias(_ROWS),
-            F.expr("round(avg(completion_pct), 2) AS completion_pct"),
-        )
+        .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
     )
-    joined = join_dimension(per_course, courses, course, [title], None, salts, broadcast_limit)
+    joined = join_dimension(per_course, courses, course, [title], salts)
     return joined.select(
-        course, title, F.expr(f"{_ROWS} * {TIMES}").alias("total_usuarios"), "completion_pct"
+        course,
+        title,
+        F.expr(f"{_ROWS} * {TIMES}").alias("total_usuarios"),
+        _PERCENT.mean().alias("completion_pct"),
     )
 
 
@@ -96,28 +85,28 @@ def _money_by_attribute(
     course: str,
     attribute: str,
     others: Sequence[str],
-    fits: bool,
-    salts: int | None,
+    salts: int,
 ) -> DataFrame:
     """Money and rows by an attribute of the course and ``others`` of the facts."""
     value = number(enrollments, amount)
-    facts = enrollments.select(course, enrollment, amount, *others)
-    if fits:
-        small = F.broadcast(distinct_with_copies(courses, course, [attribute]))
+    if others:
+        # Few facts share a course and the others, so aggregating first would save little.
+        # Catalyst broadcasts the courses or, if they are large, splits their hot keys.
+        facts = enrollments.select(course, enrollment, amount, *others)
         return (
-            facts.join(small, course, "left")
+            facts.join(distinct_with_copies(courses, course, [attribute]), course, "left")
             .groupBy(attribute, *others)
             .agg(
                 F.expr(f"{weighted_count(quoted(enrollment), TIMES)} AS {_ROWS}"),
                 *_MONEY.first(value, TIMES),
             )
         )
-    per_course = facts.groupBy(course, *others).agg(
+    per_course = enrollments.groupBy(course).agg(
         F.count(enrollment).alias(_ROWS), *_MONEY.first(value)
     )
     return (
-        join_dimension(per_course, courses, course, [attribute], fits, salts)
-        .groupBy(attribute, *others)
+        join_dimension(per_course, courses, course, [attribute], salts)
+        .groupBy(attribute)
         .agg(F.expr(f"sum({_ROWS} * {TIMES}) AS {_ROWS}"), *_MONEY.again(TIMES))
     )
 
@@ -133,28 +122,17 @@ def revenue_by_instructor(
     name: str = "name",
     country: str = "country",
     k: int | None = None,
-    salts: int | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Revenue and enrollments per instructor, highest revenue first.
 
     Enrollments without a known course form the group with a NULL instructor. Pass
     ``amount="payment_amount"`` for sums of the unconverted amounts.
     """
-    fits = side_by_side(
-        {
-            "courses": lambda: fits_broadcast(courses, [course, instructor], broadcast_limit),
-            "instructors": lambda: fits_broadcast(
-                instructors, [instructor, name, country], broadcast_limit
-            ),
-        }
-    )
     per_instructor = _money_by_attribute(
-        enrollments, courses, amount, enrollment, course, instructor, [], fits["courses"], salts
-    )
-    joined = join_dimension(
-        per_instructor, instructors, instructor, [name, country], fits["instructors"], salts
+        enrollments, courses, amount, enrollment, course, instructor, [], salts
     )
+    joined = join_dimension(per_instructor, instructors, instructor, [name, country], salts)
     result = joined.select(
         instructor,
         name,
@@ -209,16 +187,14 @@ def revenue_by_category(
     course: str = "course_id",
     category: str = "category",
     k: int | None = None,
-    salts: int | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Revenue and enrollments per category, highest revenue first.
 
     The NULL category holds enrollments whose course is unknown.
     """
-    fits = fits_broadcast(courses, [course, category], broadcast_limit)
     result = _money_by_attribute(
-        enrollments, courses, amount, enrollment, course, category, [], fits, salts
+        enrollments, courses, amount, enrollment, course, category, [], salts
     ).select(
         category, _MONEY.total().alias("revenue_usd"), F.col(_ROWS).alias("inscripciones")
     )
@@ -233,15 +209,13 @@ def revenue_by_category_month(
     course: str = "course_id",
     category: str = "category",
     enrolled_at: str = "enrolled_at",
-    salts: int | None = None,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Revenue and enrollments per category and first day of the month."""
     day = f"CAST(try_cast({quoted(enrolled_at)} AS TIMESTAMP_NTZ) AS DATE)"
     dated = enrollments.withColumn("month", F.expr(f"trunc({day}, 'month')"))
-    fits = fits_broadcast(courses, [course, category], broadcast_limit)
     per_month = _money_by_attribute(
-        dated, courses, amount, enrollment, course, category, ["month"], fits, salts
+        dated, courses, amount, enrollment, course, category, ["month"], salts
     )
     return per_month.select(
         category,

@@ -122,7 +122,7 @@ def test_exact_sum(spark, rows):
     assert twice == (float(2 * sum(everything)) if everything else None)
 
 
-def test_exact_sum_keeps_what_it_cannot_split(spark):
+def test_exact_sum_of_large_values_and_what_no_decimal_holds(spark):
     part = ExactSum("p")
 
     def total(values):

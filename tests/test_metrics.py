@@ -1,10 +1,12 @@
 """Each metric against the plain join-then-group form, on rows with every awkward case."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from orefold.operators import clean, metrics
-from orefold.operators.joins import fits_broadcast, join_dimension, salts_needed
+from orefold.operators.joins import join_dimension
 from rows import frames, sorted_rows
 
 
@@ -22,22 +24,32 @@ def silver(spark):
 
 WAYS = [
     {},
-    {"broadcast_limit": 0},
-    {"broadcast_limit": 0, "salts": 4},
+    {"salts": 1},
+    {"salts": 4},
 ]
 
 
-def plain_revenue(silver, amount="payment_usd"):
-    return (
-        silver["enrollments"]
-        .join(silver["courses"].select("course_id", "instructor_id"), "course_id", "left")
-        .join(silver["instructors"], "instructor_id", "left")
-        .groupBy("instructor_id", "name", "country")
-        .agg(
-            F.round(F.sum(F.col(amount).try_cast("double")), 2).alias("total_revenue_usd"),
-            F.count("enrollment_id").alias("total_inscripciones"),
-        )
-    )
+#: Instructor, name, country, revenue and enrollments, worked out by hand from ``rows.py``.
+#: c1 (i1): e1 5.80, e2 240.00, e9 none, e10 -40, e11 0; c3 (i1): e5 7, e6 1.01.
+#: c2 (i2): e3 2.70, e4 50.50, e12 unreadable, one of 5 without an id; c5 (i2 twice, i3): e15 3.
+#: c4 leads to an unknown instructor (i9); e7 and e8 have no known course.
+REVENUE = {
+    "payment_usd": [
+        ("i1", "Ana", "PE", 213.81, 7),
+        ("i2", "Beto", "Desconocido", 64.2, 5),
+        ("i3", "Caro", "", 3.0, 1),
+        ("i9", None, None, 9.0, 1),
+        (None, None, None, 50.0, 2),
+    ],
+    # Unconverted: e2 is 1,000,000, e1 100, e3 10, and e6 is not rounded before the sum.
+    "payment_amount": [
+        ("i1", "Ana", "PE", 1000068.01, 7),
+        ("i2", "Beto", "Desconocido", 71.5, 5),
+        ("i3", "Caro", "", 3.0, 1),
+        ("i9", None, None, 9.0, 1),
+        (None, None, None, 50.0, 2),
+    ],
+}
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -46,7 +58,7 @@ def test_revenue_by_instructor(silver, way, amount):
     got = metrics.revenue_by_instructor(
         silver["enrollments"], silver["courses"], silver["instructors"], amount=amount, **way
     )
-    assert sorted_rows(got) == sorted_rows(plain_revenue(silver, amount))
+    assert sorted_rows(got) == sorted(REVENUE[amount], key=repr)
     totals = [r.total_revenue_usd for r in got.collect()]
     known = [t for t in totals if t is not None]
     assert known == sorted(known, reverse=True) and totals[: len(known)] == known
@@ -58,7 +70,7 @@ def test_other_fact_columns_do_not_collide(silver, way):
         {c: F.lit("x") for c in ("instructor_id", "category", "title", "name")}
     )
     got = metrics.revenue_by_instructor(more, silver["courses"], silver["instructors"], **way)
-    assert sorted_rows(got) == sorted_rows(plain_revenue(silver))
+    assert sorted_rows(got) == sorted(REVENUE["payment_usd"], key=repr)
     got = metrics.revenue_by_category(more, silver["courses"], **way)
     want = metrics.revenue_by_category(silver["enrollments"], silver["courses"], **way)
     assert got.collect() == want.collect()
@@ -249,8 +261,8 @@ def test_facts_are_never_shuffled_row_by_row(spark, hot):
 def test_salted_join_spreads_a_key_and_keeps_unmatched(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k bigint, f string")
     dimension = spark.range(0, 1000).selectExpr("1L AS k", "id % 300 AS v")
-    plain = join_dimension(facts, dimension, "k", ["v"], fits=False, salts=1)
-    salted = join_dimension(facts, dimension, "k", ["v"], fits=False, salts=8)
+    plain = join_dimension(facts, dimension, "k", ["v"], salts=1)
+    salted = join_dimension(facts, dimension, "k", ["v"], salts=8)
     columns = ["k", "f", "v", "_copies"]
     assert sorted_rows(salted.select(*columns)) == sorted_rows(plain.select(*columns))
     assert salted.count() == 302
@@ -259,18 +271,62 @@ def test_salted_join_spreads_a_key_and_keeps_unmatched(spark):
     )
 
 
-def test_salts_follow_the_most_frequent_key(spark):
-    dimension = spark.range(0, 1000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k")
-    assert salts_needed(dimension, "k", rows_per_task=100) == 4
-    assert salts_needed(dimension, "k") == 1
-    assert salts_needed(dimension.filter("k < 0"), "k") == 1
-    nothing = spark.range(0, 1000).selectExpr("CAST(NULL AS BIGINT) AS k")
-    assert salts_needed(nothing, "k", rows_per_task=100) == 1
-
-
-def test_broadcast_only_below_the_measured_limit(spark):
-    dimension = spark.range(0, 1000).selectExpr("id AS k", "repeat('x', 100) AS v")
-    assert fits_broadcast(dimension, ["k", "v"], 1 << 20)
-    assert not fits_broadcast(dimension, ["k", "v"], 100_000)
-    assert not fits_broadcast(dimension, ["k", "v"], 0)
-    assert fits_broadcast(dimension.limit(0), ["k", "v"], 1)
+@pytest.mark.parametrize("way", WAYS)
+def test_building_a_metric_starts_no_job(spark, hot, way):
+    facts, courses, instructors = hot
+    tracker = spark.sparkContext.statusTracker()
+    group = f"building {way}"
+    spark.sparkContext.setJobGroup(group, "metrics")
+    try:
+        revenue = metrics.revenue_by_instructor(facts, courses, instructors, **way)
+        progress = facts.selectExpr("enrollment_id AS user_id", "course_id", "1D AS lessons_completed", "2D AS total_lessons")
+        titled = courses.selectExpr("course_id", "'t' AS title", "'c' AS category")
+        rates = metrics.completion_rate(progress, titled, **way)
+        metrics.completion_rate_single_round(progress, titled, **way)
+        metrics.revenue_by_category(facts, titled, **way)
+        metrics.headline_totals(rates, revenue)
+        assert not tracker.getJobIdsForGroup(group)
+        rates.collect()
+        assert tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+# -- digits --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("unit", [4e-7, 1e-12, 1e9 + 0.37, 3e15 + 0.5, 1.005])
+def test_no_digit_depends_on_size_or_layout(spark, unit):
+    """40,000 rows of ``unit`` times 1, 2 or 3, against sums of Python decimals."""
+    rows = spark.range(0, 40_000, 1, 4).selectExpr(
+        "id AS enrollment_id", "id % 2 AS course_id", f"(id % 3 + 1) * {unit!r}D AS payment_usd"
+    )
+    courses = spark.range(2).selectExpr("id AS course_id", "id AS instructor_id", "'c' AS category")
+    instructors = spark.range(2).selectExpr("id AS instructor_id", "'n' AS name", "'x' AS country")
+    cents = Decimal("0.01")
+    exact = [Decimal(0), Decimal(0)]
+    for i in range(40_000):
+        exact[i % 2] += Decimal(repr((i % 3 + 1) * unit))
+    want = {i: float(t.quantize(cents, ROUND_HALF_UP)) for i, t in enumerate(exact)}
+    both = float(sum(exact).quantize(cents, ROUND_HALF_UP))
+    for layout in (rows, rows.repartition(3), rows.repartition(7)):
+        revenue = metrics.revenue_by_instructor(layout, courses, instructors)
+        assert {r.instructor_id: r.total_revenue_usd for r in revenue.collect()} == want
+        [category] = metrics.revenue_by_category(layout, courses).collect()
+        assert category.revenue_usd == both
+        totals = revenue.selectExpr("total_revenue_usd", "0D AS avg_completion_pct")
+        values = {r.metric: r.value for r in metrics.headline_totals(totals, totals).collect()}
+        assert values["total_revenue_usd"] == float(sum(Decimal(repr(v)) for v in want.values()))
+
+
+def test_mean_of_unrounded_percentages_is_the_same_in_any_layout(spark):
+    progress = spark.range(0, 30_000, 1, 4).selectExpr(
+        "id AS user_id", "1L AS course_id", "(id * 7) % (id % 89 + 1) AS lessons_completed",
+        "id % 89 + 1 AS total_lessons",
+    )
+    courses = spark.createDataFrame([(1, "t")], "course_id long, title string")
+    exact = sum(Decimal(repr((i * 7) % (i % 89 + 1) / (i % 89 + 1) * 100)) for i in range(30_000)) / 30_000
+    want = float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    for parts in (1, 3, 8):
+        got = metrics.completion_rate_single_round(progress.repartition(parts), courses).first()
+        assert got.completion_pct == want

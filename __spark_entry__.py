@@ -17,7 +17,7 @@ from orefold.plans import batch, standins  # noqa: E402
 from orefold.plans.incremental import Incremental  # noqa: E402
 from orefold.sources.csv_files import read_csv, write_csv  # noqa: E402
 from orefold.sources.tables import overwrite_table  # noqa: E402
-from orefold.sources.versions import VersionedTable  # noqa: E402
+from orefold.sources.versions import VersionedTable, versions_of  # noqa: E402
 from orefold.sources.workspace import Workspace, new_workspace  # noqa: E402
 from orefold.streaming.flows import summarise_rule_metrics  # noqa: E402
 
@@ -137,6 +137,14 @@ def quality_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise_rule_metrics(spark.table(flows.table("rule_metrics")))
 
 
+def quality_report_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that a batch run stores beside its tables."""
+    space = new_workspace(spark, "batch")
+    _land(spark, sf_dir, space, *ENTITIES)
+    batch.run(spark, space.landing, space.schema, check_rules=True)
+    return spark.table(space.table("rule_metrics"))
+
+
 def quality_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts observed while the checked rows were written to a table."""
     space = new_workspace(spark, "observed")
@@ -324,6 +332,23 @@ def _batch_run(spark: SparkSession, sf_dir: str) -> batch.Layers:
     return batch.run(spark, space.landing, space.schema)
 
 
+def _run_twice(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """Enrollments of a batch run without rules, then of one with them."""
+    space = new_workspace(spark, "batch")
+    _land(spark, sf_dir, space, *ENTITIES)
+    batch.run(spark, space.landing, space.schema)
+    batch.run(spark, space.landing, space.schema, check_rules=True)
+    return versions_of(spark, space.table("silver_enrollments"))
+
+
+def batch_table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_twice(spark, sf_dir).history().drop("committed_at")
+
+
+def batch_version_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standins.typed(_run_twice(spark, sf_dir).read(0))
+
+
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_run(spark, sf_dir).row_counts()
 
@@ -395,6 +420,13 @@ def expired_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.history().drop("committed_at")
 
 
+def rows_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows that are still stored when every version but the last has expired."""
+    table = _versioned_enrollments(spark, sf_dir)
+    table.expire(keep_last=1)
+    return spark.table(table.table).drop("_version")
+
+
 def clustered_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of dates, kept as text like all raw columns, out of clustered files."""
     table = VersionedTable(spark, new_workspace(spark, "clustered").table("silver_enrollments"))
@@ -441,6 +473,7 @@ def queries() -> dict[str, Query]:
         quality_report,
         quality_report_stream,
         quality_report_observed,
+        quality_report_batch,
         expect_keep_rows,
         expect_drop_rows,
         expect_fail_clean,
@@ -473,6 +506,9 @@ def queries() -> dict[str, Query]:
         table_history,
         versions_to_expire,
         expired_history,
+        rows_after_expiry,
+        batch_table_history,
+        batch_version_as_of,
         clustered_range_read,
     ]
     found.update({query.__name__: query for query in plain})
@@ -629,6 +665,7 @@ def oracle_sql() -> dict[str, str]:
         {
             "quality_report": _sql(rules),
             "quality_report_stream": _sql(rules),
+            "quality_report_batch": _sql(rules),
             "quality_report_observed": _sql(_RULE_LINES["enrollments"]),
             "expect_keep_rows": _sql("SELECT * FROM crs"),
             "expect_drop_rows": _sql("SELECT * FROM enr WHERE payment_amount >= 0"),
@@ -732,6 +769,12 @@ def oracle_sql() -> dict[str, str]:
             "revenue_by_instructor_large_courses": revenue,
             "revenue_by_category_month_large_courses": category_month,
             "version_as_of": _sql("SELECT * FROM senr"),
+            "batch_version_as_of": _sql("SELECT * FROM senr"),
+            "batch_table_history": _sql(
+                """SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM senr
+                   UNION ALL SELECT 1, 'WRITE', count(*) FROM venr"""
+            ),
+            "rows_after_expiry": _sql("SELECT * FROM venr"),
             "version_as_of_limit": _sql(
                 """SELECT * FROM senr ORDER BY enrollment_id NULLS FIRST, course_id NULLS FIRST,
                    payment_amount NULLS FIRST, currency NULLS FIRST, enrolled_at NULLS FIRST,

@@ -1,7 +1,7 @@
 """The batch run: CSV landing to Bronze, Silver and Gold tables.
 
 Every layer reads the stored tables of the one before it, so each row is parsed
-once and each metric is computed once.
+once and each metric is computed once. Every table keeps the versions of former runs.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from ..operators.layout import cluster_by
 from ..parallel import side_by_side
 from ..sources.csv_files import read_csv
 from ..sources.tables import overwrite_table
+from ..sources.versions import publish
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "enrollments": clean.with_usd,
@@ -46,6 +47,7 @@ class Layers:
     bronze: dict[str, DataFrame] = field(default_factory=dict)
     silver: dict[str, DataFrame] = field(default_factory=dict)
     gold: dict[str, DataFrame] = field(default_factory=dict)
+    rules: DataFrame | None = None
 
     def row_counts(self) -> DataFrame:
         named = {
@@ -61,7 +63,7 @@ class Layers:
 
 def _store(layer: str, frames: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
     return side_by_side(
-        {e: partial(overwrite_table, df, f"{schema}.{layer}_{e}") for e, df in frames.items()}
+        {e: partial(publish, df, f"{schema}.{layer}_{e}") for e, df in frames.items()}
     )
 
 
@@ -92,7 +94,7 @@ def build_gold(silver: Mapping[str, DataFrame], schema: str) -> dict[str, DataFr
     enrollments, courses = silver["enrollments"], silver["courses"]
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        return overwrite_table(df, f"{schema}.{name}")
+        return publish(df, f"{schema}.{name}")
 
     def completion() -> dict[str, DataFrame]:
         rates = store(GOLD_COMPLETION, metrics.completion_rate(silver["progress"], courses))
@@ -134,8 +136,16 @@ def run(
     check_rules: bool = False,
     cluster_enrollments: str | None = None,
 ) -> Layers:
-    """Build all twelve tables in ``schema`` from the CSV files in ``landing``."""
+    """Build all twelve tables in ``schema`` from the CSV files in ``landing``.
+
+    Each run adds a version to every table; ``versions_of(spark, name)`` reads, lists and
+    expires them. With ``check_rules`` the counts of all rules are stored in
+    ``rule_metrics`` before the rows that fail are left out.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     bronze = load_bronze(spark, landing, schema)
+    rules = None
+    if check_rules:
+        rules = overwrite_table(rule_report(bronze), f"{schema}.rule_metrics")
     silver = build_silver(bronze, schema, check_rules, cluster_enrollments)
-    return Layers(bronze, silver, build_gold(silver, schema))
+    return Layers(bronze, silver, build_gold(silver, schema), rules)

@@ -23,7 +23,7 @@ from ..operators import clean, metrics, quality
 from ..operators.quality import Rule
 from ..parallel import side_by_side
 from ..sources.csv_files import MAX_BATCH_BYTES, read_csv, stream_csv
-from ..sources.tables import overwrite_table
+from ..sources.versions import publish
 from ..streaming.flows import Flow, run_flows, store_rule_metrics, stream_table
 
 BRONZE_COMMENTS = {
@@ -140,7 +140,7 @@ class Incremental:
         return self.spark.table(self.table(f"silver_{entity}"))
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
-        return overwrite_table(df, self.table(name), GOLD_COMMENTS[name])
+        return publish(df, self.table(name), GOLD_COMMENTS[name])
 
     def refresh_completion(self) -> DataFrame:
         return self._store(
@@ -188,9 +188,10 @@ class Incremental:
         run_flows(self.bronze_flows())
 
     def run_silver(self) -> None:
-        lines = run_flows(self.silver_flows())
-        if lines:
-            store_rule_metrics(self.spark, lines, self.table("rule_metrics"))
+        run_flows(
+            self.silver_flows(),
+            lambda lines: store_rule_metrics(self.spark, lines, self.table("rule_metrics")),
+        )
 
     def refresh_gold(self) -> dict[str, DataFrame]:
         steps = {

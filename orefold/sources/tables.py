@@ -24,6 +24,9 @@ def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> Da
     return spark.table(table)
 
 
+def escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def set_comment(spark: SparkSession, table: str, comment: str) -> None:
-    escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {table} IS '{escaped}'")
+    spark.sql(f"COMMENT ON TABLE {table} IS '{escaped(comment)}'")

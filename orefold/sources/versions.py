@@ -4,6 +4,9 @@ A version is one partition ``_version=n`` of an ordinary Parquet table; a second
 table lists what happened to each version. The history row is added after the
 rows are stored, so a version that was only half written is never seen, and the
 next write replaces it. Any number of readers, one writer at a time.
+
+``publish`` replaces a table of a pipeline that way: the name is a view of the latest
+version, so the former rows can be read until the new ones are complete, and after.
 """
 
 from __future__ import annotations
@@ -12,13 +15,37 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.numbers import quoted
 from ..operators.layout import cluster_by
+from .tables import escaped
 
 VERSION = "_version"
 _WRITE_KINDS = ("WRITE", "CLUSTER")
 _EXPIRE = "EXPIRE"
 
 
+def versions_of(spark: SparkSession, table: str) -> VersionedTable:
+    """The versions behind a table that ``publish`` writes."""
+    return VersionedTable(spark, f"{table}_versions")
+
+
+def publish(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
+    """Write ``df`` as the next version of ``table`` and let the name show it.
+
+    Returns the stored rows of this version. If the write fails, the name and its
+    rows stay as they were.
+    """
+    versions = versions_of(df.sparkSession, table)
+    number = versions.write(df)
+    columns = ", ".join(quoted(c) for c in df.columns)
+    note = f"COMMENT '{escaped(comment)}'" if comment else ""
+    df.sparkSession.sql(
+        f"CREATE OR REPLACE VIEW {table} {note} AS SELECT {columns}"
+        f" FROM {versions.table} WHERE {VERSION} = {number}"
+    )
+    return df.sparkSession.table(table)
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, table: str) -> None:
         self.spark = spark

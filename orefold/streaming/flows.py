@@ -7,10 +7,11 @@ goes on where it stopped, and rows already stored are not stored twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.quality import REPORT_COLUMNS, Rule, apply_rules, report_rows
@@ -56,33 +57,61 @@ def stream_table(
     return bound_batches(spark.readStream, max_files, max_bytes).table(table)
 
 
-def run_flows(flows: Sequence[Flow], poll_seconds: float = 2.0) -> list[tuple]:
+def run_flows(
+    flows: Sequence[Flow],
+    store: Callable[[list[tuple]], object] | None = None,
+    poll_seconds: float = 2.0,
+) -> list[tuple]:
     """Run flows side by side until all their input is stored.
 
     Returns one line per flow, micro-batch and rule:
-    (table_name, batch_id, rule, action, passed, failed).
+    (table_name, batch_id, rule, action, passed, failed). ``store`` is given the lines of
+    new micro-batches while the flows run. A flow that fails does not stop the others;
+    the first error is raised when all have ended and their lines are stored.
     """
     running: list[tuple[Flow, StreamingQuery]] = []
     seen: dict[tuple[str, int], dict[str, int]] = {}
+    stored: set[tuple[str, int]] = set()
+    rules = {flow.name: flow.rules for flow in flows}
+    errors: list[Exception] = []
+
+    def lines(batches: Iterable[tuple[str, int]]) -> list[tuple]:
+        return [
+            (name, batch, *line[1:])
+            for name, batch in sorted(batches)
+            for line in report_rows(seen[name, batch], rules[name], name)
+        ]
+
+    def keep_counts() -> None:
+        _gather(running, seen)
+        new = seen.keys() - stored
+        if new and store:
+            store(lines(new))
+            stored.update(new)
+
     try:
         for flow in flows:
-            running.append((flow, flow.start()))
+            try:
+                running.append((flow, flow.start()))
+            except Exception as error:  # noqa: BLE001
+                errors.append(error)
+                break
         for flow, query in running:
-            # Progress is read while the flow runs, as Spark keeps only the latest reports.
-            while not query.awaitTermination(poll_seconds):
-                _gather(running, seen)
-            if flow.comment:
-                set_comment(flow.source.sparkSession, flow.table, flow.comment)
-        _gather(running, seen)
+            try:
+                # Progress is read while the flow runs, as Spark keeps only the latest reports.
+                while not query.awaitTermination(poll_seconds):
+                    keep_counts()
+                if flow.comment:
+                    set_comment(flow.source.sparkSession, flow.table, flow.comment)
+            except StreamingQueryException as error:
+                errors.append(error)
+        keep_counts()
     finally:
         for _, query in running:
             query.stop()
-    rules = {flow.name: flow.rules for flow in flows}
-    return [
-        (name, batch, *line[1:])
-        for (name, batch), metrics in sorted(seen.items())
-        for line in report_rows(metrics, rules[name], name)
-    ]
+    if errors:
+        raise errors[0]
+    return lines(seen)
 
 
 def _gather(
@@ -107,12 +136,19 @@ def store_rule_metrics(spark: SparkSession, lines: Sequence[tuple], table: str)
         "passed bigint, failed bigint"
     )
     lines_df = spark.createDataFrame(list(lines), schema)
+    lines_df = lines_df.withColumn("stored_at", F.current_timestamp())
     lines_df.coalesce(1).write.format("parquet").mode("append").saveAsTable(table)
     return spark.table(table)
 
 
 def summarise_rule_metrics(metrics: DataFrame) -> DataFrame:
-    """Counts per rule over all micro-batches."""
-    return metrics.groupBy("table_name", "rule", "action").agg(
-        {"passed": "sum", "failed": "sum"}
-    ).withColumnsRenamed({"sum(passed)": "passed", "sum(failed)": "failed"}).select(*REPORT_COLUMNS)
+    """Counts per rule over all micro-batches; of one that was repeated, the last ones."""
+    latest = metrics.groupBy("table_name", "batch_id", "rule", "action").agg(
+        F.max_by("passed", "stored_at").alias("passed"),
+        F.max_by("failed", "stored_at").alias("failed"),
+    )
+    return (
+        latest.groupBy("table_name", "rule", "action")
+        .agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+        .select(*REPORT_COLUMNS)
+    )

@@ -6,7 +6,8 @@ from orefold.__main__ import main
 from orefold.plans import batch
 from orefold.sources import workspace
 from orefold.sources.csv_files import write_csv
-from rows import frames
+from orefold.sources.versions import publish, versions_of
+from rows import frames, sorted_rows
 
 
 @pytest.fixture
@@ -18,7 +19,8 @@ def landing(spark, space):
 
 def test_twelve_tables_and_their_counts(spark, space, landing):
     layers = batch.run(spark, landing, space.schema)
-    tables = {t.name for t in spark.catalog.listTables(space.schema)}
+    stored = {t.name for t in spark.catalog.listTables(space.schema)}
+    tables = {t for t in stored if not t.endswith(("_versions", "_history"))}
     assert len(tables) == 12
     counts = {r.table_name: r.row_count for r in layers.row_counts().collect()}
     assert set(counts) == tables
@@ -35,6 +37,8 @@ def test_options(spark, space, landing):
     assert layers.silver["enrollments"].count() == 12
     report = {r.rule: (r.passed, r.failed) for r in batch.rule_report(layers.bronze).collect()}
     assert report["pago_valido"] == (12, 4) and report["total_lessons_valido"] == (10, 6)
+    stored = {r.rule: (r.passed, r.failed) for r in spark.table(space.table("rule_metrics")).collect()}
+    assert stored == report == {r.rule: (r.passed, r.failed) for r in layers.rules.collect()}
 
 
 def test_a_second_run_replaces_the_first(spark, space, landing):
@@ -42,6 +46,28 @@ def test_a_second_run_replaces_the_first(spark, space, landing):
     assert batch.run(spark, landing, space.schema).row_counts().collect() == first
 
 
+def test_former_runs_can_be_read(spark, space, landing):
+    name = space.table("silver_enrollments")
+    batch.run(spark, landing, space.schema)
+    before = sorted_rows(spark.table(name))
+    batch.run(spark, landing, space.schema, check_rules=True)
+    versions = versions_of(spark, name)
+    assert [r.num_rows for r in versions.history().orderBy("version").collect()] == [16, 12]
+    assert repr(sorted_rows(versions.read(0))) == repr(before) and len(before) == 16
+    assert repr(sorted_rows(versions.read())) == repr(sorted_rows(spark.table(name)))
+
+
+def test_a_failed_run_leaves_the_former_rows(spark, space):
+    name = space.table("t")
+    publish(spark.range(5).select("id"), name)
+    broken = spark.range(3).selectExpr("CAST(raise_error('no') AS BIGINT) + id AS id")
+    with pytest.raises(Exception, match="no"):
+        publish(broken, name)
+    assert spark.table(name).count() == 5
+    publish(spark.range(7).select("id"), name, "it's a note")
+    assert spark.table(name).count() == 7 and versions_of(spark, name).read(0).count() == 5
+
+
 def test_row_counts_read_no_columns(spark, space, landing):
     layers = batch.run(spark, landing, space.schema)
     plan = layers.row_counts()._jdf.queryExecution().executedPlan().toString()

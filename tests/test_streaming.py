@@ -7,7 +7,7 @@ from orefold.operators import clean, metrics
 from orefold.operators.quality import Rule, apply_rules, enrollment_rules
 from orefold.plans.incremental import Incremental
 from orefold.sources.csv_files import read_csv, write_csv
-from orefold.streaming.flows import Flow, run_flows, stream_table, summarise_rule_metrics
+from orefold.streaming.flows import Flow, run_flows, store_rule_metrics, stream_table, summarise_rule_metrics
 from rows import frames, sorted_rows
 
 
@@ -147,6 +147,33 @@ def test_fail_rule_stops_a_stream_and_stores_nothing(spark, space):
     assert spark.table(space.table("checked")).count() == 0
 
 
+def test_counts_of_a_flow_are_kept_when_another_fails(spark, space):
+    for entity in ("courses", "progress"):
+        write_csv(frames(spark)[entity], space.landing, entity)
+    flows = incremental(spark, space, layout="folders", entities=("courses", "progress"))
+    flows.run_bronze()
+
+    def flow(name, rule):
+        source = stream_table(spark, flows.table(f"bronze_{name}"))
+        return Flow(space.table(name), source, f"{space.checkpoints}/{name}_checked", rules=(rule,), label=name)
+
+    bad = flow("courses", Rule("key", "course_id IS NOT NULL", "fail"))
+    good = flow("progress", Rule("lessons", "try_cast(total_lessons AS DOUBLE) >= 1", "warn"))
+    kept = []
+    with pytest.raises(Exception, match="rule failed: key"):
+        run_flows([bad, good], kept.extend)
+    assert spark.table(space.table("progress")).count() == 16
+    [(table, batch_id, rule, action, passed, failed)] = kept
+    assert (table, batch_id, rule, action, passed + failed) == ("progress", 0, "lessons", "warn", 16)
+
+
+def test_a_repeated_batch_counts_once(spark, space):
+    lines = [("t", 0, "r", "warn", 5, 1), ("t", 1, "r", "warn", 2, 0)]
+    store_rule_metrics(spark, lines, space.table("counts"))
+    again = store_rule_metrics(spark, [("t", 1, "r", "warn", 1, 1)], space.table("counts"))
+    assert [(r.passed, r.failed) for r in summarise_rule_metrics(again).collect()] == [(6, 2)]
+
+
 def test_tables_carry_comments(spark, space):
     write_csv(frames(spark)["instructors"], space.landing, "instructors")
     flows = incremental(spark, space, layout="folders", entities=("instructors",))

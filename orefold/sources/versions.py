@@ -11,6 +11,7 @@ version, so the former rows can be read until the new ones are complete, and aft
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,7 +27,7 @@ _EXPIRE = "EXPIRE"
 
 def versions_of(spark: SparkSession, table: str) -> VersionedTable:
     """The versions behind a table that ``publish`` writes."""
-    return VersionedTable(spark, f"{table}_versions")
+    return VersionedTable(spark, f"{table}_versions", shown_as=table)
 
 
 def publish(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
@@ -37,20 +38,21 @@ def publish(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
     """
     versions = versions_of(df.sparkSession, table)
     number = versions.write(df)
-    columns = ", ".join(quoted(c) for c in df.columns)
     note = f"COMMENT '{escaped(comment)}'" if comment else ""
     df.sparkSession.sql(
-        f"CREATE OR REPLACE VIEW {table} {note} AS SELECT {columns}"
-        f" FROM {versions.table} WHERE {VERSION} = {number}"
+        f"CREATE OR REPLACE VIEW {table} {note} AS {versions.rows_as_sql(number, df.columns)}"
     )
     return df.sparkSession.table(table)
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, table: str) -> None:
+    """``shown_as`` names the view that must follow when the rows are laid out anew."""
+
+    def __init__(self, spark: SparkSession, table: str, shown_as: str | None = None) -> None:
         self.spark = spark
         self.table = table
         self.history_table = f"{table}_history"
+        self.shown_as = shown_as
 
     # -- writing -------------------------------------------------------------
 
@@ -71,7 +73,16 @@ class VersionedTable:
 
     def cluster(self, column: str, partitions: int | None = None) -> int:
         """Write the latest rows again, range-partitioned by ``column``."""
-        return self.write(cluster_by(self.read(), column, partitions), operation="CLUSTER")
+        rows = self.read()
+        version = self.write(cluster_by(rows, column, partitions), operation="CLUSTER")
+        if self.shown_as:
+            shown = self.rows_as_sql(version, rows.columns)
+            self.spark.sql(f"ALTER VIEW {self.shown_as} AS {shown}")
+        return version
+
+    def rows_as_sql(self, version: int, columns: Sequence[str]) -> str:
+        names = ", ".join(quoted(c) for c in columns)
+        return f"SELECT {names} FROM {self.table} WHERE {VERSION} = {version}"
 
     def _store(self, df: DataFrame, version: int) -> None:
         stamped = df.withColumn(VERSION, F.lit(version))

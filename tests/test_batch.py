@@ -65,7 +65,11 @@ def test_a_failed_run_leaves_the_former_rows(spark, space):
         publish(broken, name)
     assert spark.table(name).count() == 5
     publish(spark.range(7).select("id"), name, "it's a note")
-    assert spark.table(name).count() == 7 and versions_of(spark, name).read(0).count() == 5
+    versions = versions_of(spark, name)
+    assert spark.table(name).count() == 7 and versions.read(0).count() == 5
+    versions.cluster("id")
+    versions.expire(keep_last=1)
+    assert spark.table(name).count() == 7
 
 
 def test_row_counts_read_no_columns(spark, space, landing):

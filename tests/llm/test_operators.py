@@ -88,6 +88,34 @@ def test_licences(spark, docs, empty):
     assert licences.label(empty, model).count() == 0
 
 
+def test_licences_inside_texts(spark, docs):
+    prose = "the rain fell on the old town and people went home along the river while the lamps were lit "
+    notices = {
+        "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+        "mit": "Released under the MIT License.",
+        "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+        "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "bsd-3-clause": "Licensed under the BSD 3-Clause License.",
+        "all-rights-reserved": "All rights reserved.",
+    }
+    model = licences.fit(docs.select("doc_id", "text"))
+    rows, expected = [], {}
+    for n, (family, notice) in enumerate(notices.items()):
+        w = notice.split()
+        wrapped = "\n".join("# " + " ".join(w[i : i + 4]) for i in range(0, len(w), 4))
+        for i, text in enumerate((prose * 2 + notice + " " + prose * 2, prose * 300 + notice, prose + "\n" + wrapped + "\n" + prose)):
+            rows.append((10 * n + i, text))
+            expected[10 * n + i] = [family]
+    rows.append((200, prose + notices["mit"] + " " + notices["apache-2.0"] + " " + prose))
+    rows.append((201, prose + "free of charge to any person under the license of the work and its public rights " + prose))
+    rows += [rows[0], (None, rows[0][1])]
+    expected |= {200: ["apache-2.0", "mit"], 201: [], None: ["apache-2.0"]}
+    found = {r.doc_id: r for r in licences.label(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert {i: r.families for i, r in found.items()} == expected
+    assert found[0].n_lines == 2 and found[None].n_lines == found[10].n_lines == 1 and found[201].n_lines == 0
+
+
 # -- 3: quality --------------------------------------------------------------
 
 

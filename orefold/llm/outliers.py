@@ -12,6 +12,7 @@ chi-squared bound, in Mahalanobis distance, are rejected.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +29,14 @@ SHARE = 0.75
 STEPS = 6
 #: Groups of fewer rows use the estimate over all rows.
 LEAST_GROUP = 200
-#: Chi-squared with four degrees of freedom is above this with probability 1e-9.
-BOUND = 46.0
+#: Chi-squared with four degrees of freedom is above this with probability 0.001.
+BOUND = 18.467
 #: Words of the group's mean kind that are added to each text, so that short texts don't stray by chance.
 PRIOR_WORDS = 50.0
 FEATURES = ["f0", "f1", "f2", "f3"]
-#: Deviations that never count as strange, squared: word length, log symbols a word, shares of repeats.
-FLOORS = [0.3**2, 0.02**2, 0.06**2, 0.05**2]
+#: Added to variances: word length, log symbols a word, shares of repeats. The first only guards the inverse. Most
+#: texts have no symbols and repeats at all, so the core's variance of the others is none and these are their scale.
+FLOORS = [0.03**2, 0.02**2, 0.06**2, 0.05**2]
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -102,8 +104,18 @@ def statistics(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, _STATS)
 
 
-def _estimates(moments: pd.DataFrame) -> pd.DataFrame:
-    """Mean and inverse covariance from n, sums and products of each group."""
+def consistency(share: float) -> float:
+    """By how much the covariance of a normal distribution is larger than that of its core, the nearest ``share``, in four dimensions."""
+    low, high = 0.0, 200.0
+    for _ in range(100):
+        half = (low + high) / 4
+        low, high = (2 * half, high) if 1 - math.exp(-half) * (1 + half) < share else (low, 2 * half)
+    half = low / 2
+    return share / (1 - math.exp(-half) * (1 + half + half**2 / 2))
+
+
+def _estimates(moments: pd.DataFrame, share: float) -> pd.DataFrame:
+    """Mean and inverse covariance from n, sums and products of each group's core of this ``share``."""
     p = len(FEATURES)
     rows = []
     for r in moments.itertuples(index=False):
@@ -112,8 +124,8 @@ def _estimates(moments: pd.DataFrame) -> pd.DataFrame:
         # Sums are taken about the medians, so little is lost to cancellation.
         cov = square - np.outer(mean, mean)
         centre = mean + np.array([getattr(r, f"c{i}") for i in range(p)])
-        # The core of a normal distribution is narrower than the whole: for this share and p = 4, by half.
-        inverse = np.linalg.inv(2.0 * cov + np.diag(FLOORS))
+        # The core of a normal distribution is narrower than the whole.
+        inverse = np.linalg.inv(consistency(share) * cov + np.diag(FLOORS))
         rows.append([*centre, *inverse[np.triu_indices(p)]])
     names = [f"c{i}" for i in range(p)] + [f"q{i}{j}" for i in range(p) for j in range(i, p)]
     return pd.concat([moments[["g_lang", "g_source"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
@@ -180,7 +192,7 @@ def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFr
         sums = [F.sum(about[i]).alias(f"s{i}") for i in range(p)] + [F.first(f"c{i}").alias(f"c{i}") for i in range(p)]
         sums += [F.sum(about[i] * about[j]).alias(f"p{i}{j}") for i in range(p) for j in range(i, p)]
         moments = core.groupBy(*keys).agg(F.count("*").alias("n"), *sums)
-        estimates = stored(moments.mapInPandas(lambda frames: map(_estimates, frames), estimates.schema), "mcd_step")
+        estimates = stored(moments.mapInPandas(lambda frames: (_estimates(f, share) for f in frames), estimates.schema), "mcd_step")
     return estimates
 
 

@@ -194,6 +194,28 @@ def test_outliers(spark, docs, empty, given):
     assert outliers.judge(empty).count() == 0
 
 
+def test_outliers_by_one_statistic(spark, empty):
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), int(rng.integers(3, 8))))
+    text = lambda n: [word() for _ in range(n)]
+    rows = [(i, " ".join(text(int(rng.integers(100, 400)))), "en", "s1") for i in range(300)]
+    long = text(2_000)
+    lines = [f"{word()} {word()} {word()} {word()}" for _ in range(300)]
+    lines = [x for i, x in enumerate(lines) for x in ((x, lines[0]) if i % 2 else (x,))]  # a third of them repeated, no window of eight words
+    odd = {
+        1000: " ".join(long[:1420] + long[:580]),  # fails the base rules
+        1001: "\n".join(lines),
+        1002: " ".join(w + ("#" if i % 7 == 0 else "") for i, w in enumerate(long)),
+        1003: " ".join(long[:1700] + long[:290]),
+    }
+    rows += [(i, t, "en", "s1") for i, t in odd.items()]
+    found = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert found[1000].base_failed and not any(found[i].base_failed for i in (1001, 1002, 1003))
+    assert not any(found[i].kept for i in odd)
+    assert sum(found[i].kept for i in range(300)) >= 295
+    assert outliers.consistency(0.75) == pytest.approx(1.486, abs=2e-3)
+
+
 # -- 6 and 7: token ids ------------------------------------------------------
 
 

@@ -7,7 +7,9 @@ start in one node; a node chooses a coordinate or two by a hash of its path (1.2
 on average, one over the similarity), and a class goes to the child that its token names.
 So classes as similar as the threshold stay together in about one child per node, and
 unlike ones part. Nodes of one class end. Nodes of at most ``SMALL`` classes, and those of
-depth ``DEPTH``, are leaves; larger ones branch on.
+depth ``DEPTH``, are leaves; larger ones branch on. There are as many trees as it takes for
+a pair at the threshold to share a leaf of that depth with probability ``RECALL``; ``lost``
+counts in that all trees draw from the same tokens, which may agree less than the sets do.
 
 All classes of a small leaf are paired with each other. In a large one, which holds copies
 by the hundred, every class is paired with a few pivots; after the links that this
@@ -20,6 +22,7 @@ token pass over pairs that are far from alike; links are confirmed on the full s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +33,17 @@ from . import blocks, fingerprints
 from .stored import stored
 
 COORDINATES = 64
-TREES = 16
+#: Of pairs at the threshold, the share that meets in a leaf at least, also where all nodes go down to ``DEPTH``.
+RECALL = 0.9999
+SIMILAR = 0.8
 SMALL = 12
-DEPTH = 14
+DEPTH = 4
 #: Pairs whose tokens agree in less than this share are passed over, if both sets have
 #: ``SKETCHED`` shingles or more: at the threshold that would be five standard errors off.
 SKETCH = 0.58
 SKETCHED = 64
+#: Of the nodes, those that choose two coordinates.
+TWICE = 0.25
 #: Pivots of a large leaf.
 PIVOTS = 6
 #: Documents that are looked up by broadcasting their hashes (8 bytes each); more go by a join of two shuffled sides.
@@ -44,6 +51,21 @@ BROADCAST_ROWS = 500_000
 SKETCHES = [f"s{i}" for i in range(4)]
 
 
+def lost(trees: int, depth: int, similarity: float = SIMILAR) -> float:
+    """The chance that no tree has two sets together at ``depth``, over all shares of tokens they may agree in."""
+    n, total = COORDINATES, 0.0
+    for agree in range(n + 1):
+        a, apart = agree / n, 0.0
+        for _ in range(depth):
+            child = 1 - a + a * apart
+            apart = (1 - TWICE) * child + TWICE * child**2
+        total += math.comb(n, agree) * similarity**agree * (1 - similarity) ** (n - agree) * apart**trees
+    return total
+
+
+TREES = next(t for t in range(1, 1000) if lost(t, DEPTH) <= 1 - RECALL)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int, tokens: bool) -> Iterator[pa.RecordBatch]:
     """Set size, name of the set and either its tokens or the set itself, of each text."""
     for batch in batches:
@@ -106,7 +128,7 @@ def _branch(members: DataFrame, level: int) -> DataFrame:
     one = F.pmod(draw(2 * level), F.lit(COORDINATES)).cast("int")
     other = F.pmod(draw(2 * level + 1), F.lit(COORDINATES)).cast("int")
     # A second coordinate for a quarter of the nodes.
-    chosen = F.when(F.pmod(draw(-1 - level), F.lit(4)) == 0, F.array_distinct(F.array(one, other))).otherwise(F.array(one))
+    chosen = F.when(F.pmod(draw(-1 - level), F.lit(round(1 / TWICE))) == 0, F.array_distinct(F.array(one, other))).otherwise(F.array(one))
     spread = members.withColumn("c", F.explode(chosen))
     node = F.xxhash64("node", "c", F.element_at("tokens", F.col("c") + 1))
     return spread.withColumn("node", node).drop("c")

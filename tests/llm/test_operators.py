@@ -386,6 +386,28 @@ def test_near_keeps_one(docs, empty, given):
     assert near.join(empty).count() == 0
 
 
+def test_near_recall_at_depth(monkeypatch, spark, docs):
+    """All pairs have to stay together down to the last level, in a large group and hung on one link near the threshold."""
+    monkeypatch.setattr(near, "SMALL", 1)
+    rng = np.random.default_rng(6)
+    fresh = lambda n: [f"x{i}" for i in rng.integers(0, 1 << 40, n)]
+    base = fresh(600)
+    texts = []
+    for _ in range(100):
+        copy = list(base)
+        copy[int(rng.integers(0, 600))] = fresh(1)[0]
+        texts.append(copy)
+    for _ in range(150):
+        own = fresh(66) + base[66:]  # in the group
+        texts += [own, own[:-66] + fresh(66)]  # 531 of 663 shingles shared with the text before
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near.join(given, 4, 80).collect())
+    assert found == brute_near(rows, 4, 80)
+    assert near.lost(near.TREES, near.DEPTH) <= 1 - near.RECALL < near.lost(near.TREES - 1, near.DEPTH)
+    assert near.lost(16, 14) > 0.03  # as it was
+
+
 # -- the pipeline ------------------------------------------------------------
 
 

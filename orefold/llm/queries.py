@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over whole tables."""
+"""The operators as registered queries over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, fingerprints, licences, mixing, near, outliers, quality, sequences, spans, toxicity
+from . import centroids, encoding, fingerprints, licences, mixing, near, outliers, quality, sequences, spans, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
@@ -75,8 +75,17 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_licences, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near)
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_licences, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near,
+        op12_centroids,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_spans": spans.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op9_spans": spans.ORACLE, "op12_centroids": centroids.oracle()}

@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import centroids, encoding, fingerprints, licences, mixing, near, outliers, quality, sequences, spans, toxicity
+from . import alignment, centroids, encoding, fingerprints, licences, mixing, near, outliers, quality, sequences, spans, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,11 +81,17 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(PIECES), "rb") as file:
+        model = file.read()
+    return alignment.align(documents(spark, sf_dir), encoding.vocabulary(public_tokenizers.path(BYTES)), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_licences, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near,
-        op12_centroids,
+        op12_centroids, op13_alignment,
     )
 }
 

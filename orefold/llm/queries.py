@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, centroids, encoding, fingerprints, licences, mixing, near, outliers, quality, sequences, spans, toxicity
+from . import alignment, centroids, encoding, fingerprints, jaccard, licences, mixing, near, outliers, quality, sequences, spans, toxicity
 from .stored import documents, importable
 
 VOCABULARY = "word_bpe_49k.json"
@@ -76,6 +76,10 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -91,7 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_licences, op3_quality, op4_fingerprints, op5_outliers, op6_sequences, op7_bpe, op8_mixing, op9_spans, op10_near,
-        op12_centroids, op13_alignment,
+        op11_jaccard, op12_centroids, op13_alignment,
     )
 }
 

@@ -34,11 +34,13 @@ from .encoding import expanded, packed, tokenizer, unpacked
 from .stored import stored
 
 #: Bytes of text in a block.
-BLOCK_TEXT = 6 << 20
+BLOCK_TEXT = 2 << 20
 #: Stretches of a document that make one row of the state vector.
 ROW_STRETCHES = 256
 #: Stretches a task remembers; with more it starts anew.
-KNOWN = 400_000
+KNOWN = 1_000_000
+#: Stretches that are encoded at once.
+ENCODED = 5_000
 #: Groups with more links are counted by distinct ids instead of link by link.
 LONG_GROUP = 4096
 
@@ -103,22 +105,25 @@ class Stretches:
         """``hashes``: distinct and new."""
         known = len(self.whole)
         raw = [bytes(data[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        for lo in range(0, len(raw), 20_000):
-            some = raw[lo : lo + 20_000]
+        whole, ids, counts = [self.whole], {s: [self.ids[s]] for s in "ab"}, {s: [] for s in "ab"}
+        spell = lambda some, of: b"".join([of[i] for i in some])
+        for lo in range(0, len(raw), ENCODED):
+            some = raw[lo : lo + ENCODED]
             texts = [r.decode("utf-8") for r in some]
             ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
             ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)  # puts a blank before each text
-            spell = lambda ids, of: b"".join([of[i] for i in ids])
-            whole = [spell(x, self.spelled_a) == r == spell(y, self.spelled_b) for x, y, r in zip(ids_a, ids_b, some, strict=True)]
-            self.whole = np.append(self.whole, np.array(whole, bool))
-            for s, ids in (("a", ids_a), ("b", ids_b)):
-                counts = np.fromiter(map(len, ids), np.int64, len(ids))
-                self.ids[s] = np.append(self.ids[s], np.array([i for x in ids for i in x], np.int32))
-                self.first[s] = np.append(self.first[s], self.first[s][-1] + np.cumsum(counts))
-        hashes = np.append(self.hashes, hashes)
-        place = np.append(self.place, np.arange(known, known + len(raw)))
+            whole.append(np.array([spell(x, self.spelled_a) == r == spell(y, self.spelled_b) for x, y, r in zip(ids_a, ids_b, some, strict=True)], bool))
+            for s, own in (("a", ids_a), ("b", ids_b)):
+                counts[s].append(np.fromiter(map(len, own), np.int64, len(own)))
+                ids[s].append(np.array([i for x in own for i in x], np.int32))
+        self.whole = np.concatenate(whole)
+        for s in "ab":
+            self.ids[s] = np.concatenate(ids[s])
+            self.first[s] = np.append(self.first[s], self.first[s][-1] + np.cumsum(np.concatenate(counts[s])))
         order = np.argsort(hashes)
-        self.hashes, self.place = hashes[order], place[order]
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.place = np.insert(self.place, at, known + order)
 
     def find(self, block: blocks.Block, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The place of each stretch, encoding those not met before."""
@@ -128,6 +133,7 @@ class Stretches:
             self.clear()
         new = ~np.isin(distinct, self.hashes, assume_unique=True)
         if new.any():
+            # Distinct ones come sorted by hash.
             self.learn(distinct[new], memoryview(block.data), starts[first[new]], ends[first[new]])
         return self.place[np.searchsorted(self.hashes, hashes)]
 

@@ -17,6 +17,9 @@ from .stored import stored
 
 #: A null id is the largest.
 NO_ID = (1 << 63) - 1
+#: Rows that are looked up by broadcasting their hashes, of 8 bytes each, so that texts stay where they are;
+#: more are looked up by a join of two shuffled sides.
+BROADCAST_ROWS = 1_000_000
 NAMED = "doc_id long, row long, n long, name binary"
 
 
@@ -88,7 +91,9 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     pairs = stored(pairs, f"{label}_pairs")
     # One document of each class that is in a pair gives the full set.
     asked = pairs.select("a").union(pairs.select("b")).distinct().toDF("name")
-    holders = classes.join(asked, "name").select("holder")
+    holders = stored(classes.join(asked, "name").select("holder"), f"{label}_holders")
+    if holders.count() <= BROADCAST_ROWS:
+        holders = F.broadcast(holders)
     texts = docs.select(F.xxhash64("doc_id", "text").alias("holder"), "text").join(holders, "holder", "left_semi")
     sets = texts.select("text").mapInArrow(lambda b: _full(b, k), "name binary, shingles array<long>")
     sets = stored(sets.join(asked, "name", "left_semi"), f"{label}_sets")

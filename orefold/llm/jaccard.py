@@ -160,6 +160,7 @@ def _prefixes(asked: pa.Table, got: pa.Table, percent: int) -> pa.Table:
             "name": names.take(pa.array(text[out])),
             "n": pa.array(counts[text[out]], pa.int64()),
             "pos": pa.array(position[out], pa.int64()),
+            "alone": pa.array(single[text[out]], pa.int64()),
             **{s: pa.array(behind[out, i].view(np.int64)) for i, s in enumerate(SKETCH)},
         }
     )
@@ -172,25 +173,29 @@ def prefixes(docs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFram
     asked = texts.mapInArrow(lambda b: _asked(b, k, ranges), "block string, range int, keys binary, held binary")
     counted = asked.groupBy("range").applyInArrow(_counted, "block string, range int, which binary, keys binary, held binary")
     places = texts.mapInArrow(lambda b: _places(b, k, ranges), "block string, names array<binary>, counts binary, steps binary, bounds binary")
-    schema = "node long, name binary, n long, pos long, " + ", ".join(f"{s} long" for s in SKETCH)
+    schema = "node long, name binary, n long, pos long, alone long, " + ", ".join(f"{s} long" for s in SKETCH)
     found = places.groupBy("block").cogroup(counted.withColumnRenamed("block", "asker").groupBy("asker")).applyInArrow(
         lambda a, g: _prefixes(a, g, percent), schema
     )
     # Equal texts have equal prefixes: one row for each class.
-    found = found.groupBy("node", "name").agg(*[F.first(c).alias(c) for c in ("n", "pos", *SKETCH)])
+    found = found.groupBy("node", "name").agg(*[F.first(c).alias(c) for c in ("n", "pos", "alone", *SKETCH)])
     return stored(found, "jaccard_prefixes")
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
-    """Length, positional and suffix filter for two rows of one list."""
-    n_a, n_b, p_a, p_b = (F.col(f"{x}.{c}") for c in ("n", "pos") for x in (a, b))
+    """Length, positional and suffix filter for two rows of one list.
+
+    ``alone`` n-grams of a set, which no other text holds, come first and are unlike in any case.
+    """
+    n_a, n_b, p_a, p_b, s_a, s_b = (F.col(f"{x}.{c}") for c in ("n", "pos", "alone") for x in (a, b))
     length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     # Shared at most: as many as either has before, the n-gram itself, as many as either has behind.
-    most = F.least(p_a, p_b) + 1 + F.least(n_a - p_a, n_b - p_b) - 1
+    most = F.least(p_a - s_a, p_b - s_b) + 1 + F.least(n_a - p_a, n_b - p_b) - 1
     positional = (100 + percent) * most >= percent * (n_a + n_b)
-    unlike = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH[1:]), F.bit_count(F.col(f"{a}.{SKETCH[0]}").bitwiseXOR(F.col(f"{b}.{SKETCH[0]}"))))
-    # Unlike at least: the difference in what is before, and the unlike bits of what is behind.
-    suffix = (100 + percent) * (F.abs(p_a - p_b) + unlike) <= (100 - percent) * (n_a + n_b)
+    flipped = [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH]
+    # Unlike at least: what is alone, how many more either has before, and the unlike bits of what is behind.
+    unlike = s_a + s_b + F.abs((p_a - s_a) - (p_b - s_b)) + sum(flipped[1:], flipped[0])
+    suffix = (100 + percent) * unlike <= (100 - percent) * (n_a + n_b)
     return length & positional & suffix
 
 
@@ -203,8 +208,8 @@ def linked(members: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
     within = small.alias("x").join(small.alias("y"), same & (F.col("x.name") < F.col("y.name")) & may_link("x", "y", percent))
     # Of a long list, the set that has the n-gram earliest; its copies go to all parts of the list.
     dealt = large.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS)))
-    least = large.groupBy("node").agg(F.min(F.struct("pos", F.xxhash64("name").alias("h"), "name", "n", *SKETCH)).alias("p"))
-    least = least.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", "n", "pos", *SKETCH)])
+    least = large.groupBy("node").agg(F.min(F.struct("pos", F.xxhash64("name").alias("h"), "name", "n", "alone", *SKETCH)).alias("p"))
+    least = least.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", "n", "pos", "alone", *SKETCH)])
     copied = least.withColumn("part", F.explode(F.array(*[F.lit(i).cast("long") for i in range(PARTS)])))
     star = dealt.alias("x").join(
         copied.alias("y"), same & (F.col("x.part") == F.col("y.part")) & (F.col("x.name") != F.col("y.name")) & may_link("x", "y", percent)

@@ -17,7 +17,7 @@ from orefold.plans import batch, standins  # noqa: E402
 from orefold.plans.incremental import Incremental  # noqa: E402
 from orefold.sources.csv_files import read_csv, write_csv  # noqa: E402
 from orefold.sources.tables import overwrite_table  # noqa: E402
-from orefold.sources.versions import VersionedTable, versions_of  # noqa: E402
+from orefold.sources.versions import Retention, VersionedTable, versions_of  # noqa: E402
 from orefold.sources.workspace import Workspace, new_workspace  # noqa: E402
 from orefold.streaming.flows import summarise_rule_metrics  # noqa: E402
 
@@ -373,6 +373,70 @@ def gold_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.typed(flows.refresh_revenue())
 
 
+def _two_drops(spark: SparkSession, sf_dir: str, *entities: str) -> Incremental:
+    """Two runs: the first takes part of the enrollments and all other rows, the second the rest."""
+    space = new_workspace(spark, "stream")
+    flows = _incremental(spark, space, "enrollments", *entities)
+    _land(spark, sf_dir, space, *entities)
+    rows = _raw(spark, sf_dir, "enrollments")
+    in_first = F.coalesce(F.expr(_FIRST_DROP["enrollments"]), F.lit(False))
+    for drop, part in (("1", rows.filter(in_first)), ("2", rows.filter(~in_first))):
+        write_csv(standins.as_text(part), space.landing, "enrollments", drop)
+        flows.run_bronze()
+        flows.run_silver()
+        if entities:
+            flows.refresh_revenue()
+    return flows
+
+
+def gold_from_two_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue refreshed twice; the second time only the new batches are summed up."""
+    flows = _two_drops(spark, sf_dir, "courses", "instructors")
+    return standins.typed(versions_of(spark, flows.table("gold_revenue_instructor")).read())
+
+
+def silver_stream_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed Silver enrollments as of the first of two drops."""
+    flows = _two_drops(spark, sf_dir)
+    return standins.typed(flows.versions("silver_enrollments").read(0))
+
+
+def silver_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions that two drops made of the streamed Silver enrollments."""
+    history = _two_drops(spark, sf_dir).versions("silver_enrollments").history()
+    return history.select("version", "operation", "num_rows", "batch_id")
+
+
+def _two_headers(spark: SparkSession, sf_dir: str, space: Workspace, land) -> None:
+    """Courses in two drops: the second has one column more, and another order of columns."""
+    rows = standins.as_text(_raw(spark, sf_dir, "courses"))
+    in_first = F.coalesce(F.expr(_FIRST_DROP["courses"]), F.lit(False))
+    wider = rows.filter(~in_first).select(
+        "title", F.concat(F.lit("L"), F.col("course_id")).alias("level"), "category", "instructor_id", "course_id"
+    )
+    for drop, part in (("1", rows.filter(in_first)), ("2", wider)):
+        write_csv(part, space.landing, "courses", drop)
+        land()
+
+
+def bronze_csv_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = new_workspace(spark, "csv")
+    _two_headers(spark, sf_dir, space, lambda: None)
+    return standins.typed(read_csv(spark, space.landing, "courses", widen=True))
+
+
+def silver_stream_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = new_workspace(spark, "stream")
+    flows = _incremental(spark, space, "courses", widen=True)
+
+    def land() -> None:
+        flows.run_bronze()
+        flows.run_silver()
+
+    _two_headers(spark, sf_dir, space, land)
+    return standins.typed(spark.table(flows.table("silver_courses")))
+
+
 def gold_from_stream_low_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = _streamed(spark, sf_dir, "enrollments", "courses", "progress")
     flows.refresh_completion()
@@ -436,6 +500,25 @@ def clustered_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.typed(table.read().filter(in_1995))
 
 
+def clustered_two_columns_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of courses out of files laid out by date and course at once."""
+    table = VersionedTable(spark, new_workspace(spark, "clustered").table("silver_enrollments"))
+    table.write(clean.with_usd(_raw(spark, sf_dir, "enrollments")))
+    table.cluster(["enrolled_at", "course_id"])
+    return table.read().filter(F.col("course_id").between(20, 60))
+
+
+def retained_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three batch runs that keep two versions leave of the enrollments."""
+    space = new_workspace(spark, "batch")
+    _land(spark, sf_dir, space, *ENTITIES)
+    for check_rules in (False, True, True):
+        batch.run(
+            spark, space.landing, space.schema, check_rules, retention=Retention(keep_last=2)
+        )
+    return versions_of(spark, space.table("silver_enrollments")).live().drop("committed_at")
+
+
 # -- preparing training text --------------------------------------------------
 
 
@@ -445,9 +528,9 @@ def _training_text() -> tuple[dict[str, Query], dict[str, str]]:
     for name in ("orefold.llm.queries", "corpus_pipeline"):
         try:
             module = importlib.import_module(name)
-        except ModuleNotFoundError as error:
-            if error.name not in ("orefold.llm", "orefold.llm.queries", "corpus_pipeline"):
-                raise
+        except ImportError as error:
+            # Also where a library is missing that only these queries need: the others stay.
+            print(f"no queries of {name}: {error}", file=sys.stderr)
             continue
         if name == "corpus_pipeline":
             found["pipeline"] = module.run
@@ -510,6 +593,13 @@ def queries() -> dict[str, Query]:
         batch_table_history,
         batch_version_as_of,
         clustered_range_read,
+        clustered_two_columns_read,
+        retained_history,
+        gold_from_two_drops,
+        silver_stream_as_of,
+        silver_stream_history,
+        bronze_csv_new_column,
+        silver_stream_new_column,
     ]
     found.update({query.__name__: query for query in plain})
     found["gold_from_batch_completion"] = _gold_batch(
@@ -657,6 +747,8 @@ def oracle_sql() -> dict[str, str]:
            count(enrollment_id) AS inscripciones
            FROM senr LEFT JOIN scrs USING (course_id) GROUP BY ALL"""
     )
+    first = "enrolled_at < TIMESTAMP '1995-06-01'"
+    level = "CASE WHEN instructor_id <= 25 THEN NULL ELSE 'L' || course_id END AS level"
     history = """
   SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM senr
   UNION ALL SELECT 1, 'WRITE', count(*) FROM venr
@@ -757,6 +849,20 @@ def oracle_sql() -> dict[str, str]:
             "gold_from_stream": _sql(
                 "SELECT * FROM revenue", _revenue("venr", "payment_usd")
             ),
+            "gold_from_two_drops": _sql(
+                "SELECT * FROM revenue", _revenue("venr", "payment_usd")
+            ),
+            "silver_stream_as_of": _sql(f"SELECT * FROM venr WHERE {first}"),
+            "silver_stream_history": _sql(
+                f"""SELECT 0 AS version, 'APPEND' AS operation, count(*) AS num_rows, 0::BIGINT AS batch_id
+                   FROM venr WHERE {first}
+                   UNION ALL SELECT 1, 'APPEND', count(*), 1 FROM venr WHERE ({first}) IS NOT TRUE"""
+            ),
+            "bronze_csv_new_column": _sql(
+                f"""SELECT course_id, title, nullif(category, '') AS category, instructor_id, {level}
+                   FROM crs"""
+            ),
+            "silver_stream_new_column": _sql(f"SELECT *, {level} FROM scrs"),
             "gold_from_stream_low_engagement": low_once,
             "gold_from_stream_categories": _sql(
                 "SELECT * FROM cat", _category("venr", "payment_usd")
@@ -790,6 +896,13 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 0, 'EXPIRE', count(*) FROM senr
   UNION ALL SELECT 1, 'EXPIRE', count(*) FROM venr"""
             ),
+            "clustered_two_columns_read": _sql(
+                "SELECT * FROM senr WHERE course_id BETWEEN 20 AND 60"
+            ),
+            "retained_history": _sql(
+                """SELECT 1 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM venr
+                   UNION ALL SELECT 2, 'WRITE', count(*) FROM venr"""
+            ),
             "clustered_range_read": _sql(
                 """SELECT * FROM senr WHERE enrolled_at
                    BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1995-12-31'"""

@@ -1,10 +1,11 @@
 """Gold metrics.
 
-Only partial sums cross the network, never fact rows: facts are aggregated by course,
-joined with the courses, and aggregated again where a metric is by an attribute of the
-course (see ``joins``). Building a metric starts no job. Sums are exact to eighteen
-places and do not depend on row order. Sorted results break ties by key, which makes the
-order total and lets the range sort split a run of equal values.
+Facts are aggregated by course, joined with the courses, and aggregated again where a metric
+is by an attribute of the course (see ``joins``), so only partial sums cross the network.
+Revenue by category and month is the one exception: its facts meet the courses row by row.
+Building a metric starts no job. Sums are exact to eighteen places and do not depend on row
+order. Sorted results break ties by key, which makes the order total and lets the range sort
+split a run of equal values.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.exact import ExactSum, weighted_count
 from ..functions.numbers import number, quoted
 from .clean import with_completion
-from .joins import SALTS, TIMES, distinct_with_copies, join_dimension
+from .joins import SALTS, TIMES, join_dimension, join_facts
 
 _MONEY = ExactSum("_money")
 _PERCENT = ExactSum("_percent")
@@ -29,6 +30,46 @@ def _sorted(df: DataFrame, order: list[Column], k: int | None) -> DataFrame:
     return df if k is None else df.limit(k)
 
 
+def completion_per_course(
+    progress: DataFrame,
+    rounded: bool = True,
+    user: str = "user_id",
+    course: str = "course_id",
+) -> DataFrame:
+    """Exact sums of completion by course, one row each; ``add_completion`` adds two such tables."""
+    return (
+        with_completion(progress, rounded=rounded)
+        .groupBy(course)
+        .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
+    )
+
+
+def money_per_course(
+    enrollments: DataFrame,
+    amount: str = "payment_usd",
+    enrollment: str = "enrollment_id",
+    course: str = "course_id",
+) -> DataFrame:
+    """Exact sums of money by course, one row each; ``add_money`` adds two such tables."""
+    return enrollments.groupBy(course).agg(
+        F.count(enrollment).alias(_ROWS), *_MONEY.first(number(enrollments, amount))
+    )
+
+
+def _added(a: DataFrame, b: DataFrame, sums: ExactSum, course: str) -> DataFrame:
+    # Columns by position: both tables were made by the same function.
+    both = a.union(b.select(*a.columns))
+    return both.groupBy(course).agg(F.sum(_ROWS).alias(_ROWS), *sums.again("1L"))
+
+
+def add_completion(a: DataFrame, b: DataFrame, course: str = "course_id") -> DataFrame:
+    return _added(a, b, _PERCENT, course)
+
+
+def add_money(a: DataFrame, b: DataFrame, course: str = "course_id") -> DataFrame:
+    return _added(a, b, _MONEY, course)
+
+
 def completion_rate(
     progress: DataFrame,
     courses: DataFrame,
@@ -39,11 +80,7 @@ def completion_rate(
     salts: int = SALTS,
 ) -> DataFrame:
     """Users and mean completion per course; each row is rounded, then the mean."""
-    per_course = (
-        with_completion(progress)
-        .groupBy(course)
-        .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
-    )
+    per_course = completion_per_course(progress, True, user, course)
     joined = join_dimension(per_course, courses, course, [title, category], salts)
     return joined.select(
         course,
@@ -63,11 +100,18 @@ def completion_rate_single_round(
     salts: int = SALTS,
 ) -> DataFrame:
     """Users and mean completion per course; only the mean is rounded."""
-    per_course = (
-        with_completion(progress, rounded=False)
-        .groupBy(course)
-        .agg(F.count(user).alias(_ROWS), *_PERCENT.first("completion_pct"))
-    )
+    per_course = completion_per_course(progress, False, user, course)
+    return course_completion_single_round(per_course, courses, course, title, salts)
+
+
+def course_completion_single_round(
+    per_course: DataFrame,
+    courses: DataFrame,
+    course: str = "course_id",
+    title: str = "title",
+    salts: int = SALTS,
+) -> DataFrame:
+    """``completion_rate_single_round`` out of ``completion_per_course``."""
     joined = join_dimension(per_course, courses, course, [title], salts)
     return joined.select(
         course,
@@ -78,32 +122,9 @@ def completion_rate_single_round(
 
 
 def _money_by_attribute(
-    enrollments: DataFrame,
-    courses: DataFrame,
-    amount: str,
-    enrollment: str,
-    course: str,
-    attribute: str,
-    others: Sequence[str],
-    salts: int,
-) -> DataFrame:
-    """Money and rows by an attribute of the course and ``others`` of the facts."""
-    value = number(enrollments, amount)
-    if others:
-        # Few facts share a course and the others, so aggregating first would save little.
-        # Catalyst broadcasts the courses or, if they are large, splits their hot keys.
-        facts = enrollments.select(course, enrollment, amount, *others)
-        return (
-            facts.join(distinct_with_copies(courses, course, [attribute]), course, "left")
-            .groupBy(attribute, *others)
-            .agg(
-                F.expr(f"{weighted_count(quoted(enrollment), TIMES)} AS {_ROWS}"),
-                *_MONEY.first(value, TIMES),
-            )
-        )
-    per_course = enrollments.groupBy(course).agg(
-        F.count(enrollment).alias(_ROWS), *_MONEY.first(value)
-    )
+    per_course: DataFrame, courses: DataFrame, course: str, attribute: str, salts: int
+) -> DataFrame:
+    """Money and rows by an attribute of the course."""
     return (
         join_dimension(per_course, courses, course, [attribute], salts)
         .groupBy(attribute)
@@ -129,9 +150,25 @@ def revenue_by_instructor(
     Enrollments without a known course form the group with a NULL instructor. Pass
     ``amount="payment_amount"`` for sums of the unconverted amounts.
     """
-    per_instructor = _money_by_attribute(
-        enrollments, courses, amount, enrollment, course, instructor, [], salts
+    per_course = money_per_course(enrollments, amount, enrollment, course)
+    return instructor_revenue(
+        per_course, courses, instructors, course, instructor, name, country, k, salts
     )
+
+
+def instructor_revenue(
+    per_course: DataFrame,
+    courses: DataFrame,
+    instructors: DataFrame,
+    course: str = "course_id",
+    instructor: str = "instructor_id",
+    name: str = "name",
+    country: str = "country",
+    k: int | None = None,
+    salts: int = SALTS,
+) -> DataFrame:
+    """``revenue_by_instructor`` out of ``money_per_course``."""
+    per_instructor = _money_by_attribute(per_course, courses, course, instructor, salts)
     joined = join_dimension(per_instructor, instructors, instructor, [name, country], salts)
     result = joined.select(
         instructor,
@@ -153,6 +190,13 @@ def enrollments_per_course(
     return enrollments.groupBy(course).agg(F.count(enrollment).alias(target))
 
 
+def enrolled(
+    per_course: DataFrame, course: str = "course_id", target: str = "inscritos"
+) -> DataFrame:
+    """``enrollments_per_course`` out of ``money_per_course``."""
+    return per_course.select(course, F.col(_ROWS).alias(target))
+
+
 def low_engagement(
     completion: DataFrame,
     enrollments: DataFrame,
@@ -169,8 +213,24 @@ def low_engagement(
     Without limits every course with progress appears. ``max_completion`` and
     ``min_enrolled`` narrow it to well-attended courses that few people finish.
     """
-    enrolled = enrollments_per_course(enrollments, enrollment, course, target)
-    result = completion.join(enrolled, course, "left")
+    counts = enrollments_per_course(enrollments, enrollment, course, target)
+    return by_engagement(
+        completion, counts, course, rate, target, max_completion, min_enrolled, k
+    )
+
+
+def by_engagement(
+    completion: DataFrame,
+    counts: DataFrame,
+    course: str = "course_id",
+    rate: str = "avg_completion_pct",
+    target: str = "inscritos",
+    max_completion: float | None = None,
+    min_enrolled: int | None = None,
+    k: int | None = None,
+) -> DataFrame:
+    """``low_engagement`` out of counts per course."""
+    result = completion.join(counts, course, "left")
     if max_completion is not None:
         result = result.filter(F.col(rate) <= max_completion)
     if min_enrolled is not None:
@@ -193,9 +253,20 @@ def revenue_by_category(
 
     The NULL category holds enrollments whose course is unknown.
     """
-    result = _money_by_attribute(
-        enrollments, courses, amount, enrollment, course, category, [], salts
-    ).select(
+    per_course = money_per_course(enrollments, amount, enrollment, course)
+    return category_revenue(per_course, courses, course, category, k, salts)
+
+
+def category_revenue(
+    per_course: DataFrame,
+    courses: DataFrame,
+    course: str = "course_id",
+    category: str = "category",
+    k: int | None = None,
+    salts: int = SALTS,
+) -> DataFrame:
+    """``revenue_by_category`` out of ``money_per_course``."""
+    result = _money_by_attribute(per_course, courses, course, category, salts).select(
         category, _MONEY.total().alias("revenue_usd"), F.col(_ROWS).alias("inscripciones")
     )
     return _sorted(result, [F.desc("revenue_usd"), F.asc(category)], k)
@@ -211,11 +282,19 @@ def revenue_by_category_month(
     enrolled_at: str = "enrolled_at",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Revenue and enrollments per category and first day of the month."""
+    """Revenue and enrollments per category and first day of the month.
+
+    Give ``salts`` above one for courses too many to broadcast: a course that is frequent
+    in the facts is then spread over that many tasks.
+    """
     day = f"CAST(try_cast({quoted(enrolled_at)} AS TIMESTAMP_NTZ) AS DATE)"
     dated = enrollments.withColumn("month", F.expr(f"trunc({day}, 'month')"))
-    per_month = _money_by_attribute(
-        dated, courses, amount, enrollment, course, category, ["month"], salts
+    # Few facts share a course and a month, so aggregating first would save little.
+    facts = dated.select(course, enrollment, amount, "month")
+    joined = join_facts(facts, courses, course, [category], salts)
+    per_month = joined.groupBy(category, "month").agg(
+        F.expr(f"{weighted_count(quoted(enrollment), TIMES)} AS {_ROWS}"),
+        *_MONEY.first(number(enrollments, amount), TIMES),
     )
     return per_month.select(
         category,

@@ -23,8 +23,7 @@ from ..operators import audit, clean, metrics, quality
 from ..operators.layout import cluster_by
 from ..parallel import side_by_side
 from ..sources.csv_files import read_csv
-from ..sources.tables import overwrite_table
-from ..sources.versions import publish
+from ..sources.versions import Retention, publish
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "enrollments": clean.with_usd,
@@ -61,14 +60,23 @@ class Layers:
         return audit.layer_rejections(self.bronze, self.silver)
 
 
-def _store(layer: str, frames: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
+def _store(
+    layer: str, frames: Mapping[str, DataFrame], schema: str, **options: object
+) -> dict[str, DataFrame]:
     return side_by_side(
-        {e: partial(publish, df, f"{schema}.{layer}_{e}") for e, df in frames.items()}
+        {e: partial(publish, df, f"{schema}.{layer}_{e}", **options) for e, df in frames.items()}
     )
 
 
-def load_bronze(spark: SparkSession, landing: str, schema: str) -> dict[str, DataFrame]:
-    return _store("bronze", {e: read_csv(spark, landing, e) for e in ENTITIES}, schema)
+def load_bronze(
+    spark: SparkSession,
+    landing: str,
+    schema: str,
+    widen: bool = False,
+    retention: Retention | None = None,
+) -> dict[str, DataFrame]:
+    raw = {e: read_csv(spark, landing, e, widen=widen) for e in ENTITIES}
+    return _store("bronze", raw, schema, widen=widen, retention=retention)
 
 
 def build_silver(
@@ -76,6 +84,8 @@ def build_silver(
     schema: str,
     check_rules: bool = False,
     cluster_enrollments: str | None = None,
+    widen: bool = False,
+    retention: Retention | None = None,
 ) -> dict[str, DataFrame]:
     """Clean each entity. ``check_rules`` also applies the quality rules, and
     ``cluster_enrollments`` lays the enrollments out by that column."""
@@ -87,14 +97,16 @@ def build_silver(
         if entity == "enrollments" and cluster_enrollments:
             cleaned = cluster_by(cleaned, cluster_enrollments)
         clean_rows[entity] = cleaned
-    return _store("silver", clean_rows, schema)
+    return _store("silver", clean_rows, schema, widen=widen, retention=retention)
 
 
-def build_gold(silver: Mapping[str, DataFrame], schema: str) -> dict[str, DataFrame]:
+def build_gold(
+    silver: Mapping[str, DataFrame], schema: str, retention: Retention | None = None
+) -> dict[str, DataFrame]:
     enrollments, courses = silver["enrollments"], silver["courses"]
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        return publish(df, f"{schema}.{name}")
+        return publish(df, f"{schema}.{name}", retention=retention)
 
     def completion() -> dict[str, DataFrame]:
         rates = store(GOLD_COMPLETION, metrics.completion_rate(silver["progress"], courses))
@@ -135,17 +147,21 @@ def run(
     schema: str,
     check_rules: bool = False,
     cluster_enrollments: str | None = None,
+    widen: bool = False,
+    retention: Retention | None = None,
 ) -> Layers:
     """Build all twelve tables in ``schema`` from the CSV files in ``landing``.
 
     Each run adds a version to every table; ``versions_of(spark, name)`` reads, lists and
-    expires them. With ``check_rules`` the counts of all rules are stored in
-    ``rule_metrics`` before the rows that fail are left out.
+    expires them, and ``retention`` says which older ones a run removes when its own are
+    shown. With ``check_rules`` the counts of all rules are stored in ``rule_metrics`` before
+    the rows that fail are left out. With ``widen`` files may bring new columns, or lack some
+    of those, and are bound by name; without, other columns than before stop the run.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    bronze = load_bronze(spark, landing, schema)
+    bronze = load_bronze(spark, landing, schema, widen, retention)
     rules = None
     if check_rules:
-        rules = overwrite_table(rule_report(bronze), f"{schema}.rule_metrics")
-    silver = build_silver(bronze, schema, check_rules, cluster_enrollments)
-    return Layers(bronze, silver, build_gold(silver, schema), rules)
+        rules = publish(rule_report(bronze), f"{schema}.rule_metrics", retention=retention)
+    silver = build_silver(bronze, schema, check_rules, cluster_enrollments, widen, retention)
+    return Layers(bronze, silver, build_gold(silver, schema, retention), rules)

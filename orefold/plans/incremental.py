@@ -2,13 +2,15 @@
 tables, then a refresh of the Gold tables.
 
 Each call takes the files that arrived since the last one. Bronze flows run side
-by side, then Silver flows, then Gold is computed anew from the Silver tables.
+by side, then Silver flows. Every micro-batch is a version of its table. Gold is made from sums
+by course that are kept between runs: only new Silver batches are read and added to them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -22,9 +24,18 @@ from ..functions.fixed import (
 from ..operators import clean, metrics, quality
 from ..operators.quality import Rule
 from ..parallel import side_by_side
-from ..sources.csv_files import MAX_BATCH_BYTES, read_csv, stream_csv
-from ..sources.versions import publish
-from ..streaming.flows import Flow, run_flows, store_rule_metrics, stream_table
+from ..sources.appended import AppendedTable
+from ..sources.csv_files import (
+    MAX_BATCH_BYTES,
+    landed,
+    read_csv,
+    read_files,
+    stream_csv,
+    stream_names,
+)
+from ..sources.versions import Retention, publish, show
+from ..streaming.flows import Flow, run_flows, stream_table
+from .partials import CourseSums
 
 BRONZE_COMMENTS = {
     "enrollments": "Raw enrollments from landing files",
@@ -52,7 +63,9 @@ class Incremental:
 
     ``rules_first`` counts rules over all Bronze rows. By default a Silver step
     filters first and its rules see only what is left, so rules that repeat the
-    filter report no failures.
+    filter report no failures. With ``widen`` a later file may bring new columns, which are
+    NULL in the rows before; without, it stops the flow. ``retention`` removes older versions
+    of Gold tables once new ones are stored.
     """
 
     spark: SparkSession
@@ -66,6 +79,9 @@ class Incremental:
     max_files: int | None = None
     max_bytes: int = MAX_BATCH_BYTES
     entities: Sequence[str] = field(default=ENTITIES)
+    widen: bool = False
+    retention: Retention | None = None
+    _writing: Lock = field(default_factory=Lock, repr=False, compare=False)
 
     def table(self, name: str) -> str:
         return f"{self.schema}.{name}{self.suffix}"
@@ -83,22 +99,28 @@ class Incremental:
         return read_csv(self.spark, self.landing, entity).schema
 
     def bronze_flows(self) -> list[Flow]:
-        flows = []
-        for entity in self.entities:
-            source = stream_csv(
-                self.spark,
-                self.landing,
-                entity,
-                self._landing_schema(entity),
-                self.layout,
-                self.max_files,
-                self.max_bytes,
-            )
-            name = f"bronze_{entity}"
-            flows.append(
-                Flow(self.table(name), source, self._checkpoint(name), BRONZE_COMMENTS[entity])
-            )
-        return flows
+        return [self._bronze_flow(entity) for entity in self.entities]
+
+    def _bronze_flow(self, entity: str) -> Flow:
+        name = f"bronze_{entity}"
+        place = (self.table(name), self._checkpoint(name), BRONZE_COMMENTS[entity])
+        bounds = (self.layout, self.max_files, self.max_bytes)
+        if not self.widen:
+            schema = self._landing_schema(entity)
+            source = stream_csv(self.spark, self.landing, entity, schema, *bounds)
+            return Flow(place[0], source, *place[1:])
+
+        def contents(batch: DataFrame) -> DataFrame:
+            # Names of the files of one micro-batch, which ``max_files`` or ``max_bytes`` bound.
+            return read_files(self.spark, sorted(r.path for r in batch.collect()), entity)
+
+        if self.spark.catalog.tableExists(place[0]):
+            schema = self.spark.table(place[0]).schema
+        else:
+            first = landed(self.spark, self.landing, entity)[:1]
+            schema = read_files(self.spark, first, entity).schema
+        source = stream_names(self.spark, self.landing, entity, *bounds)
+        return Flow(place[0], source, *place[1:], expand=contents, schema=schema, widen=True)
 
     # -- Silver --------------------------------------------------------------
 
@@ -130,6 +152,7 @@ class Incremental:
                     SILVER_COMMENTS[entity],
                     tuple(rules),
                     name,
+                    widen=self.widen,
                 )
             )
         return flows
@@ -139,44 +162,61 @@ class Incremental:
     def _silver(self, entity: str) -> DataFrame:
         return self.spark.table(self.table(f"silver_{entity}"))
 
+    def versions(self, name: str) -> AppendedTable:
+        """The versions of a streamed table, such as ``silver_enrollments``."""
+        return AppendedTable(self.spark, self.table(name))
+
     def _store(self, name: str, df: DataFrame) -> DataFrame:
-        return publish(df, self.table(name), GOLD_COMMENTS[name])
+        return publish(df, self.table(name), GOLD_COMMENTS[name], retention=self.retention)
+
+    def money_sums(self) -> CourseSums:
+        """Money and enrollments by course, kept between runs."""
+        return CourseSums(
+            self.versions("silver_enrollments"),
+            lambda rows: metrics.money_per_course(rows, self._amount),
+            metrics.add_money,
+        )
+
+    def completion_sums(self) -> CourseSums:
+        """Completion and users by course, kept between runs."""
+        return CourseSums(
+            self.versions("silver_progress"),
+            lambda rows: metrics.completion_per_course(rows, rounded=False),
+            metrics.add_completion,
+        )
+
+    def _sums(self, sums: CourseSums) -> DataFrame:
+        # One writer at a time; whoever comes second finds nothing new to add.
+        with self._writing:
+            return sums.refresh()
 
     def refresh_completion(self) -> DataFrame:
-        return self._store(
-            GOLD_COMPLETION,
-            metrics.completion_rate_single_round(self._silver("progress"), self._silver("courses")),
+        rates = metrics.course_completion_single_round(
+            self._sums(self.completion_sums()), self._silver("courses")
         )
+        return self._store(GOLD_COMPLETION, rates)
 
     def refresh_revenue(self) -> DataFrame:
-        return self._store(
-            GOLD_REVENUE,
-            metrics.revenue_by_instructor(
-                self._silver("enrollments"),
-                self._silver("courses"),
-                self._silver("instructors"),
-                amount=self._amount,
-            ),
+        revenue = metrics.instructor_revenue(
+            self._sums(self.money_sums()), self._silver("courses"), self._silver("instructors")
         )
+        return self._store(GOLD_REVENUE, revenue)
 
     def refresh_low_engagement(self) -> DataFrame:
-        return self._store(
-            GOLD_LOW_ENGAGEMENT,
-            metrics.low_engagement(
-                self.spark.table(self.table(GOLD_COMPLETION)),
-                self._silver("enrollments"),
-                rate="completion_pct",
-                target="total_inscritos",
-            ),
+        enrolled = metrics.enrolled(self._sums(self.money_sums()), target="total_inscritos")
+        low = metrics.by_engagement(
+            self.spark.table(self.table(GOLD_COMPLETION)),
+            enrolled,
+            rate="completion_pct",
+            target="total_inscritos",
         )
+        return self._store(GOLD_LOW_ENGAGEMENT, low)
 
     def refresh_categories(self) -> DataFrame:
-        return self._store(
-            GOLD_CATEGORIES,
-            metrics.revenue_by_category(
-                self._silver("enrollments"), self._silver("courses"), amount=self._amount
-            ),
+        categories = metrics.category_revenue(
+            self._sums(self.money_sums()), self._silver("courses")
         )
+        return self._store(GOLD_CATEGORIES, categories)
 
     @property
     def _amount(self) -> str:
@@ -188,10 +228,19 @@ class Incremental:
         run_flows(self.bronze_flows())
 
     def run_silver(self) -> None:
-        run_flows(
-            self.silver_flows(),
-            lambda lines: store_rule_metrics(self.spark, lines, self.table("rule_metrics")),
-        )
+        flows = self.silver_flows()
+        try:
+            run_flows(flows)
+        finally:
+            self._show_rule_counts(flows)
+
+    def _show_rule_counts(self, flows: Sequence[Flow]) -> None:
+        """Counts are in the history of each table, written with the batch; one view shows all."""
+        exists = self.spark.catalog.tableExists
+        checked = [f for f in flows if f.rules and exists(f.target.history_table)]
+        if checked:
+            counts = " UNION ALL ".join(f.target.rule_counts(f.name) for f in checked)
+            show(self.spark, self.table("rule_metrics"), counts, "Rule counts per micro-batch")
 
     def refresh_gold(self) -> dict[str, DataFrame]:
         steps = {

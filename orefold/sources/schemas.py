@@ -15,3 +15,12 @@ COLUMNS = {
 
 def text_schema(entity: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS[entity]])
+
+
+def check_columns(entity: str, header: tuple[str, ...], drop: str) -> None:
+    """Stop at a drop that lacks a column its entity must hold, or names one twice."""
+    missing = [c for c in COLUMNS.get(entity, []) if c not in header]
+    if missing:
+        raise ValueError(f"{drop}: the header lacks {missing}")
+    if len(set(header)) < len(header):
+        raise ValueError(f"{drop}: the header names a column twice")

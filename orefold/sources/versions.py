@@ -12,13 +12,15 @@ version, so the former rows can be read until the new ones are complete, and aft
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import quoted
-from ..operators.layout import cluster_by
-from .tables import escaped
+from ..operators.layout import FILE_BYTES, cluster_by
+from .columns import fitted, record_columns
+from .tables import escaped, stored_bytes
 
 VERSION = "_version"
 _WRITE_KINDS = ("WRITE", "CLUSTER")
@@ -30,19 +32,71 @@ def versions_of(spark: SparkSession, table: str) -> VersionedTable:
     return VersionedTable(spark, f"{table}_versions", shown_as=table)
 
 
-def publish(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Retention:
+    """Which older versions a run removes when it has published a new one; see ``expire``."""
+
+    keep_last: int | None = None
+    older_than: timedelta | None = None
+
+    def apply(self, versions: VersionedTable) -> list[int]:
+        if self.keep_last is None and self.older_than is None:
+            return []
+        before = None if self.older_than is None else datetime.now() - self.older_than
+        return versions.expire(self.keep_last, before)
+
+
+def show(spark: SparkSession, name: str, rows: str, comment: str | None = None) -> None:
+    """Let ``name`` show the rows that the SQL text ``rows`` selects."""
+    note = f"COMMENT '{escaped(comment)}'" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} {note} AS {rows}")
+
+
+def publish(
+    df: DataFrame,
+    table: str,
+    comment: str | None = None,
+    widen: bool = False,
+    retention: Retention | None = None,
+) -> DataFrame:
     """Write ``df`` as the next version of ``table`` and let the name show it.
 
     Returns the stored rows of this version. If the write fails, the name and its
-    rows stay as they were.
+    rows stay as they were. ``widen`` lets the table gain columns; ``retention`` removes
+    older versions once the new one is shown.
     """
-    versions = versions_of(df.sparkSession, table)
-    number = versions.write(df)
-    note = f"COMMENT '{escaped(comment)}'" if comment else ""
-    df.sparkSession.sql(
-        f"CREATE OR REPLACE VIEW {table} {note} AS {versions.rows_as_sql(number, df.columns)}"
-    )
-    return df.sparkSession.table(table)
+    spark = df.sparkSession
+    versions = versions_of(spark, table)
+    number = versions.write(df, widen=widen)
+    columns = spark.table(versions.table).columns[:-1] if widen else df.columns
+    show(spark, table, versions.rows_as_sql(number, columns), comment)
+    if retention:
+        retention.apply(versions)
+    return spark.table(table)
+
+
+def store_partition(
+    df: DataFrame, table: str, version: int, widen: bool = False
+) -> None:
+    """Store ``df`` as the partition ``_version=version`` of ``table``, replacing what a
+    stopped attempt may have left there. The table is created if need be."""
+    spark = df.sparkSession
+    stamped = df.withColumn(VERSION, F.lit(version))
+    if not spark.catalog.tableExists(table):
+        create_partitioned(spark, df.schema, table)
+    # A failed attempt may have left rows under this number, known to the catalog or not.
+    part = f"PARTITION ({VERSION}={version})"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part}")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
+    # The partition is empty now, and rows may come from another version of the same table.
+    fitted(stamped, table, widen, VERSION).write.mode("append").insertInto(table)
+
+
+def create_partitioned(spark: SparkSession, schema: T.StructType, table: str) -> None:
+    # From the schema alone: the rows may be observed, and that works once.
+    empty = spark.createDataFrame([], schema).withColumn(VERSION, F.lit(0))
+    empty.write.format("parquet").partitionBy(VERSION).saveAsTable(table)
+    record_columns(spark, table, schema.names, schema.names)
 
 
 class VersionedTable:
@@ -56,13 +110,26 @@ class VersionedTable:
 
     # -- writing -------------------------------------------------------------
 
-    def write(self, df: DataFrame, operation: str = "WRITE") -> int:
-        """Store ``df`` as the next version and return its number, from 0 up."""
+    def write(
+        self,
+        df: DataFrame,
+        operation: str = "WRITE",
+        version: int | None = None,
+        widen: bool = False,
+    ) -> int:
+        """Store ``df`` as the next version and return its number, from 0 up.
+
+        ``version`` names a number beyond the latest, where numbers mean something to the
+        caller. ``widen`` lets the table gain columns that ``df`` has and it has not.
+        """
         if operation not in _WRITE_KINDS:
             raise ValueError(f"operation must be one of {_WRITE_KINDS}")
-        latest = self._latest()
-        version = 0 if latest is None else latest + 1
-        self._store(df, version)
+        latest = self.latest()
+        following = 0 if latest is None else latest + 1
+        version = following if version is None else version
+        if version < following:
+            raise ValueError(f"version {version} of {self.table} is not beyond {latest}")
+        self._store(df, version, widen)
         rows = (
             self.spark.table(self.table)
             .filter(F.col(VERSION) == version)
@@ -71,32 +138,30 @@ class VersionedTable:
         self._record(rows.withColumns({"version": F.lit(version), "operation": F.lit(operation)}))
         return version
 
-    def cluster(self, column: str, partitions: int | None = None) -> int:
-        """Write the latest rows again, range-partitioned by ``column``."""
+    def cluster(self, columns: str | Sequence[str], partitions: int | None = None) -> int:
+        """Write the latest rows again, range-partitioned by ``columns``, by several of them
+        along a Z curve. The number of files follows from the bytes of the latest version."""
         rows = self.read()
-        version = self.write(cluster_by(rows, column, partitions), operation="CLUSTER")
+        if partitions is None:
+            partitions = max(1, -(-self._stored_bytes(self.latest()) // FILE_BYTES))
+        version = self.write(cluster_by(rows, columns, partitions), operation="CLUSTER")
         if self.shown_as:
             shown = self.rows_as_sql(version, rows.columns)
             self.spark.sql(f"ALTER VIEW {self.shown_as} AS {shown}")
         return version
 
+    def _stored_bytes(self, version: int) -> int:
+        part = f"PARTITION ({VERSION}={version})"
+        lines = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table} {part}")
+        place = lines.filter("col_name = 'Location'").first()["data_type"]
+        return stored_bytes(self.spark, place)
+
     def rows_as_sql(self, version: int, columns: Sequence[str]) -> str:
         names = ", ".join(quoted(c) for c in columns)
         return f"SELECT {names} FROM {self.table} WHERE {VERSION} = {version}"
 
-    def _store(self, df: DataFrame, version: int) -> None:
-        stamped = df.withColumn(VERSION, F.lit(version))
-        if not self.spark.catalog.tableExists(self.table):
-            stamped.limit(0).write.format("parquet").partitionBy(VERSION).saveAsTable(self.table)
-        # A failed attempt may have left rows under this number, known to the catalog or not.
-        part = f"PARTITION ({VERSION}={version})"
-        self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {part}")
-        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {part}")
-        columns = self.spark.table(self.table).columns
-        if set(columns) != set(stamped.columns):
-            raise ValueError(f"{self.table} has columns {columns[:-1]}, not {df.columns}")
-        # The partition is empty now, and rows may come from another version of the same table.
-        stamped.select(*columns).write.mode("append").insertInto(self.table)
+    def _store(self, df: DataFrame, version: int, widen: bool = False) -> None:
+        store_partition(df, self.table, version, widen)
 
     def _record(self, rows: DataFrame) -> None:
         line = rows.select(
@@ -122,14 +187,15 @@ class VersionedTable:
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of ``version``, by default the latest; only its files are read."""
         if version is None:
-            version = self._latest()
+            version = self.latest()
             if version is None:
                 raise LookupError(f"{self.table} has no version yet")
         elif self.live().filter(F.col("version") == version).isEmpty():
             raise LookupError(f"{self.table} has no version {version}")
         return self.spark.table(self.table).filter(F.col(VERSION) == version).drop(VERSION)
 
-    def _latest(self) -> int | None:
+    def latest(self) -> int | None:
+        """The number of the latest version, or None."""
         if not self.spark.catalog.tableExists(self.history_table):
             return None
         return self.history().agg(F.max("version")).first()[0]

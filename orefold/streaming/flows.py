@@ -1,4 +1,4 @@
-"""Start flows, wait for them, and keep the rule counts of every micro-batch.
+"""Start flows and wait for them; each micro-batch is a version with its rule counts.
 
 A flow has one source, one target table and one checkpoint of its own. It takes
 what is there when it starts and then ends (``availableNow``); started again, it
@@ -7,21 +7,29 @@ goes on where it stopped, and rows already stored are not stored twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.quality import REPORT_COLUMNS, Rule, apply_rules, report_rows
+from ..operators.quality import REPORT_COLUMNS, Rule
+from ..sources.appended import AppendedTable
 from ..sources.csv_files import MAX_BATCH_BYTES, bound_batches
-from ..sources.tables import set_comment
+from ..sources.tables import read_text, write_text
+
+Lines = Callable[[list[tuple]], object]
 
 
 @dataclass(frozen=True)
 class Flow:
-    """Rows of ``source`` that pass ``rules``, appended to ``table``."""
+    """Rows of ``source`` that pass ``rules``, appended to ``table``.
+
+    ``expand`` makes the rows of a micro-batch out of what the source gives, where that is
+    not the rows themselves; ``schema`` is then what an empty table has.
+    """
 
     table: str
     source: DataFrame
@@ -29,24 +37,44 @@ class Flow:
     comment: str | None = None
     rules: Sequence[Rule] = field(default_factory=tuple)
     label: str | None = None
+    expand: Callable[[DataFrame], DataFrame] | None = None
+    schema: T.StructType | None = None
+    widen: bool = False
 
     @property
     def name(self) -> str:
         """How metrics refer to the table; by default its full name."""
         return self.label or self.table
 
-    def start(self) -> StreamingQuery:
-        observation = self.name if self.rules else None
-        kept = apply_rules(self.source, self.rules, observation)
+    @property
+    def target(self) -> AppendedTable:
+        return AppendedTable(self.source.sparkSession, self.table)
+
+    def start(self, keep: Lines) -> StreamingQuery:
+        self.target.create(self.schema or self.source.schema, self.comment)
+        # The checkpoint numbers the batches; its mark tells them from those of another one.
+        run = _mark(self.source.sparkSession, self.checkpoint)
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            rows = self.expand(batch) if self.expand else batch
+            target = AppendedTable(batch.sparkSession, self.table)
+            lines = target.append(rows, batch_id, run, self.rules, self.comment, self.widen)
+            keep([(self.name, batch_id, *line) for line in lines])
+
         return (
-            kept.writeStream.format("parquet")
+            self.source.writeStream.foreachBatch(store)
             .queryName(self.table)
             .option("checkpointLocation", self.checkpoint)
             .trigger(availableNow=True)
-            .toTable(self.table)
+            .start()
         )
 
 
+def _mark(spark: SparkSession, checkpoint: str) -> str:
+    path = f"{checkpoint.rstrip('/')}/table_mark"
+    return read_text(spark, path) or write_text(spark, path, uuid.uuid4().hex)
+
+
 def stream_table(
     spark: SparkSession,
     table: str,
@@ -54,76 +82,48 @@ def stream_table(
     max_bytes: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
     """The rows appended to ``table`` since the reading flow last ran."""
-    return bound_batches(spark.readStream, max_files, max_bytes).table(table)
+    return AppendedTable(spark, table).stream(
+        bound_batches(spark.readStream, max_files, max_bytes)
+    )
 
 
-def run_flows(
-    flows: Sequence[Flow],
-    store: Callable[[list[tuple]], object] | None = None,
-    poll_seconds: float = 2.0,
-) -> list[tuple]:
+def run_flows(flows: Sequence[Flow], store: Lines | None = None) -> list[tuple]:
     """Run flows side by side until all their input is stored.
 
     Returns one line per flow, micro-batch and rule:
     (table_name, batch_id, rule, action, passed, failed). ``store`` is given the lines of
-    new micro-batches while the flows run. A flow that fails does not stop the others;
-    the first error is raised when all have ended and their lines are stored.
+    each micro-batch when it is stored; they stay in the table's history as well. A flow
+    that fails does not stop the others; the first error is raised when all have ended.
     """
-    running: list[tuple[Flow, StreamingQuery]] = []
-    seen: dict[tuple[str, int], dict[str, int]] = {}
-    stored: set[tuple[str, int]] = set()
-    rules = {flow.name: flow.rules for flow in flows}
+    running: list[StreamingQuery] = []
+    seen: list[tuple] = []
     errors: list[Exception] = []
 
-    def lines(batches: Iterable[tuple[str, int]]) -> list[tuple]:
-        return [
-            (name, batch, *line[1:])
-            for name, batch in sorted(batches)
-            for line in report_rows(seen[name, batch], rules[name], name)
-        ]
-
-    def keep_counts() -> None:
-        _gather(running, seen)
-        new = seen.keys() - stored
-        if new and store:
-            store(lines(new))
-            stored.update(new)
+    def keep(lines: list[tuple]) -> None:
+        seen.extend(lines)
+        if store and lines:
+            store(lines)
 
     try:
         for flow in flows:
             try:
-                running.append((flow, flow.start()))
+                running.append(flow.start(keep))
             except Exception as error:  # noqa: BLE001
                 errors.append(error)
                 break
-        for flow, query in running:
+        for query in running:
             try:
-                # Progress is read while the flow runs, as Spark keeps only the latest reports.
-                while not query.awaitTermination(poll_seconds):
-                    keep_counts()
-                if flow.comment:
-                    set_comment(flow.source.sparkSession, flow.table, flow.comment)
+                query.awaitTermination()
             except StreamingQueryException as error:
                 errors.append(error)
-        keep_counts()
     finally:
-        for _, query in running:
+        for query in running:
             query.stop()
+        for flow in flows:
+            flow.target.refresh()
     if errors:
         raise errors[0]
-    return lines(seen)
-
-
-def _gather(
-    running: Sequence[tuple[Flow, StreamingQuery]], seen: dict[tuple[str, int], dict[str, int]]
-) -> None:
-    for flow, query in running:
-        if not flow.rules:
-            continue
-        for progress in query.recentProgress:
-            row = progress.observedMetrics.get(flow.name)
-            if row is not None:
-                seen[flow.name, progress.batchId] = row.asDict()
+    return sorted(seen)
 
 
 def store_rule_metrics(spark: SparkSession, lines: Sequence[tuple], table: str) -> DataFrame:

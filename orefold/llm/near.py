@@ -12,12 +12,13 @@ a pair at the threshold to share a leaf of that depth with probability ``RECALL`
 counts in that all trees draw from the same tokens, which may agree less than the sets do.
 
 All classes of a small leaf are paired with each other. In a large one, which holds copies
-by the hundred, every class is paired with a few pivots; after the links that this
-confirms, classes outside the leaf's largest component are paired with all classes of
-the leaf that are in other components and, by their distances from the pivots, can be
-near enough. So copies by the thousand cost a few pairs each,
-and no link that would join two components is skipped. Sketches of four bits for each
-token pass over pairs that are far from alike; links are confirmed on the full sets.
+by the hundred, every class is first paired with one pivot, the class that the most others
+have stayed with; then what is outside the leaf's largest component is paired with what is in
+other components. A pair is made in one leaf only, the least that both are in, however many
+trees bring it together. So copies by the thousand cost a few pairs each, and no link that
+would join two components is skipped. Sketches pass over pairs that are far from alike: four
+bits of each token, by chance far below the chance of missing a leaf, and a parity sketch, in which
+each unlike bit is an unlike shingle. Links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import blocks, fingerprints
+from .classes import NO_ID, components, confirmed, distinct_shingles, joined_components, labelled, only_text, outcome, pair, set_names
 from .stored import stored
 
 COORDINATES = 64
@@ -44,11 +46,11 @@ SKETCH = 0.58
 SKETCHED = 64
 #: Of the nodes, those that choose two coordinates.
 TWICE = 0.25
-#: Pivots of a large leaf.
-PIVOTS = 6
-#: Documents that are looked up by broadcasting their hashes (8 bytes each); more go by a join of two shuffled sides.
-BROADCAST_ROWS = 500_000
+#: Parts that a large leaf is dealt into, so that its rows aren't one task's.
+PARTS = 16
 SKETCHES = [f"s{i}" for i in range(4)]
+PARITY = [f"p{i}" for i in range(4)]
+FACTS = ["n", *SKETCHES, *PARITY]
 
 
 def lost(trees: int, depth: int, similarity: float = SIMILAR) -> float:
@@ -66,40 +68,34 @@ def lost(trees: int, depth: int, similarity: float = SIMILAR) -> float:
 TREES = next(t for t in range(1, 1000) if lost(t, DEPTH) <= 1 - RECALL)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int, tokens: bool) -> Iterator[pa.RecordBatch]:
-    """Set size, name of the set and either its tokens or the set itself, of each text."""
+ROWS = "doc_id long, row long, n long, name binary, tokens array<int>, " + ", ".join(f"{s} long" for s in [*SKETCHES, *PARITY])
+
+
+def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Set size, name of the set, its tokens and its sketches, of each text."""
     for batch in batches:
-        for lo, hi, block in blocks.arrow_blocks(batch.column(batch.num_columns - 1)):
-            hashes, at = blocks.shingles(block, k)
-            text = np.repeat(np.arange(block.n), np.diff(at))
-            order = np.lexsort((hashes, text))
-            hashes, text = hashes[order], text[order]
-            new = np.ones(len(hashes), bool)
-            new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-            hashes, text = hashes[new], text[new]
-            edges = np.searchsorted(text, np.arange(block.n + 1))
-            # Two sums over the set name it: 128 bits, so that no two sets of a large corpus share a name.
-            names = []
-            for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
-                total = np.append(np.uint64(0), np.cumsum(blocks.mix(hashes ^ np.uint64(salt)), dtype=np.uint64))
-                names.append(blocks.mix(total[edges[1:]] - total[edges[:-1]] + np.diff(edges).astype(np.uint64)))
-            name = np.stack(names, axis=1).astype("<u8").tobytes()
-            column = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), block.n, [None, pa.py_buffer(name)]).cast(pa.binary())
-            sizes = pa.array(np.diff(edges), pa.int64())
-            given = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
-            labels = batch.schema.names[:-1]
-            if tokens:
-                table = np.full(block.n * COORDINATES, fingerprints._NONE)
-                row = text * COORDINATES + (hashes % np.uint64(COORDINATES)).astype(np.int64)
-                np.minimum.at(table, row, hashes)
-                table = fingerprints.densify(table.reshape(block.n, COORDINATES))
-                values = (table >> np.uint64(24)).astype(np.uint32).view(np.int32).ravel()
-                bits = ((table >> np.uint64(24)) & np.uint64(15)).reshape(block.n, 4, 16) << (np.uint64(4) * np.arange(16, dtype=np.uint64))
-                bits = np.bitwise_or.reduce(bits, axis=2).view(np.int64)
-                last = [blocks.list_array(values, np.arange(block.n + 1) * COORDINATES), *(pa.array(bits[:, i].copy()) for i in range(4))]
-            else:
-                last = [blocks.list_array(hashes.view(np.int64), edges)]
-            yield pa.record_batch([*given, sizes, column, *last], [*labels, "n", "name", *(["tokens", *SKETCHES] if tokens else ["shingles"])])
+        for lo, hi, block in blocks.arrow_blocks(batch.column(2)):
+            hashes, text, edges = distinct_shingles(block, k)
+            table = np.full(block.n * COORDINATES, fingerprints._NONE)
+            row = text * COORDINATES + (hashes % np.uint64(COORDINATES)).astype(np.int64)
+            np.minimum.at(table, row, hashes)
+            table = fingerprints.densify(table.reshape(block.n, COORDINATES))
+            values = (table >> np.uint64(24)).astype(np.uint32).view(np.int32).ravel()
+            bits = ((table >> np.uint64(24)) & np.uint64(15)).reshape(block.n, 4, 16) << (np.uint64(4) * np.arange(16, dtype=np.uint64))
+            bits = np.bitwise_or.reduce(bits, axis=2).view(np.int64)
+            # Each shingle flips one of 256 bits.
+            spread = blocks.mix(hashes ^ np.uint64(0xA0761D6478BD642F))
+            flips = np.zeros((len(hashes) + 1, 4), np.uint64)
+            flips[np.arange(1, len(hashes) + 1), (spread >> np.uint64(6)) & np.uint64(3)] = np.uint64(1) << (spread & np.uint64(63))
+            flips = np.bitwise_xor.accumulate(flips, axis=0)
+            parity = (flips[edges[1:]] ^ flips[edges[:-1]]).view(np.int64)
+            given = [c.slice(lo, hi - lo) for c in batch.columns[:2]]
+            tokens = blocks.list_array(values, np.arange(block.n + 1) * COORDINATES)
+            sketches = [pa.array(x[:, i].copy()) for x in (bits, parity) for i in range(4)]
+            yield pa.record_batch(
+                [*given, pa.array(np.diff(edges), pa.int64()), set_names(hashes, edges), tokens, *sketches],
+                ["doc_id", "row", "n", "name", "tokens", *SKETCHES, *PARITY],
+            )
 
 
 def _alike(a: str, b: str, percent: int):
@@ -110,16 +106,17 @@ def _alike(a: str, b: str, percent: int):
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         unlike.append(F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111))))
-    fewer = F.least(f"{a}.n", f"{b}.n")
+    flipped = [F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in PARITY]
+    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+    fewer = F.least(n_a, n_b)
     near = (fewer < SKETCHED) | (sum(unlike[1:], unlike[0]) <= int((1 - SKETCH) * COORDINATES))
-    return near & (100 * fewer >= percent * F.greatest(f"{a}.n", f"{b}.n"))
+    possible = (100 + percent) * sum(flipped[1:], flipped[0]) <= (100 - percent) * (n_a + n_b)
+    return near & possible & (100 * fewer >= percent * F.greatest(n_a, n_b))
 
 
-def _pair(a: str, b: str) -> list:
-    """Names and set sizes of two sides, the least name first."""
-    sides = [F.struct(f"{x}.name", f"{x}.n") for x in (a, b)]
-    low, high = F.least(*sides), F.greatest(*sides)
-    return [low["name"].alias("a"), high["name"].alias("b"), low["n"].alias("n_a"), high["n"].alias("n_b")]
+def _once(a: str, b: str):
+    """Whether this leaf is the least of those that both classes are in."""
+    return F.array_min(F.array_intersect(f"{a}.nodes", f"{b}.nodes")) == F.col(f"{a}.node")
 
 
 def _branch(members: DataFrame, level: int) -> DataFrame:
@@ -135,8 +132,11 @@ def _branch(members: DataFrame, level: int) -> DataFrame:
 
 
 def _leaves(classes: DataFrame) -> DataFrame:
-    """(node, name, n, size) of all leaves with more than one class."""
-    sketches = classes.select("name", *SKETCHES)
+    """(node, name, size, nodes, facts of the class) of all leaves with more than one class.
+
+    ``nodes``: the leaves of the same kind, small or large, that the class is in.
+    """
+    facts = classes.select("name", *FACTS)
     trees = F.explode(F.array(*[F.xxhash64(F.lit(1000 + t)) for t in range(TREES)]))
     members = classes.select(trees.alias("node"), "name", "n", "tokens")
     # The first level is by far the largest, so tokens stay behind: only what shares a node gets them back.
@@ -160,50 +160,41 @@ def _leaves(classes: DataFrame) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return stored(out.join(sketches, "name"), "near_leaves")
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, label: str) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) with the distance of their full sets, and whether that links them."""
-    pairs = pairs.groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    pairs = stored(pairs, f"near_{label}_pairs")
-    # One document of each class that is in a pair gives the full set.
-    asked = pairs.select("a").union(pairs.select("b")).distinct().toDF("name")
-    holders = stored(classes.join(asked, "name").select("holder"), f"near_{label}_holders")
-    if holders.count() <= BROADCAST_ROWS:
-        holders = F.broadcast(holders)
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("holder"), "text").join(holders, "holder")
-    sets = texts.select("text").mapInArrow(lambda b: _sets(b, k, False), "n long, name binary, shingles array<long>")
-    sets = stored(sets.join(asked, "name", "left_semi").select("name", "shingles"), f"near_{label}_sets")
-    sets = sets.groupBy("name").agg(F.first("shingles").alias("shingles"))
-    with_b = pairs.join(sets.toDF("b", "set_b"), "b")
-    with_both = with_b.join(sets.toDF("a", "set_a"), "a")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    either = F.col("n_a") + F.col("n_b") - F.col("shared")
-    measured = with_both.withColumn("shared", shared).select(
-        "a", "b", (1 - F.col("shared") / either).alias("distance"), (100 * F.col("shared") >= percent * either).alias("linked")
-    )
-    return stored(measured, f"near_{label}_measured")
-
-
-def components(vertices: DataFrame, links: DataFrame) -> DataFrame:
-    """(name, label): the least ``label`` that the links (a, b) reach from each vertex that has any.
-
-    A label ends with its vertex's name. Each round every vertex takes the least label
-    beside it, then the label that this label's vertex has. Ends when nothing changes.
-    """
-    ends = stored(links.select("a", "b").union(links.select("b", "a")), "near_ends")
-    now = stored(ends.select(F.col("a").alias("name")).distinct().join(vertices, "name").select("name", "label"), "near_labels")
-    while True:
-        beside = ends.join(now.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near"))
-        step = now.join(beside.toDF("name", "near"), "name")
-        step = stored(step.select("name", F.col("label").alias("old"), F.least("label", "near").alias("label")), "near_step")
-        owner = step.select(F.col("name").alias("owner"), F.col("label").alias("further"))
-        jumped = step.join(owner, F.col("label.name") == F.col("owner"))
-        jumped = stored(jumped.select("name", "old", F.least("label", "further").alias("label")), "near_labels")
-        now = jumped.select("name", "label")
-        if jumped.where("label < old").isEmpty():
-            return now
+    out = stored(out.select("node", "name", "size", (F.col("size") > SMALL).alias("large")), "near_placed_leaves")
+    # A few dozen leaves a class: as many as all trees have for it.
+    own = out.groupBy("name", "large").agg(F.collect_set("node").alias("nodes"), F.sum("size").alias("met"))
+    return stored(out.join(own, ["name", "large"]).join(facts, "name"), "near_leaves")
+
+
+def _within(leaves: DataFrame, percent: int) -> DataFrame:
+    """All pairs of small leaves that may be linked, each in one leaf."""
+    same = (F.col("x.node") == F.col("y.node")) & (F.col("x.name") < F.col("y.name"))
+    return leaves.alias("x").join(leaves.alias("y"), same & _alike("x", "y", percent) & _once("x", "y")).select(*pair("x", "y"))
+
+
+def _star(leaves: DataFrame, percent: int) -> DataFrame:
+    """Each class of a large leaf with the leaf's pivot."""
+    part = F.pmod(F.xxhash64("name"), F.lit(PARTS))
+    pivots = leaves.groupBy("node").agg(F.max(F.struct("met", F.xxhash64("name").alias("h"), "name", *FACTS)).alias("p"))
+    pivots = pivots.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", *FACTS)])
+    everywhere = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    same = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.name") != F.col("y.name"))
+    return leaves.withColumn("part", part).alias("x").join(everywhere.alias("y"), same & _alike("x", "y", percent)).select(*pair("x", "y"))
+
+
+def _across(leaves: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """What is outside of a large leaf's largest component, with what is in its other components."""
+    parts = stored(leaves.join(placed.select("name", F.col("label.name").alias("of")), "name"), "near_parts")
+    counts = parts.groupBy("node", "of").agg(F.count("*").alias("m"))
+    largest = counts.groupBy("node").agg(F.max(F.struct("m", "of")).alias("top"), F.count("*").alias("several")).where("several > 1")
+    mixed = parts.join(largest, "node").withColumn("main", F.col("of") == F.col("top.of")).drop("top", "several", "met")
+    mixed = stored(mixed.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS))), "near_mixed")
+    outside = mixed.where("NOT main").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    same = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part"))
+    # Of two components at most one is the largest, so one of the pair is outside in any leaf of both.
+    apart = (F.col("x.of") != F.col("y.of")) & (F.col("y.main") | (F.col("x.name") < F.col("y.name")))
+    apart = apart & _alike("x", "y", percent) & _once("x", "y")
+    return outside.alias("x").join(mixed.alias("y"), same & apart).select(*pair("x", "y"))
 
 
 def join(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
@@ -216,65 +207,25 @@ def join(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     texts are in one class and so in one component. An empty table gives no rows. Only
     doc_id and text are read; ``row`` is a hash of both.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = only_text(docs)
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    rows = stored(
-        keyed.mapInArrow(lambda b: _sets(b, k, True), "doc_id long, row long, n long, name binary, tokens array<int>, s0 long, s1 long, s2 long, s3 long"), "near_rows"
-    )
-    order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    rows = stored(keyed.mapInArrow(lambda b: _sets(b, k), ROWS), "near_rows")
+    order = F.coalesce("doc_id", F.lit(NO_ID))
     # Equal sets have equal tokens, so any will do; the holder is one row that has the set.
-    classes = rows.where("n > 0").groupBy("name").agg(
-        F.min(F.struct(order.alias("label"), "row", "n", "tokens", *SKETCHES)).alias("f")
-    )
+    classes = rows.where("n > 0").groupBy("name").agg(F.min(F.struct(order.alias("label"), "row", "tokens", *FACTS)).alias("f"))
     classes = stored(
-        classes.select(
-            "name", F.struct("f.label", "name").alias("label"), F.col("f.row").alias("holder"), *[f"f.{c}" for c in ("n", "tokens", *SKETCHES)]
-        ),
+        classes.select("name", F.struct("f.label", "name").alias("label"), F.col("f.row").alias("holder"), *[f"f.{c}" for c in ("tokens", *FACTS)]),
         "near_classes",
     )
     leaves = _leaves(classes)
     vertices = classes.select("name", "label")
-    small, large = leaves.where(F.col("size") <= SMALL), leaves.where(F.col("size") > SMALL)
-    within = small.alias("x").join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.name") < F.col("y.name")) & _alike("x", "y", percent))
-    # The pivots of a leaf have the least hashes of their sixth: the same ones in most leaves of a group.
-    sixth = F.pmod(F.xxhash64("name"), F.lit(PIVOTS))
-    pivots = large.groupBy("node", sixth.alias("q")).agg(F.min(F.struct(F.xxhash64(F.lit(1), "name"), "name", "n", *SKETCHES)).alias("p"))
-    pivots = pivots.select("node", "q", *[F.col(f"p.{c}").alias(c) for c in ("name", "n", *SKETCHES)])
-    star = large.alias("x").join(pivots.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.name") != F.col("y.name")) & _alike("x", "y", percent))
-    first = within.select(*_pair("x", "y")).unionByName(star.select(*_pair("x", "y")))
-    measured = _confirmed(first, classes, docs, k, percent, "first")
-    links = measured.where("linked")
-    labels = components(vertices, links)
-    # How far each class of a large leaf is from the leaf's pivots.
-    known = star.select("x.node", F.col("x.name").alias("name"), "q", *_pair("x", "y")).join(measured, ["a", "b"])
-    known = known.groupBy("node", "name").agg(*[F.max(F.when(F.col("q") == i, F.col("distance"))).alias(f"d{i}") for i in range(PIVOTS)])
-    # What is outside a large leaf's largest component, with all that is in others.
-    placed = large.join(labels.select("name", F.col("label.name").alias("part")), "name", "left")
-    placed = stored(placed.withColumn("part", F.coalesce("part", "name")), "near_placed")
-    parts = placed.groupBy("node", "part").agg(F.count("*").alias("m"))
-    largest = parts.groupBy("node").agg(F.max(F.struct("m", "part")).alias("top"), F.count("*").alias("parts"))
-    mixed = placed.join(largest.where("parts > 1"), "node").withColumn("main", F.col("part") == F.col("top.part"))
-    mixed = stored(mixed.drop("top", "parts").join(known, ["node", "name"], "left"), "near_mixed")
-    # Jaccard distance is a metric: who is this much further from a pivot is at least as far away.
-    limit = 1 - percent / 100 + 1e-9
-    for i in range(PIVOTS):
-        close = F.abs(F.col(f"x.d{i}") - F.col(f"y.d{i}")) <= limit
-        metric = F.coalesce(close, F.lit(True)) if i == 0 else metric & F.coalesce(close, F.lit(True))
-    apart = metric & (F.col("x.node") == F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & (F.col("y.main") | (F.col("x.name") < F.col("y.name")))
-    across = mixed.where("NOT main").alias("x").join(mixed.alias("y"), apart & _alike("x", "y", percent))
-    more = _confirmed(across.select(*_pair("x", "y")), classes, docs, k, percent, "across").where("linked")
-    # These links join whole components, each named by its label's class.
-    placed = vertices.join(labels.withColumnRenamed("label", "found"), "name", "left")
-    placed = stored(placed.select("name", F.coalesce("found", "label").alias("label")), "near_classed")
-    part = placed.select("name", F.col("label.name").alias("part"))
-    joined = more.join(part.toDF("a", "part_a"), "a").join(part.toDF("b", "part_b"), "b")
-    wider = components(vertices, joined.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).where("a <> b").distinct())
-    wider = wider.select(F.col("name").alias("part"), F.col("label").alias("found"))
-    classed = placed.join(wider, F.col("label.name") == F.col("part"), "left")
-    classed = classed.select("name", F.coalesce("found", "label")["label"].alias("label"))
-    out = rows.select("doc_id", "row", "n", "name").join(classed, "name", "left")
-    found = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("label") < (1 << 63) - 1, F.col("label"))
-    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), found.alias("component_id"))
+    small, large = leaves.where("NOT large"), leaves.where("large")
+    first = _within(small, percent).unionByName(_star(large, percent))
+    measured = confirmed(first, classes, docs, k, percent, "near_first")
+    placed = labelled(vertices, components(vertices, measured.where("linked")))
+    new = _across(large, placed, percent).join(measured.select("a", "b"), ["a", "b"], "left_anti")
+    more = confirmed(new, classes, docs, k, percent, "near_across").where("linked")
+    return outcome(rows, joined_components(vertices, placed, more))
 
 
 def keep(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

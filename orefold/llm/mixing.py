@@ -1,10 +1,11 @@
 """Mixing sources to target weights by subset sums.
 
 Per source, the documents of each exact length are counted. A target takes whole
-copies of the source first; of what is left, each length gives its even share,
-rounded down, and a bounded knapsack over single documents fills the remaining
-budget as nearly as their lengths allow. Which documents of a length are taken
-depends on a hash of seed, doc_id and text, so reruns agree.
+copies of the source first; of what is left, all but some thousand words are taken evenly
+from all lengths, and a bounded knapsack over the documents left fills the remaining
+budget. Where no sum of lengths fills it exactly, less is taken evenly and more is left to
+the knapsack, at last everything: the result is the nearest sum there is. Which documents of a
+length are taken depends on a hash of seed, doc_id and text, so reruns agree.
 
 Only sums per source and counts per length meet on one task; documents are ranked
 within (source, length, bucket), where a bucket is one of ``BUCKETS`` hash ranges.
@@ -20,10 +21,8 @@ from .stored import stored
 
 #: Hash ranges that a length's documents are ranked in.
 BUCKETS = 1024
-#: The knapsack's budget in words; until it is reached, each length gives one more document, the longest first.
-KNAPSACK = 1 << 15
-#: Lengths that the knapsack chooses from, evenly over those a source has.
-KNAPSACK_LENGTHS = 512
+#: The words that are left to the knapsack at first; eight times as many whenever it can't fill them.
+KNAPSACK = 1 << 13
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -51,49 +50,68 @@ def shares(sizes: list[int], weights: list[float], limit: float = 3.0) -> list[f
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that the words come near the budget."""
+    """How many documents of each length to take, so that no other choice is nearer to the budget.
+
+    Sums are multiples of the lengths' common divisor, so the search ends with a sum that is as
+    near as any multiple. Of two sums equally near either may be taken.
+    """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
-    taken = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
     if budget <= 0 or not total:
-        return taken
+        return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
-    usable = lengths > 0
-    # Python's integers: count times budget may pass 64 bits.
-    taken[usable] = [int(c) * budget // total for c in counts[usable]]
+    step = int(np.gcd.reduce(lengths[(lengths > 0) & (counts > 0)]))
+    nearest = min(budget % step, step - budget % step)
+    window = KNAPSACK
+    while True:
+        taken, off = _fit_window(lengths, counts, budget, total, window)
+        if off == nearest or window >= budget:
+            return taken
+        window *= 8
+
+
+def _fit_window(lengths: np.ndarray, counts: np.ndarray, budget: int, total: int, window: int) -> tuple[np.ndarray, int]:
+    """The best choice that takes all but about ``window`` words evenly, and how far off it is."""
+    usable = (lengths > 0) & (counts > 0)
+    taken = np.zeros(len(lengths), np.int64)
+    if budget > window:
+        # Python's integers: count times budget may pass 64 bits.
+        taken[usable] = [int(c) * (budget - window) // total for c in counts[usable]]
     rest = budget - int((lengths * taken).sum())
     for i in np.argsort(-lengths, kind="stable"):
-        if rest <= KNAPSACK or lengths[i] <= 0:
+        # What rounding down has left goes to one more document of the longest lengths.
+        if rest <= 2 * window or not usable[i]:
             break
-        if taken[i] < counts[i] and lengths[i] < rest:
+        if taken[i] < counts[i] and lengths[i] <= rest - window:
             taken[i] += 1
             rest -= int(lengths[i])
     # One more document of some lengths: bits say which sums can be reached.
-    choice = np.flatnonzero(usable & (taken < counts) & (lengths <= 2 * rest))
-    if len(choice) > KNAPSACK_LENGTHS:
-        choice = choice[np.unique(np.linspace(0, len(choice) - 1, KNAPSACK_LENGTHS).astype(int))]
-    items = [(int(i), n) for i in choice for n in _powers_of_two(int(min(counts[i] - taken[i], 2 * rest // lengths[i])))]
     mask = (1 << (2 * rest + 1)) - 1
-    reached = [1]
-    for i, n in items:
-        reached.append(reached[-1] | ((reached[-1] << (n * int(lengths[i]))) & mask))
+    reached, items = [1], []
+    for i in np.flatnonzero(usable & (taken < counts) & (lengths <= 2 * rest)):
+        if (reached[-1] >> rest) & 1:
+            break
+        for n in _powers_of_two(int(min(counts[i] - taken[i], 2 * rest // lengths[i]))):
+            items.append((int(i), n))
+            reached.append(reached[-1] | ((reached[-1] << (n * int(lengths[i]))) & mask))
     sums = reached[-1]
     below = (sums & ((1 << (rest + 1)) - 1)).bit_length() - 1
     above = sums >> (rest + 1)
     first_above = (above & -above).bit_length() + rest if above else None
     goal = below if first_above is None or rest - below <= first_above - rest else first_above
+    off = abs(rest - goal)
     for (i, n), before in zip(reversed(items), reversed(reached[:-1]), strict=True):
         if not (before >> goal) & 1:
             taken[i] += n
             goal -= n * int(lengths[i])
-    return taken
+    return taken, off
 
 
 def _powers_of_two(n: int) -> list[int]:
-    """Numbers whose sums are all of 0 to n, at most 16 of them here."""
+    """Numbers whose sums are all of 0 to n."""
     out, step = [], 1
-    while n > 0 and len(out) < 16:
+    while n > 0:
         out.append(min(step, n))
         n -= out[-1]
         step *= 2

@@ -6,8 +6,10 @@ that makes the expected score of ordinary text negative. In each text all maxima
 scoring segments are found in one linear scan. Segment scores of ordinary text follow
 an extreme-value law, P(best >= s) = 1 - exp(-K n exp(-lambda s)); the text's
 significance sums what its segments are worth under it, and a logistic curve turns
-that into the score. Digits, marks and case don't count: a token is a run of letters,
-cut to its first ``STEM``, so that endings share their stem's evidence.
+that into the score. Digits, marks and case don't count: a token is a run of letters, read
+whole. A token without evidence of its own falls back on its stem, that of all tokens
+beginning with the same letters. By how many standard errors log-odds are shrunk is chosen
+on labelled rows that the counts were not taken from.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,23 +31,36 @@ TRAIN_ROWS = 20_000
 CURVE_ROWS = 10_000
 #: The prior's weight: this share of the pooled counts is added to either side.
 PRIOR_SHARE = 0.05
-#: Standard errors by which log-odds are shrunk towards 0.
-SHRINK = 4.0
+#: Standard errors by which log-odds are shrunk towards 0: the curve rows choose among these.
+SHRINKS = (1.0, 2.0, 3.0, 4.0)
 #: Log-odds that shrink to less than this count as none.
 LEAST = 0.5
-#: Tokens kept: those of largest shrunk log-odds, on either side.
-MOST_TOKENS = 20_000
 DRIFT = 0.1
+#: Letters of a stem.
 STEM = 4
-#: Finds the stem of each run of letters.
-TOKEN = re.compile(rf"([^\W\d_]{{1,{STEM}}})[^\W\d_]*")
+TOKEN = re.compile(r"[^\W\d_]+")
+
+
+def stem(token: str) -> str:
+    """What tokens that begin alike share; no token has the mark."""
+    return token[:STEM] + "*"
+
+
+class Scores(dict):
+    """Scores of tokens and stems; a token that has none takes its stem's, or None."""
+
+    def __missing__(self, token: str) -> float | None:
+        found = self.get(stem(token))
+        if len(self) < 2_000_000:  # remembered, within bounds
+            self[token] = found
+        return found
 
 
 @dataclass(frozen=True)
 class Model:
     """Token scores (others score -drift), extreme-value law and curve."""
 
-    scores: dict[str, float]
+    scores: Scores
     drift: float
     lam: float
     k: float
@@ -84,8 +99,8 @@ def maximal_segments(at: list[int], scores: list[float], drift: float) -> list[t
 def segments(text: str, model: Model) -> tuple[list[tuple[int, int, float]], int]:
     """Maximal segments of a text, and its number of tokens."""
     tokens = TOKEN.findall(text.lower())
-    get = model.scores.get
-    own = [(i, s) for i, t in enumerate(tokens) if (s := get(t)) is not None]
+    scores = model.scores
+    own = [(i, s) for i, t in enumerate(tokens) if (s := scores[t]) is not None]
     return maximal_segments([i for i, _ in own], [s for _, s in own], model.drift), len(tokens)
 
 
@@ -107,20 +122,52 @@ def _train_part(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def _log_odds(counts: list, totals: dict[bool, float]) -> dict[str, float]:
-    """Shrunk log-odds of the tokens; ``counts`` has (token, n_toxic, n_other)."""
+def _log_odds(counts: list, totals: dict[bool, float]) -> dict[str, tuple[float, float]]:
+    """Log-odds of tokens and their standard errors; ``counts`` has (token, n_toxic, n_other)."""
     weight = PRIOR_SHARE * (totals[True] + totals[False])
     out = {}
     for token, toxic, other in counts:
         prior = PRIOR_SHARE * (toxic + other)
         a, b = toxic + prior, other + prior
         delta = math.log(a / (totals[True] + weight - a)) - math.log(b / (totals[False] + weight - b))
-        shrunk = abs(delta) - SHRINK * math.sqrt(1 / a + 1 / b)
-        if shrunk >= LEAST:
-            out[token] = math.copysign(shrunk, delta)
+        out[token] = (delta, math.sqrt(1 / a + 1 / b))
     return out
 
 
+def _draft(counts: list, odds: dict[str, tuple[float, float]], others: float, shrink: float) -> Model:
+    """Scores at one strength of shrinking, and their extreme-value law over the ordinary texts."""
+    scores = Scores()
+    for token, (delta, error) in odds.items():
+        if abs(delta) - shrink * error >= LEAST:
+            scores[token] = math.copysign(abs(delta) - shrink * error, delta)
+    known = {t: o for t, _, o in counts if t in scores}
+    for token in [t for t in known if not t.endswith("*")]:
+        if stem(token) in known:  # what has a score of its own doesn't fall back
+            known[stem(token)] = max(known[stem(token)] - known[token], 0)
+    values = np.array([scores[t] for t in known] + [-DRIFT])
+    shares = np.array([known[t] / others for t in known])
+    shares = np.append(shares, max(0.0, 1 - shares.sum()))
+    drift = DRIFT
+    while (values * shares).sum() >= 0:  # the law needs a negative mean
+        drift *= 2
+        values[-1] = -drift
+    return Model(scores, drift, _root(values, shares), 1.0, 1.0, 0.0)
+
+
+def _finished(draft: Model, curve: list[tuple[list[float], int, int]]) -> tuple[Model, float]:
+    """The draft with its law and curve fitted on (segment scores, tokens, label) rows, and their log loss."""
+    # P(best < s) = exp(-K n exp(-lambda s)) over the ordinary texts: K by maximum likelihood, given lambda.
+    plain = [(max(f, default=0.0), n) for f, n, y in curve if not y]
+    weight = sum(n * math.exp(-min(draft.lam * s, 700.0)) for s, n in plain)
+    model = replace(draft, k=len(plain) / weight if weight else 1.0)
+    x = np.array([significance([(0, 0, s) for s in f], n, model) for f, n, _ in curve])
+    y = np.array([y for _, _, y in curve], float)
+    slope, offset = _logistic(x, y, np.ones_like(x))
+    p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
+    loss = -float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+    return replace(model, slope=slope, offset=offset), loss
+
+
 def _root(scores: np.ndarray, shares: np.ndarray) -> float:
     """The positive lambda with sum(share * exp(lambda * score)) = 1."""
     high = 1e-3
@@ -171,7 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 # Once a text: words that a single text repeats say little about others.
-                for token in set(TOKEN.findall(text.lower())):
+                own = set(TOKEN.findall(text.lower()))
+                for token in own | {stem(t) for t in own}:
                     counts.setdefault(token, [0, 0])[toxic] += 1
             names = pa.array(list(counts), pa.string())
             values = np.array(list(counts.values()), np.int64).reshape(-1, 2)
@@ -183,40 +231,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counted = stored(counted, "toxicity_counts")
     sums = counted.agg(F.sum("toxic").alias("t"), F.sum("other").alias("o")).first()
     if not sums.t or not sums.o:
-        return Model({}, DRIFT, 1.0, 1.0, 0.0, -3.0)
+        return Model(Scores(), DRIFT, 1.0, 1.0, 0.0, -3.0)
     totals = {True: float(sums.t), False: float(sums.o)}
-    # How far a token's share strays bounds its log-odds, so the most telling ones lead this order.
-    stray = F.abs(F.col("toxic") / totals[True] - F.col("other") / totals[False])
-    stray = stray / F.sqrt(F.col("toxic") / totals[True] ** 2 + F.col("other") / totals[False] ** 2)
-    counts = [tuple(r) for r in counted.orderBy(stray.desc(), "token").limit(MOST_TOKENS).collect()]
-    scores = _log_odds(counts, totals)
-    known = {t: o for t, _, o in counts if t in scores}
-    values = np.array([scores[t] for t in known] + [-DRIFT])
-    shares = np.array([known[t] / totals[False] for t in known])
-    shares = np.append(shares, max(0.0, 1 - shares.sum()))
-    drift = DRIFT
-    while (values * shares).sum() >= 0:  # the law needs a negative mean
-        drift *= 2
-        values[-1] = -drift
-    lam = _root(values, shares)
-    draft = Model(scores, drift, lam, 1.0, 1.0, 0.0)
+    # All tokens of the sampled texts, so their number is bounded by ``TRAIN_ROWS`` texts.
+    counts = sorted(tuple(r) for r in counted.collect())
+    odds = _log_odds(counts, totals)
+    drafts = [_draft(counts, odds, totals[False], shrink) for shrink in SHRINKS]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [segments(text, draft) for text in batch.column(0).to_pylist()]
-            found = pa.array([[s for _, _, s in f] for f, _ in out], pa.list_(pa.float64()))
-            yield pa.record_batch([found, pa.array([n for _, n in out], pa.int64()), batch.column(1)], ["found", "n", "toxic"])
-
-    curve = texts.where("curve").select("text", "toxic").mapInArrow(scan, "found array<double>, n long, toxic int")
-    curve = [(r.found, r.n, int(r.toxic > 0)) for r in curve.collect()]  # CURVE_ROWS at most
-    # P(best < s) = exp(-K n exp(-lambda s)) over the ordinary texts: K by maximum likelihood, given lambda.
-    plain = [(max(f, default=0.0), n) for f, n, y in curve if not y]
-    weight = sum(n * math.exp(-min(lam * s, 700.0)) for s, n in plain)
-    k = len(plain) / weight if weight else 1.0
-    model = Model(scores, drift, lam, k, 1.0, 0.0)
-    x = np.array([significance([(0, 0, s) for s in f], n, model) for f, n, _ in curve])
-    slope, offset = _logistic(x, np.array([y for _, _, y in curve], float), np.ones_like(x))
-    return Model(scores, drift, lam, k, slope, offset)
+            out = [[segments(text, d) for d in drafts] for text in batch.column(0).to_pylist()]
+            found = pa.array([[[s for _, _, s in f] for f, _ in each] for each in out], pa.list_(pa.list_(pa.float64())))
+            yield pa.record_batch([found, pa.array([each[0][1] for each in out], pa.int64()), batch.column(1)], ["found", "n", "toxic"])
+
+    curve = texts.where("curve").select("text", "toxic").mapInArrow(scan, "found array<array<double>>, n long, toxic int")
+    curve = curve.collect()  # CURVE_ROWS at most
+    fitted = [_finished(d, [(r.found[i], r.n, int(r.toxic > 0)) for r in curve]) for i, d in enumerate(drafts)]
+    return min(fitted, key=lambda m: m[1])[0]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

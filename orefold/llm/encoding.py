@@ -8,7 +8,9 @@ positions. So a frequent word moves once a block, not once an occurrence, and no
 task holds more than a block or its share of the distinct words.
 
 This holds for vocabularies whose pieces don't cross white space (with word ends,
-white space dropped). Decoding joins ids to pieces: as many as the vocabulary has.
+white space dropped). Decoding looks each document's ids up in a table of pieces, as many as
+the vocabulary has: ``decode_ids`` as a join of rows, ``encode`` in its blocks, so that ids
+need no shuffle of their own.
 """
 
 from __future__ import annotations
@@ -215,12 +217,8 @@ def encode(docs: DataFrame, description: str, decode: bool = True) -> DataFrame:
         ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(n_words))]
         out = {"doc_id": pa.array(one["doc_ids"], pa.int64()), "ids": blocks.binary_array(ids, ends)}
         if decode:
-            pieces = _pieces(shared.value)
-            listed = flat.tolist()
-            spelled = [" ".join([pieces[i] for i in listed[a:b]]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-            kept = index[n > 0].tolist()  # a word may have no ids, and then no place in the text
-            edges = np.append(0, np.cumsum(n > 0))[np.append(0, np.cumsum(n_words))].tolist()
-            out["decoded"] = pa.array([" ".join([spelled[i] for i in kept[a:b]]) for a, b in zip(edges, edges[1:], strict=False)], pa.string())
+            # The documents' own ids, in the order in which they are returned.
+            out["decoded"] = decoded(ids, ends, *_piece_table(shared.value))
         return pa.table(out)
 
     schema = "doc_id long, ids binary" + ", decoded string" * decode
@@ -247,10 +245,39 @@ def _pieces(description: str) -> list[str]:
     return out
 
 
+@lru_cache(2)
+def _piece_table(description: str) -> tuple[np.ndarray, np.ndarray]:
+    """The id-to-piece table: all pieces with a blank after each, as bytes, and where each id's starts."""
+    pieces = [p.encode("utf-8") + b" " for p in _pieces(description)]
+    return np.frombuffer(b"".join(pieces), np.uint8), np.append(0, np.cumsum([len(p) for p in pieces]))
+
+
+def decoded(ids: np.ndarray, ends: np.ndarray, data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The text of each document (ids from one of ``ends`` to the next), by looking its ids up in the table."""
+    out = []
+    lo = 0
+    while lo < len(ends) - 1:
+        # Some documents at once, so that the bytes of one step stay few.
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + (1 << 18), side="right")) - 1)
+        own = ids[ends[lo] : ends[hi]].astype(np.int64)
+        sizes = starts[own + 1] - starts[own]
+        text = data[expanded(starts[own], sizes)]
+        edges = np.append(0, np.cumsum(sizes))[ends[lo : hi + 1] - ends[lo]].tolist()
+        raw = text.tobytes()
+        out += [raw[a : max(a, b - 1)].decode("utf-8") for a, b in zip(edges, edges[1:], strict=False)]
+        lo = hi
+    return pa.array(out, pa.string())
+
+
 def decode_ids(rows: DataFrame, description: str) -> DataFrame:
-    """``rows`` with ``decoded``, from an ``ids`` array column: a join of ids to pieces.
+    """``rows`` with ``decoded``, from an ``ids`` array column: a join of positions with the table of pieces.
 
-    The table of pieces is as large as the vocabulary and is broadcast. Null ids give null.
+    The table is as large as the vocabulary and is broadcast. Null ids give null, none give an empty text.
     """
-    pieces = F.array(*[F.lit(p) for p in _pieces(description)])
-    return rows.withColumn("decoded", F.array_join(F.transform("ids", lambda i: F.element_at(pieces, i.cast("int") + 1)), " "))
+    table = rows.sparkSession.createDataFrame(list(enumerate(_pieces(description))), "id long, piece string")
+    keyed = rows.withColumn("_row", F.monotonically_increasing_id())
+    each = keyed.select("_row", F.posexplode("ids").alias("at", "id")).join(F.broadcast(table), "id")
+    spelled = each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
+    text = F.coalesce(F.array_join(F.transform("pieces", lambda p: p["piece"]), " "), F.lit(""))
+    joined = keyed.join(spelled, "_row", "left")
+    return joined.withColumn("decoded", F.when(F.col("ids").isNotNull(), text)).drop("_row", "pieces")

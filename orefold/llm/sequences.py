@@ -99,7 +99,7 @@ def write(docs: DataFrame, description: str, end_id: int, folder: str | None = N
     bounds = id_ranges(docs, shuffle_partitions(spark))
     wide = pa.uint16() if encoding.id_type(description) == "<u2" else pa.uint32()
     width = wide.bit_width // 8
-    schema = pa.schema([("ids", pa.list_(wide, length)), ("mask", pa.list_(pa.bool_(), length))])
+    schema = pa.schema([("ids", pa.list_(wide, length)), ("mask", pa.list_(pa.uint8(), length))])
     listing = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,7 @@ def write(docs: DataFrame, description: str, end_id: int, folder: str | None = N
             n = -(-len(ids) // length) * length
             mask = np.arange(n) < len(ids)
             ids = np.concatenate([ids, np.zeros(n - len(ids), ids.dtype)])
-            lists = [pa.FixedSizeListArray.from_arrays(pa.array(v, t), length) for v, t in ((ids, wide), (mask, pa.bool_()))]
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(v, t), length) for v, t in ((ids, wide), (mask.view(np.uint8), pa.uint8()))]
             return pa.record_batch(lists, schema=schema)
 
         files = None
@@ -169,16 +169,16 @@ class Sequences:
         self.rows = self.ids.get_batch(0).num_rows if self.ids.num_record_batches else 0
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence i."""
+        """Ids and mask of sequence i, both in place: a byte of the file is a truth value."""
         ids, mask = self.ids.get_batch(i // self.rows).columns
         i %= self.rows
-        return ids[i].values.to_numpy(), mask[i].values.to_numpy(zero_copy_only=False)
+        return ids[i].values.to_numpy(), mask[i].values.to_numpy().view(np.bool_)
 
     def stream(self) -> Iterator[np.ndarray]:
         """The ids of each batch that the mask holds for, in place."""
         for i in range(self.ids.num_record_batches):
             ids, mask = self.ids.get_batch(i).columns
-            yield ids.flatten().to_numpy()[: mask.flatten().true_count]
+            yield ids.flatten().to_numpy()[: np.count_nonzero(mask.flatten().to_numpy())]
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """doc_id, start in the shard and ids of each document."""

@@ -240,6 +240,7 @@ def test_sequences(docs, empty, given, tokens):
     flat = np.concatenate(list(opened.stream()))
     for i in (0, len(flat) // 64):
         ids, mask = opened[i]
+        assert not ids.flags.owndata and not mask.flags.owndata and mask.dtype == bool
         assert len(ids) == len(mask) == 64 and (ids[mask] == flat[64 * i : 64 * i + 64]).all()
     assert sequences.read(sequences.write(empty, VOCABULARY, end_id=2)).count() == 0
 

@@ -109,7 +109,8 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             weights = []
             for _, _, block in blocks.arrow_blocks(batch.column(3)):
                 bucket, text = features(block.data, block.offsets)
-                weights.append(np.bincount(text, weights=shared.value[bucket], minlength=block.n))
+                # Without any n-gram numpy counts in integers.
+                weights.append(np.bincount(text, weights=shared.value[bucket], minlength=block.n).astype(float))
             weight = np.concatenate(weights) if weights else np.zeros(0)
             even = blocks.mix(batch.column(1).to_numpy().astype(np.uint64))
             even = ((even >> np.uint64(11)).astype(float) + 0.5) / 2.0**53

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import blocks
 from .stored import stored
@@ -137,8 +137,10 @@ def _dedup(rows: DataFrame, run: int, least_words: int) -> DataFrame:
     # A row has no more places than its text has sentences.
     places = others.groupBy("row").agg(F.collect_set("place").alias("places"))
     marked = rows.withColumn("row", key).join(places, "row", "left").drop("row")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema if f.name not in ("text", "places"))
-    return marked.mapInArrow(lambda b: _cut(b, run), schema + ", text string, n_sentences long, n_removed long")
+    # As a type, not as text: fields of extra columns may have any name.
+    carried = [f for f in marked.schema.fields if f.name not in ("text", "places")]
+    added = [T.StructField("text", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("n_sentences", "n_removed"))]
+    return marked.mapInArrow(lambda b: _cut(b, run), T.StructType([*carried, *added]))
 
 
 ORACLE = f"""

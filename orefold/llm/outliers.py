@@ -6,8 +6,10 @@ compared with a minimum-covariance-determinant estimate of its (lang, source) gr
 the mean and covariance of that ``SHARE`` of the group whose covariance determinant
 is least, found by concentration steps from the group's medians. Each step is two
 grouped aggregates (a quantile of the distances, then sums and products), so a group
-of any size is only ever summed, never gathered. Texts further away than the
-chi-squared bound, in Mahalanobis distance, are rejected.
+of any size is only ever summed, never gathered. Each group's estimate is drawn towards that
+of all rows, the more the fewer rows it has, by one formula at every size. Texts further away
+than the chi-squared bound, in Mahalanobis distance, are rejected. Quantiles are taken of
+values on a grid, from exact counts, so they do not depend on how rows are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -27,13 +29,16 @@ WINDOW = 8
 #: Of a group, the rows that the estimate rests on.
 SHARE = 0.75
 STEPS = 6
-#: Groups of fewer rows use the estimate over all rows.
-LEAST_GROUP = 200
+#: The estimate over all rows counts as much as this many rows of a group's own.
+PRIOR_ROWS = 200.0
+#: Steps of the grids that quantiles are taken on: of statistics, and of logarithms of distances.
+GRID = 1000
 #: Chi-squared with four degrees of freedom is above this with probability 0.001.
 BOUND = 18.467
 #: Words of the group's mean kind that are added to each text, so that short texts don't stray by chance.
 PRIOR_WORDS = 50.0
 FEATURES = ["f0", "f1", "f2", "f3"]
+KEYS = ["g_all", "g_lang", "g_source"]
 #: Added to variances: word length, log symbols a word, shares of repeats. The first only guards the inverse. Most
 #: texts have no symbols and repeats at all, so the core's variance of the others is none and these are their scale.
 FLOORS = [0.03**2, 0.02**2, 0.06**2, 0.05**2]
@@ -114,21 +119,40 @@ def consistency(share: float) -> float:
     return share / (1 - math.exp(-half) * (1 + half + half**2 / 2))
 
 
-def _estimates(moments: pd.DataFrame, share: float) -> pd.DataFrame:
-    """Mean and inverse covariance from n, sums and products of each group's core of this ``share``."""
+def _covariances(moments: pd.DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centres and covariances from n, sums and products of each group's core of this ``share``."""
+    p = len(FEATURES)
+    n = moments["n"].to_numpy()[:, None]
+    mean = moments[[f"s{i}" for i in range(p)]].to_numpy() / n
+    square = np.stack([[moments[f"p{min(i, j)}{max(i, j)}"].to_numpy() for j in range(p)] for i in range(p)]).transpose(2, 0, 1) / n[:, :, None]
+    # Sums are taken about the former centres, so little is lost to cancellation.
+    cov = square - mean[:, :, None] * mean[:, None, :]
+    # The core of a normal distribution is narrower than the whole.
+    return mean + moments[[f"c{i}" for i in range(p)]].to_numpy(), consistency(share) * cov
+
+
+def _table(keys: pd.DataFrame, centres: np.ndarray, covs: np.ndarray) -> pd.DataFrame:
     p = len(FEATURES)
-    rows = []
-    for r in moments.itertuples(index=False):
-        mean = np.array([getattr(r, f"s{i}") for i in range(p)]) / r.n
-        square = np.array([[getattr(r, f"p{min(i, j)}{max(i, j)}") for j in range(p)] for i in range(p)]) / r.n
-        # Sums are taken about the medians, so little is lost to cancellation.
-        cov = square - np.outer(mean, mean)
-        centre = mean + np.array([getattr(r, f"c{i}") for i in range(p)])
-        # The core of a normal distribution is narrower than the whole.
-        inverse = np.linalg.inv(consistency(share) * cov + np.diag(FLOORS))
-        rows.append([*centre, *inverse[np.triu_indices(p)]])
+    upper = np.triu_indices(p)
+    inverse = np.linalg.inv(covs + np.diag(FLOORS))[:, upper[0], upper[1]]
     names = [f"c{i}" for i in range(p)] + [f"q{i}{j}" for i in range(p) for j in range(i, p)]
-    return pd.concat([moments[["g_lang", "g_source"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+    rows = pd.DataFrame(np.concatenate([centres, inverse], axis=1), columns=names)
+    return pd.concat([keys.reset_index(drop=True), rows], axis=1)
+
+
+def _estimates(moments: pd.DataFrame, share: float) -> pd.DataFrame:
+    """Mean and inverse covariance of each group's core."""
+    return _table(moments[KEYS], *_covariances(moments, share))
+
+
+def _drawn(moments: pd.DataFrame, whole: dict, share: float) -> pd.DataFrame:
+    """The same, each drawn towards the estimate of all rows by ``PRIOR_ROWS`` rows of that."""
+    centres, covs = _covariances(moments, share)
+    [centre], [cov] = _covariances(pd.DataFrame([whole]), share)
+    own = (moments["rows"] / (moments["rows"] + PRIOR_ROWS)).to_numpy()[:, None]
+    centres = own * centres + (1 - own) * centre
+    covs = own[:, :, None] * covs + (1 - own)[:, :, None] * cov
+    return _table(moments[KEYS], centres, covs)
 
 
 def _distance():
@@ -139,15 +163,13 @@ def _distance():
 
 def _join(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     # The estimates are read from files, so Spark knows their size and broadcasts them where they are small.
-    names = [c for c in estimates.columns if c not in ("g_lang", "g_source")]
-    return rows.alias("r").join(estimates.alias("e"), F.expr("r.g_lang <=> e.g_lang AND r.g_source <=> e.g_source")).select("r.*", *names)
+    names = [c for c in estimates.columns if c not in KEYS]
+    same = " AND ".join(f"r.{k} <=> e.{k}" for k in KEYS)
+    return rows.alias("r").join(estimates.alias("e"), F.expr(same)).select("r.*", *names)
 
 
 def vectors(stats: DataFrame) -> DataFrame:
-    """Rows that pass the base rules with their group and transformed statistics.
-
-    A group under ``LEAST_GROUP`` rows is counted with all rows (group '*', '*').
-    """
+    """Rows that pass the base rules with their group and transformed statistics."""
     passed = stats.where("NOT base_failed")
     sums = passed.groupBy("lang", "source").agg(
         F.count("*").alias("rows"), (F.sum("word_chars") / F.sum("n_words")).alias("mean_length")
@@ -156,8 +178,9 @@ def vectors(stats: DataFrame) -> DataFrame:
     typical = F.lit(PRIOR_WORDS)
     return passed.alias("r").join(sums.alias("s"), F.expr("r.lang <=> s.lang AND r.source <=> s.source")).select(
         "r.*",
-        F.when(F.col("rows") < LEAST_GROUP, F.lit("*")).otherwise(F.col("r.lang")).alias("g_lang"),
-        F.when(F.col("rows") < LEAST_GROUP, F.lit("*")).otherwise(F.col("r.source")).alias("g_source"),
+        F.lit(False).alias("g_all"),
+        F.col("r.lang").alias("g_lang"),
+        F.col("r.source").alias("g_source"),
         ((F.col("word_chars") + typical * F.col("mean_length")) / (F.col("n_words") + typical)).alias("f0"),
         F.log1p(F.col("n_symbols") / (F.col("n_words") + typical)).alias("f1"),
         (F.col("n_dup_lines") / (F.col("n_lines") + 5)).alias("f2"),
@@ -165,34 +188,46 @@ def vectors(stats: DataFrame) -> DataFrame:
     )
 
 
+def _quantile(value: str, share: float) -> str:
+    """The quantile of a value on the grid, by exact counts of the cells, of which there are few."""
+    return f"percentile(floor({value} * {GRID}), {share}D) / {GRID}"
+
+
 def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
     """A stored table of centre (c) and inverse covariance (q) of each group of ``rows``.
 
     Groups by null language or source are groups of their own.
     """
-    spark = rows.sparkSession
     p = len(FEATURES)
-    keys = ["g_lang", "g_source"]
-    # All rows also count to the group '*', for groups that have too few of their own.
-    every = rows.select(*keys, *FEATURES).withColumn("each", F.explode(F.array(F.lit(True), F.lit(False))))
-    every = every.where("each OR NOT (g_lang <=> '*' AND g_source <=> '*')").select(
-        *[F.when(F.col("each"), F.col(k)).otherwise(F.lit("*")).alias(k) for k in keys], *FEATURES
+    # All rows also count to one group of all.
+    every = rows.select(*KEYS, *FEATURES).withColumn("all", F.explode(F.array(F.lit(True), F.lit(False))))
+    every = every.select(
+        F.col("all").alias("g_all"), *[F.when(~F.col("all"), F.col(k)).alias(k) for k in KEYS[1:]], *FEATURES
     )
-    medians = [F.expr(f"approx_percentile(f{i}, 0.5, 1000)").alias(f"c{i}") for i in range(p)]
-    start = every.groupBy(*keys).agg(*medians)
+    medians = [F.expr(f"{_quantile(f'f{i}', 0.5)} AS c{i}") for i in range(p)]
+    start = every.groupBy(*KEYS).agg(*medians)
     same = [F.lit((1.0 / FLOORS[i]) if i == j else 0.0).alias(f"q{i}{j}") for i in range(p) for j in range(i, p)]
     estimates = stored(start.select("*", *same), "mcd_start")
     for step in range(steps):
-        near = _join(every, estimates).withColumn("d", _distance())
-        bounds = stored(
-            near.groupBy(*keys).agg(F.expr(f"approx_percentile(d, {share}D, 1000)").alias("bound")), "mcd_bound"
-        )
-        core = _join(near, bounds).where("d <= bound")
+        near = _join(every, estimates).withColumn("d", F.log1p(F.greatest(_distance(), F.lit(0.0))))
+        bounds = near.groupBy(*KEYS).agg(F.expr(f"{_quantile('d', share)} + 1D / {GRID} AS bound"), F.count("*").alias("rows"))
+        core = _join(near, stored(bounds, "mcd_bound")).where("d <= bound")
         about = [F.expr(f"f{i} - c{i}") for i in range(p)]
         sums = [F.sum(about[i]).alias(f"s{i}") for i in range(p)] + [F.first(f"c{i}").alias(f"c{i}") for i in range(p)]
         sums += [F.sum(about[i] * about[j]).alias(f"p{i}{j}") for i in range(p) for j in range(i, p)]
-        moments = core.groupBy(*keys).agg(F.count("*").alias("n"), *sums)
-        estimates = stored(moments.mapInPandas(lambda frames: (_estimates(f, share) for f in frames), estimates.schema), "mcd_step")
+        moments = core.groupBy(*KEYS).agg(F.count("*").alias("n"), F.first("rows").alias("rows"), *sums)
+        if step == steps - 1:
+            moments = stored(moments, "mcd_moments")
+            whole = moments.where("g_all").first()
+            if whole is None:
+                return estimates
+            drawn = whole.asDict()
+            moments = moments.where("NOT g_all")
+            last = moments.mapInPandas(lambda frames: (_drawn(f, drawn, share) for f in frames if len(f)), estimates.schema)
+            return stored(last, "mcd_last")
+        estimates = stored(
+            moments.mapInPandas(lambda frames: (_estimates(f, share) for f in frames if len(f)), estimates.schema), "mcd_step"
+        )
     return estimates
 
 

@@ -68,7 +68,7 @@ def op9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The digest is of the words, one blank between them.
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     out = spans.dedup(documents(spark, sf_dir))
-    return out.select("doc_id", "n_sentences", "n_removed", F.md5(words.cast("binary")).alias("kept_md5"))
+    return out.select("doc_id", "n_units", "n_removed", F.md5(words.cast("binary")).alias("kept_md5"))
 
 
 def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:

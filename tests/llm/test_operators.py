@@ -309,13 +309,14 @@ def test_mixing(docs, empty, given):
 
 
 def brute_spans(rows):
-    def sentences(text):
+    def units(text):
         out = []
         for line in re.split("\n", text or ""):
             held = []
             for w in WORDS.findall(line):
                 held.append(w)
-                if w[-1] in ".!?":
+                last = ord(w[-1]) if ord(w[-1]) < 128 else 0
+                if w[-1] in ".!?,;:" or (len(w.encode()) + last) % spans.MARKED == 0:
                     out.append(held)
                     held = []
             if held:
@@ -323,19 +324,70 @@ def brute_spans(rows):
         return out
 
     distinct = sorted({(i, t or "") for i, t, *_ in rows})
-    split = {x: sentences(x[1]) for x in distinct}
+    split = {x: units(x[1]) for x in distinct}
     seen, gone = set(), defaultdict(set)
     for x in distinct:
         s = split[x]
-        for j in range(len(s) - 1):
-            run = (tuple(s[j]), tuple(s[j + 1]))
-            if len(s[j]) + len(s[j + 1]) >= spans.LEAST_WORDS:
+        for j in range(len(s)):
+            end, n = j, 0
+            while end < len(s) and n < spans.LEAST_WORDS:
+                n += len(s[end])
+                end += 1
+            if n >= spans.LEAST_WORDS:
+                run = tuple(map(tuple, s[j:end]))
                 if run in seen:
-                    gone[x] |= {j, j + 1}
+                    gone[x] |= set(range(j, end))
                 seen.add(run)
     return {x: [" ".join(w) for j, w in enumerate(split[x]) if j not in gone[x]] for x in distinct}, {x: len(gone[x]) for x in distinct}
 
 
+def repeats(texts, n=50):
+    """Texts that hold a window of n words which an earlier text holds, too."""
+    seen, out = set(), set()
+    for i, text in enumerate(texts):
+        own = words(text)
+        mine = {tuple(own[j : j + n]) for j in range(len(own) - n + 1)}
+        if mine & seen:
+            out.add(i)
+        seen |= mine
+    return out
+
+
+def test_spans_wherever_they_stand(spark, empty):
+    """Passages of over 50 words in mid-sentence, as one sentence, in sentences of a word or two."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 11)))
+    prose = lambda n, stop: " ".join(word() + ("." if stop and i % stop == stop - 1 else "") for i in range(n))
+    texts = []
+    for g in range(40):
+        passage = prose([70, 60, 55][g % 3], [0, 30, 2][g % 3])
+        for _ in range(3):
+            texts.append(f"{prose(37, 9)} {word()} {passage} {word()} {prose(41, 11)}")
+    clean = [prose(150, 9) for _ in range(40)]
+    rows = list(enumerate(texts + clean))
+    out = {r.doc_id: r for r in spans.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert len(repeats(texts)) == 80
+    left = repeats([out[i].text for i in range(len(texts))])
+    assert len(left) <= 4
+    assert all(out[len(texts) + i].text == t for i, t in enumerate(clean))
+    assert all(out[3 * g].text == texts[3 * g] for g in range(40))
+
+
+def test_spans_sql(spark, docs):
+    import duckdb
+    from orefold.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("no test tables")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    found = queries.op9_spans(spark, sf_dir)
+    expected = con.sql(spans.ORACLE)
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert sorted(tuple(r[c] for c in expected.columns) for r in found.collect()) == sorted(expected.fetchall())
+
+
 def test_spans(docs, empty, given):
     kept, gone = brute_spans(given)
     found = spans.dedup(docs).collect()

@@ -1,17 +1,19 @@
 """Licence scan: a trained paragraph classifier.
 
-A paragraph is a line with words. Its features are word pairs and triples of the
-templates that ordinary lines lack and training leaves a weight. A multinomial logistic regression with an
-L1 penalty (so that few weights remain) tells licence families from ordinary text, which
-is a class of its own, ``unknown``: its threshold is set on held-out ordinary lines of the
-corpus, so that at most ``FALSE_ALARMS`` of them pass. What passes is compared with the
-family's template: a share of ``CONFIRM`` of the shorter one's pairs must be in the other.
-
-A notice may also stand inside a longer line or run over several lines. So texts are looked
-through as runs of words as well, whatever their lines: where a share of ``CONFIRM`` of the
-pairs of one sentence of a template come at about its places, the words from the first to the
-last of them are a passage, with the family's margin over ``unknown`` from the passage's own
-grams. Of passages of several families on the same words the one nearest its template stays.
+A paragraph is a line with words, or a passage of a text whatever its lines. Its features are the
+word pairs and triples of the templates. A multinomial logistic regression with an L1 penalty (so
+that few weights remain) tells licence families, near relatives and versions among them, from
+ordinary text, which is a class of its own, ``unknown``. The margin that a family needs over
+``unknown`` is taken from all lines of the corpus: at most ``FALSE_ALARMS`` of those that are like no
+template exceed it. What passes is compared with the family's template, sentence by sentence: a
+share of ``CONFIRM`` of the pairs of one sentence must be there, and all pairs that decide
+(marked in the templates), such as a version or the word that tells a licence from its relative.
+
+A notice may stand inside a longer line or run over several lines. So texts are looked
+through as runs of words as well, whatever their lines: where a template's sentence comes at about
+its places, the words from the first to the last of them are a passage, with the family's margin
+over ``unknown`` from the passage's own grams. Of passages of several families on the same words
+the one nearest its template stays. Texts without any word that decides need no look.
 
 Everything runs as DataFrame operations, training by Spark's own library.
 """
@@ -19,8 +21,7 @@ Everything runs as DataFrame operations, training by Spark's own library.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector
@@ -28,28 +29,54 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .stored import stored
 
-#: Public notices, by family.
+#: Public notices, by family and sentence. A word with a star decides together with the word
+#: before it: without that pair the sentence does not count. Sentences that relatives share have none.
 TEMPLATES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at the address below",
-    "mit": "Released under the MIT License. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3. This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0. This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
-    "cc-by-4.0": "Licensed under CC BY 4.0. This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met. Licensed under the BSD 3-Clause License",
-    "all-rights-reserved": "Copyright the authors. All rights reserved. No part of this publication may be reproduced without prior permission",
+    "apache-2.0": [
+        "Licensed under the Apache *License, Version *2.0 (the License)",
+        "you may not use this file except in compliance with the License",
+        "You may obtain a copy of the License at the address below",
+        "SPDX-License-Identifier: *Apache-2.0",
+    ],
+    "apache-1.1": ["Licensed under the Apache Software *License, Version *1.1", "Licensed under the Apache *License, Version *1.1", "SPDX-License-Identifier: *Apache-1.1"],
+    "mit": [
+        "Released under the MIT *License",
+        "Licensed under the MIT *License",
+        "Permission is hereby *granted, free of *charge, to any *person obtaining a copy of this software and associated documentation files",
+        "to deal in the Software without restriction",
+        "SPDX-License-Identifier: *MIT",
+    ],
+    "gpl-2.0": ["This work is licensed under the GNU *General Public *License, version *2", "under the terms of the GNU *General Public *License version *2 as published by the Free Software Foundation", "SPDX-License-Identifier: *GPL-2.0-only"],
+    "gpl-3.0": [
+        "This work is licensed under the GNU *General Public *License, version *3",
+        "under the terms of the GNU *General Public *License version *3 as published by the Free Software Foundation",
+        "This program is free software: you can redistribute it and/or modify it",
+        "SPDX-License-Identifier: *GPL-3.0-only",
+    ],
+    "lgpl-2.1": ["This work is licensed under the GNU *Lesser *General Public *License, version *2.1", "under the terms of the GNU *Lesser *General Public *License version *2.1 as published by the Free Software Foundation", "SPDX-License-Identifier: *LGPL-2.1-only"],
+    "lgpl-3.0": ["This work is licensed under the GNU *Lesser *General Public *License, version *3", "under the terms of the GNU *Lesser *General Public *License version *3 as published by the Free Software Foundation", "SPDX-License-Identifier: *LGPL-3.0-only"],
+    "agpl-3.0": ["This work is licensed under the GNU *Affero *General Public *License, version *3", "under the terms of the GNU *Affero *General Public *License version *3 as published by the Free Software Foundation", "SPDX-License-Identifier: *AGPL-3.0-only"],
+    "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla *Public *License, v. *2.0", "Licensed under the Mozilla *Public *License, Version *2.0", "SPDX-License-Identifier: *MPL-2.0"],
+    "cc-by-nc-4.0": ["Licensed under CC *BY-NC *4.0", "This work is licensed under a Creative Commons *Attribution-NonCommercial *4.0 International License", "SPDX-License-Identifier: *CC-BY-NC-4.0"],
+    "cc-by-sa-4.0": ["Licensed under CC *BY-SA *4.0", "This work is licensed under a Creative Commons *Attribution-ShareAlike *4.0 International License", "SPDX-License-Identifier: *CC-BY-SA-4.0"],
+    "cc-by-4.0": ["Licensed under CC *BY *4.0", "This work is licensed under a Creative Commons *Attribution *4.0 International License", "SPDX-License-Identifier: *CC-BY-4.0"],
+    "bsd-3-clause": ["Licensed under the BSD *3-Clause License", "SPDX-License-Identifier: *BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+    "bsd-2-clause": ["Licensed under the BSD *2-Clause License", "SPDX-License-Identifier: *BSD-2-Clause"],
+    "all-rights-reserved": ["Copyright the authors", "All rights *reserved", "No part of this publication may be reproduced without prior permission"],
 }
 UNKNOWN = "unknown"
-#: Ordinary lines, from so many texts chosen by hash, that training sees; as many more set the threshold.
+#: Ordinary lines, chosen by hash from all texts, that training sees.
 ORDINARY_LINES = 2_000
-ORDINARY_DOCS = 500
+#: Of the lines that are like no template, the share that may exceed the margin.
 FALSE_ALARMS = 0.0005
+#: A line with less than this share of every sentence's pairs is like no template.
+UNLIKE = 0.3
 #: Training cuts templates to runs of these numbers of words.
 CUTS = (3, 5, 7, 10, 16)
 CONFIRM = 0.6
 PENALTY = 0.0001
 #: Sentences of a template, to compare passages with: those of so many words at least.
-ENDS = r"[.;](?:\s+|$)|\s\("
-LEAST_WORDS = 3
+LEAST_WORDS = 2
 #: Passages and grams of a text meet by stretches of so many words.
 STRETCH = 64
 
@@ -69,15 +96,25 @@ def grams(given: Column) -> Column:
     return F.array_distinct(F.concat(at(2), at(3)))
 
 
+@dataclass(frozen=True)
+class Sentence:
+    """One sentence of a family's template: its pairs, and which of them decide."""
+
+    family: str
+    number: int
+    pairs: list[str]
+    needs: list[int]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weights by gram and family, intercepts, the least margin over ``unknown``, template pairs, a rare word of each gram."""
+    """Weights by gram and family, intercepts, the margin needed over ``unknown``, template sentences, words that texts must have one of."""
 
     weights: dict[str, list[float]]
     intercepts: list[float]
     families: list[str]
     threshold: float
-    pairs: dict[str, list[str]]
+    sentences: list[Sentence]
     keys: list[str]
 
 
@@ -96,8 +133,27 @@ def lines(docs: DataFrame) -> DataFrame:
     return split.where(F.col("line").rlike(r"[\p{L}\p{N}]"))
 
 
+def _sentence_words(spark: SparkSession) -> list[tuple[str, int, list[str], list[str]]]:
+    """(family, number, words, words with their stars) of the templates' sentences."""
+    rows = [(f, i, s.replace("*", ""), s.replace("*", "x0star")) for f, given in TEMPLATES.items() for i, s in enumerate(given)]
+    out = spark.createDataFrame(rows, "family string, number int, s string, starred string")
+    return [(r.family, r.number, r.w, r.m) for r in out.select("family", "number", words(F.col("s")).alias("w"), words(F.col("starred")).alias("m")).collect()]
+
+
+def sentences(spark: SparkSession) -> list[Sentence]:
+    """Those that decide something; the others are for training alone."""
+    out = []
+    for family, number, w, marked in _sentence_words(spark):
+        needs = [i - 1 for i, m in enumerate(marked) if m.startswith("x0star")]
+        if needs and len(w) >= LEAST_WORDS:
+            out.append(Sentence(family, number, [" ".join(p) for p in zip(w, w[1:], strict=False)], needs))
+    return out
+
+
 def _templates(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(list(TEMPLATES.items()), "family string, text string").select("family", words(F.col("text")).alias("w"))
+    given = _sentence_words(spark)
+    whole = [(f, [x for g, _, w, _ in given if g == f for x in w]) for f in TEMPLATES]
+    rows = spark.createDataFrame([*whole, *((f, w) for f, _, w, _ in given)], "family string, w array<string>")
     cut = [
         rows.select("family", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (n - 1)))).alias("i"), "w").select(
             "family", F.slice("w", F.col("i"), n).alias("w")
@@ -110,66 +166,56 @@ def _templates(spark: SparkSession) -> DataFrame:
     return out
 
 
+def _keys(docs: DataFrame, known: list[Sentence]) -> list[str]:
+    """The rarest word, over all texts, of the pairs that decide in each sentence. A text that has none of these words
+    has no sentence that counts."""
+    parts = {(s.family, s.number): sorted({x for i in s.needs for x in re.split(r"[ .\-]+", s.pairs[i])}) for s in known}
+    every = F.array(*[F.lit(x) for x in sorted({x for p in parts.values() for x in p})])
+    found = docs.select(F.explode(F.array_intersect(F.split(F.lower(F.col("text").cast("string")), r"[^\p{L}\p{N}]+"), every)).alias("word"))
+    seen = {r.word: r["count"] for r in found.groupBy("word").count().collect()}  # some dozens
+    return sorted({min(p, key=lambda x: (seen.get(x, 0), -len(x), x)) for p in parts.values()})
+
+
 def fit(docs: DataFrame) -> Model:
     """Train on cuts of the templates and on ordinary lines: those without a word such as licensed or rights.
 
-    The lines are chosen by hashes of texts and lines, ``ORDINARY_LINES`` to train on and as many
-    others for the threshold; a corpus without lines trains on the templates alone.
+    ``ORDINARY_LINES`` of the corpus are chosen by hash to train on; a corpus without lines
+    trains on the templates alone. The margin is taken from all lines.
     """
     spark = docs.sparkSession
     families = [UNKNOWN, *sorted(TEMPLATES)]
     samples = _templates(spark).select("family", grams(F.col("w")).alias("grams"))
     known = sorted({g for r in samples.select("grams").collect() for g in r.grams})  # some hundreds
-    starts = sorted({g.split(" ")[0] for g in known} & {"licensed", "license", "copyright", "rights", "permission", "redistribution"})
-    picked = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("h")).orderBy("h").limit(ORDINARY_DOCS)
-    ordinary = lines(picked.select("doc_id", "text")).select("line", F.xxhash64("line").alias("h"), words(F.col("line")).alias("w"))
-    ordinary = ordinary.where(~F.arrays_overlap("w", F.array(*[F.lit(x) for x in starts])))
-    # Words are worked out before the sort, and so once a line.
-    chosen = ordinary.orderBy("h", "line").limit(2 * ORDINARY_LINES).select("w", grams(F.col("w")).alias("grams"))
+    starts = ["licensed", "license", "copyright", "rights", "permission", "redistribution"]
+    bare = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    # By the hash alone, so that only what is chosen is looked at.
+    chosen = lines(bare).select("line", F.xxhash64("line").alias("h")).orderBy("h", "line").limit(ORDINARY_LINES)
+    ordinary = chosen.select(words(F.col("line")).alias("w")).where(~F.arrays_overlap("w", F.array(*[F.lit(x) for x in starts])))
     held = F.array(*[F.lit(g) for g in known])
-    parts = sorted({x for g in known for x in re.split(r"[ .\-]+", g)})
-    common = F.array_intersect(F.split(F.array_join("w", " "), r"[ .\-]+"), F.array(*[F.lit(x) for x in parts]))
-    chosen = chosen.select(F.array_intersect("grams", held).alias("grams"), common.alias("common")).collect()
-    seen = Counter(x for r in chosen for x in r.common)
-    # What ordinary lines say as well is no feature.
-    told = {g for r in chosen[::2] for g in r.grams}
-    known = [g for g in known if g not in told]
-    rows = [(0.0, []) for _ in chosen[::2]]
-    rows += [(float(families.index(r.family)), [g for g in r.grams if g not in told]) for r in samples.collect()]
+    told = ordinary.select(F.array_intersect(grams(F.col("w")), held).alias("grams")).collect()
+    rows = [(0.0, r.grams) for r in told] + [(0.0, [])]
+    rows += [(float(families.index(r.family)), r.grams) for r in samples.collect()]
     place = {g: i for i, g in enumerate(known)}
     vector = lambda gs: SparseVector(len(known), {place[g]: 1.0 for g in gs})
     data = spark.createDataFrame([(label, vector(gs)) for label, gs in rows], ["label", "features"]).coalesce(1)
-    model = LogisticRegression(regParam=PENALTY, elasticNetParam=1.0, family="multinomial", maxIter=30, standardization=False).fit(data)
-    matrix = model.coefficientMatrix.toArray()
-    intercepts = model.interceptVector.toArray().tolist()
-    matrix, intercepts = matrix[: len(families)], intercepts[: len(families)]
+    model = LogisticRegression(regParam=PENALTY, elasticNetParam=1.0, family="multinomial", maxIter=40, standardization=False).fit(data)
+    matrix = model.coefficientMatrix.toArray()[: len(families)]
+    intercepts = model.interceptVector.toArray().tolist()[: len(families)]
     weights = {g: matrix[:, i].tolist() for g, i in place.items() if abs(matrix[:, i]).max() > 1e-6}
-    margins = []
-    for r in chosen[1::2]:
-        z = [b + sum(weights[g][c] for g in r.grams if g in weights) for c, b in enumerate(intercepts)]
-        margins.append(max(z[1:]) - z[0])
-    margins.sort(reverse=True)
-    allowed = margins[int(FALSE_ALARMS * len(margins))] if margins else 0.0
-    pairs = {f: sorted({" ".join(p) for p in zip(w, w[1:], strict=False)}) for f, w in _template_words(spark)}
-    # A text with a weighted gram has the gram's rarest word, so texts without any such word need no look.
-    keys = sorted({min(re.split(r"[ .\-]+", g), key=lambda x: (seen[x], -len(x), x)) for g in weights})
-    return Model(weights, intercepts, families, max(0.0, allowed), pairs, keys)
-
-
-def _template_words(spark: SparkSession) -> list[tuple[str, list[str]]]:
-    rows = spark.createDataFrame(list(TEMPLATES.items()), "family string, text string")
-    return [(r.family, r.w) for r in rows.select("family", words(F.col("text")).alias("w")).collect()]
-
-
-def _sentences(spark: SparkSession) -> list[tuple[str, int, int, int, str]]:
-    """(family, sentence, its number of pairs, place, pair) of all pairs of the templates' sentences."""
-    rows = spark.createDataFrame(list(TEMPLATES.items()), "family string, text string")
-    rows = rows.select("family", F.posexplode(F.split("text", ENDS)).alias("sentence", "s")).select("family", "sentence", words(F.col("s")).alias("w"))
-    return [
-        (r.family, r.sentence, len(r.w) - 1, i, " ".join(p))
-        for r in rows.where(F.size("w") >= LEAST_WORDS).collect()
-        for i, p in enumerate(zip(r.w, r.w[1:], strict=False))
-    ]
+    given = sentences(spark)
+    draft = Model(weights, intercepts, families, float("-inf"), given, _keys(bare, given))
+    return replace(draft, threshold=_margin(bare, draft))
+
+
+def _margin(docs: DataFrame, draft: Model) -> float:
+    """The margin that ``FALSE_ALARMS`` of the lines like no template exceed. Lines of texts without a key word
+    can't be confirmed and count as not exceeding it."""
+    total = docs.agg(F.sum(F.regexp_count(F.col("text"), F.lit(r"(?m)^.*[\p{L}\p{N}].*$"))).alias("n")).first().n or 0
+    unlike = _whole_lines(_texts(docs, draft), draft).where(F.col("overlap") < UNLIKE)
+    tail = unlike.orderBy(F.desc("margin")).limit(int(FALSE_ALARMS * total) + 1).agg(F.min("margin").alias("least"), F.count("*").alias("n")).first()
+    # What a line without any weighted gram has.
+    none = max(draft.intercepts[1:]) - draft.intercepts[0]
+    return none if tail.n <= int(FALSE_ALARMS * total) else max(none, tail.least)
 
 
 def _texts(docs: DataFrame, model: Model) -> DataFrame:
@@ -194,11 +240,17 @@ def _whole_lines(texts: DataFrame, model: Model) -> DataFrame:
     best = F.greatest(*[F.struct(x.alias("z"), F.lit(f).alias("family")) for x, f in zip(z[1:], model.families[1:], strict=True)])
     judged = scored.select("doc_id", "row", "place", "words", "copies", (best["z"] - z[0]).alias("margin"), best["family"].alias("family"))
     judged = judged.where(F.col("margin") > model.threshold)
-    templates = spark.createDataFrame(list(model.pairs.items()), "family string, pairs array<string>")
+    given = [(t.family, t.pairs, [t.pairs[i] for i in t.needs]) for t in model.sentences]
+    templates = spark.createDataFrame(given, "family string, pairs array<string>, needs array<string>")
     pair = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.array_join(F.slice("words", i, 2), " "))
     compared = judged.where(F.size("words") > 1).join(F.broadcast(templates), "family").withColumn("mine", F.array_distinct(pair))
     overlap = F.size(F.array_intersect("mine", "pairs")) / F.least(F.size("mine"), F.size("pairs"))
-    return compared.select("doc_id", "row", "place", "family", "margin", overlap.alias("overlap"), (overlap >= CONFIRM).alias("confirmed"), "copies")
+    decided = (overlap >= CONFIRM) & (F.size(F.array_except("needs", "mine")) == 0)
+    compared = compared.select("doc_id", "row", "place", "family", "margin", overlap.alias("overlap"), decided.alias("confirmed"), "copies")
+    # The sentence that says most for the family.
+    nearest = F.max(F.struct("confirmed", "overlap")).alias("best")
+    compared = compared.groupBy("doc_id", "row", "place", "family", "margin", "copies").agg(nearest)
+    return compared.select("doc_id", "row", "place", "family", "margin", "best.overlap", "best.confirmed", "copies")
 
 
 def _hits(texts: DataFrame, grams_: DataFrame) -> DataFrame:
@@ -208,6 +260,7 @@ def _hits(texts: DataFrame, grams_: DataFrame) -> DataFrame:
         lambda line, place: F.transform(F.filter(words(line), lambda w: w != ""), lambda w: F.struct(place.alias("place"), w.alias("w"))),
     )
     named = texts.select("doc_id", "row", F.flatten(split).alias("all")).where(F.size("all") > 1)
+    pairs = sorted({" ".join(r.gram.split(" ")[:2]) for r in grams_.collect()})  # of some hundred grams
     at = lambda i: F.element_at("all", i)
     each = F.transform(
         F.sequence(F.lit(1), F.size("all") - 1),
@@ -219,6 +272,8 @@ def _hits(texts: DataFrame, grams_: DataFrame) -> DataFrame:
             F.when(i + 2 <= F.size("all"), at(F.least(i + 2, F.size("all")))["w"]).alias("third"),
         ),
     )
+    # A triple begins with a known pair or ends a passage's; other places are left out before rows are made of them.
+    each = F.filter(each, lambda e: e["two"].isin(pairs))
     rows = named.select("doc_id", "row", F.explode(each).alias("e")).select("doc_id", "row", "e.i", "e.place", "e.till", "e.two", "e.third")
     rows = rows.select("doc_id", "row", "i", "place", "till", F.explode(F.array("two", F.concat("two", F.lit(" "), "third"))).alias("gram"))
     found = rows.join(F.broadcast(grams_), "gram")
@@ -228,7 +283,8 @@ def _hits(texts: DataFrame, grams_: DataFrame) -> DataFrame:
 def _passages(texts: DataFrame, model: Model) -> DataFrame:
     """(doc_id, row, place, till, family, margin, overlap, copies) of sentences of templates, wherever they stand, from line place to line till."""
     spark = texts.sparkSession
-    pairs = spark.createDataFrame(_sentences(spark), "family string, sentence int, pairs int, at int, gram string")
+    given = [(t.family, t.number, len(t.pairs), i, g, t.needs) for t in model.sentences for i, g in enumerate(t.pairs)]
+    pairs = spark.createDataFrame(given, "family string, sentence int, pairs int, at int, gram string, needs array<int>")
     weights = spark.createDataFrame(list(model.weights.items()), "gram string, w array<double>")
     hits = _hits(texts, pairs.select("gram").union(weights.select("gram")).distinct())
     # In a sentence that stands in the text, word and place differ by the same number, give or take some words
@@ -236,14 +292,15 @@ def _passages(texts: DataFrame, model: Model) -> DataFrame:
     apart, length = F.col("i") - F.col("at"), F.col("pairs") + 1
     steps = F.array(2 * F.floor(apart / length), 2 * F.floor((apart + length / 2) / length) + 1)
     found = hits.join(F.broadcast(pairs), "gram").withColumn("step", F.explode(steps))
-    found = found.groupBy("doc_id", "row", "family", "sentence", "pairs", "step").agg(
-        F.count_distinct("at").alias("shared"),
+    found = found.groupBy("doc_id", "row", "family", "sentence", "pairs", "needs", "step").agg(
+        F.collect_set("at").alias("shared"),
         F.array_sort(F.collect_set("i")).alias("held"),
         F.min("place").alias("place"),
         F.max("till").alias("till"),
         F.max("copies").alias("copies"),
     )
-    found = found.withColumn("overlap", F.col("shared") / F.col("pairs")).where(F.col("overlap") >= CONFIRM)
+    decided = F.size(F.array_except("needs", "shared")) == 0
+    found = found.withColumn("overlap", F.size("shared") / F.col("pairs")).where((F.col("overlap") >= CONFIRM) & decided)
     found = found.withColumn("lo", F.element_at("held", 1)).withColumn("hi", F.element_at("held", -1))
     found = found.select("doc_id", "row", "family", "held", "lo", "hi", "place", "till", "copies", "overlap").distinct()
     stretch = lambda lo, hi: F.explode(F.sequence(F.floor(lo / STRETCH), F.floor(hi / STRETCH)))
@@ -278,7 +335,8 @@ def _passages(texts: DataFrame, model: Model) -> DataFrame:
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, place, family, margin, overlap, confirmed) of every line that has a weighted gram and isn't unknown.
+    """(doc_id, place, family, margin, overlap, confirmed) of every line that has a weighted gram and isn't unknown,
+    of the texts that have a word that decides.
 
     A line without any weighted gram has the score of its intercepts, which is unknown's.
     Null and empty texts have no lines; equal rows come out as often as they are there.

@@ -36,7 +36,7 @@ def _row_hash(df: DataFrame) -> Column:
 
 def estimated_bytes(df: DataFrame) -> int:
     """What Catalyst expects ``df`` to hold, which for stored tables follows from their files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _placed(df: DataFrame) -> DataFrame:

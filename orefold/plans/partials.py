@@ -31,9 +31,9 @@ class CourseSums:
     def stored(self) -> VersionedTable:
         return VersionedTable(self.source.spark, f"{self.source.name}_sums")
 
-    def missing(self) -> DataFrame:
-        """Rows of the batches that are not in the stored sums yet."""
-        known = self.stored.latest()
+    def missing(self, known: int | None = None) -> DataFrame:
+        """Rows of the batches that are not in the stored sums, which go up to version ``known``."""
+        known = self.stored.latest() if known is None else known
         return self.source.read(after=-1 if known is None else known)
 
     def refresh(self) -> DataFrame:
@@ -48,10 +48,11 @@ class CourseSums:
                 " the table was made anew; drop its sums as well"
             )
         if known != latest:
-            new = self.build(self.missing())
+            new = self.build(self.missing(known))
             if known is not None:
                 new = self.add(self.stored.read(), new)
             self.stored.write(new, version=latest)
-            # The version before stays for who is reading it.
-            self.stored.expire(keep_last=2)
+            if known is not None:
+                # The version before stays for who is reading it.
+                self.stored.expire(keep_last=2)
         return self.stored.read()

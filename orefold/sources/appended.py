@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamReader
 
 from ..functions.numbers import quoted
 from ..operators.quality import Rule, apply_rules, report_rows
-from .versions import VERSION, create_partitioned, show, store_partition
+from .versions import VERSION, create_table, show, store_partition
 
 _HISTORY = (
     "version int, committed_at timestamp, operation string, num_rows bigint, batch_id bigint, "
@@ -39,12 +39,15 @@ class AppendedTable:
 
     def create(self, schema: T.StructType, comment: str | None = None) -> None:
         """An empty table of this schema, unless it is there; the comment is set in any case."""
-        if not self.spark.catalog.tableExists(self.history_table):
-            if not self.spark.catalog.tableExists(self.table):
-                create_partitioned(self.spark, schema, self.table)
-            empty = self.spark.createDataFrame([], _HISTORY)
-            empty.write.format("parquet").saveAsTable(self.history_table)
-        self._show(comment)
+        exists = self.spark.catalog.tableExists
+        if not exists(self.table):
+            create_table(self.spark, schema, self.table, by_version=True)
+        if not exists(self.history_table):
+            create_table(self.spark, T.StructType.fromDDL(_HISTORY), self.history_table)
+            self._show(-1, comment)
+        elif comment:
+            latest = self.latest()
+            self._show(-1 if latest is None else latest, comment)
 
     def append(
         self,
@@ -60,11 +63,13 @@ class AppendedTable:
         ``run`` names the checkpoint that numbers the batches. Returns a line
         (rule, action, passed, failed) per rule.
         """
-        done = self.history().filter((F.col("batch_id") == batch_id) & (F.col("run") == run))
-        if not done.isEmpty():
-            return [tuple(r) for r in done.first()["rules"]]
-        latest = self.latest()
-        version = 0 if latest is None else latest + 1
+        mine = (F.col("batch_id") == batch_id) & (F.col("run") == run)
+        known = self.history().agg(
+            F.max("version").alias("latest"), F.max_by("rules", F.when(mine, F.col("version"))).alias("rules")
+        ).first()
+        if known.rules is not None:
+            return [tuple(r) for r in known.rules]
+        version = 0 if known.latest is None else known.latest + 1
         counts, stored = Observation(), Observation()
         kept = apply_rules(batch, rules, counts if rules else None)
         kept = kept.observe(stored, F.count(F.lit(1)).alias("rows"))
@@ -76,17 +81,13 @@ class AppendedTable:
         row = row.withColumn("committed_at", F.current_timestamp())
         # The one step that makes the batch count.
         row.coalesce(1).write.format("parquet").mode("append").saveAsTable(self.history_table)
-        self._show(comment)
+        self._show(version, comment)
         return lines
 
-    def _show(self, comment: str | None) -> None:
-        latest = self.latest()
-        columns = self.spark.table(self.table).columns[:-1]
-        names = ", ".join(quoted(c) for c in columns)
-        until = -1 if latest is None else latest
-        show(
-            self.spark, self.name, f"SELECT {names} FROM {self.table} WHERE {VERSION} <= {until}", comment
-        )
+    def _show(self, until: int, comment: str | None) -> None:
+        names = ", ".join(quoted(c) for c in self.spark.table(self.table).columns[:-1])
+        rows = f"SELECT {names} FROM {self.table} WHERE {VERSION} <= {until}"
+        show(self.spark, self.name, rows, comment)
 
     # -- reading -------------------------------------------------------------
 

@@ -1,7 +1,7 @@
 """Columns of stored tables, and how they grow when landing files bring new ones.
 
-Each table has a list of schema versions: version 0 is what it was created with, and every
-widening adds one. Rows stored before have NULL in columns that came later.
+Schema version 0 of a table is what it was created with, and every widening adds one. Rows
+stored before have NULL in columns that came later.
 """
 
 from __future__ import annotations
@@ -15,23 +15,33 @@ def _list(table: str) -> str:
     return f"{table}_columns_history"
 
 
-def schema_versions(spark: SparkSession, table: str) -> DataFrame:
-    """(schema_version, columns, added, since) of a stored table."""
-    return spark.table(_list(table))
+def schema_versions(spark: SparkSession, table: str, partition: str) -> DataFrame:
+    """(schema_version, columns, added, since) of a stored table; ``since`` of version 0 is NULL."""
+    if spark.catalog.tableExists(_list(table)):
+        return spark.table(_list(table))
+    columns = [c for c in spark.table(table).columns if c != partition]
+    return _line(spark, 0, columns, columns, F.lit(None).cast("timestamp"))
 
 
-def record_columns(spark: SparkSession, table: str, columns: list[str], added: list[str]) -> None:
-    known = _list(table)
-    number = 0
-    if spark.catalog.tableExists(known):
-        number = spark.table(known).agg(F.max("schema_version")).first()[0] + 1
-    line = spark.range(1).select(
+def _line(spark: SparkSession, number: int, columns: list[str], added: list[str], since) -> DataFrame:
+    names = lambda given: F.array(*[F.lit(c) for c in given]).cast("array<string>")
+    return spark.range(1).select(
         F.lit(number).alias("schema_version"),
-        F.array(*[F.lit(c) for c in columns]).alias("columns"),
-        F.array(*[F.lit(c) for c in added]).cast("array<string>").alias("added"),
-        F.current_timestamp().alias("since"),
+        names(columns).alias("columns"),
+        names(added).alias("added"),
+        since.alias("since"),
     )
-    line.coalesce(1).write.format("parquet").mode("append").saveAsTable(known)
+
+
+def _record(spark: SparkSession, table: str, partition: str, added: list[str]) -> None:
+    """Add the next schema version: the columns that ``table`` has now, and ``added``."""
+    before = schema_versions(spark, table, partition)
+    number = before.agg(F.max("schema_version")).first()[0] + 1
+    columns = [c for c in spark.table(table).columns if c != partition]
+    line = _line(spark, number, [*columns, *added], added, F.current_timestamp())
+    if number == 1:
+        line = before.unionByName(line)
+    line.coalesce(1).write.format("parquet").mode("append").saveAsTable(_list(table))
 
 
 def fitted(df: DataFrame, table: str, widen: bool, partition: str) -> DataFrame:
@@ -48,9 +58,9 @@ def fitted(df: DataFrame, table: str, widen: bool, partition: str) -> DataFrame:
         given = [c for c in df.columns if c != partition]
         raise ValueError(f"{table} has columns {columns}, not {given}; widen=True lets it grow")
     if new:
+        _record(spark, table, partition, [f.name for f in new])
         added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-        record_columns(spark, table, [*columns, *(f.name for f in new)], [f.name for f in new])
     types = {f.name: f.dataType for f in spark.table(table).schema.fields}
     return df.select(
         *[

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import quoted
 from ..operators.layout import FILE_BYTES, cluster_by
-from .columns import fitted, record_columns
+from .columns import fitted
 from .tables import escaped, stored_bytes
 
 VERSION = "_version"
@@ -83,7 +83,7 @@ def store_partition(
     spark = df.sparkSession
     stamped = df.withColumn(VERSION, F.lit(version))
     if not spark.catalog.tableExists(table):
-        create_partitioned(spark, df.schema, table)
+        create_table(spark, df.schema, table, by_version=True)
     # A failed attempt may have left rows under this number, known to the catalog or not.
     part = f"PARTITION ({VERSION}={version})"
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part}")
@@ -92,11 +92,14 @@ def store_partition(
     fitted(stamped, table, widen, VERSION).write.mode("append").insertInto(table)
 
 
-def create_partitioned(spark: SparkSession, schema: T.StructType, table: str) -> None:
-    # From the schema alone: the rows may be observed, and that works once.
-    empty = spark.createDataFrame([], schema).withColumn(VERSION, F.lit(0))
-    empty.write.format("parquet").partitionBy(VERSION).saveAsTable(table)
-    record_columns(spark, table, schema.names, schema.names)
+def create_table(spark: SparkSession, schema: T.StructType, table: str, by_version: bool = False) -> None:
+    """An empty table, by its definition alone: no job, and rows that are observed stay unread."""
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    columns = spark.createDataFrame([], nullable)._jdf.schema().toDDL()
+    if by_version:
+        spark.sql(f"CREATE TABLE {table} ({columns}, {VERSION} INT) USING parquet PARTITIONED BY ({VERSION})")
+    else:
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
 
 
 class VersionedTable:

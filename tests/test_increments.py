@@ -11,7 +11,7 @@ from orefold.plans.incremental import Incremental
 from orefold.sources import appended
 from orefold.sources.columns import schema_versions
 from orefold.sources.csv_files import read_csv
-from orefold.sources.versions import Retention, versions_of
+from orefold.sources.versions import VERSION, Retention, versions_of
 from orefold.streaming.flows import summarise_rule_metrics
 from rows import sorted_rows
 from test_streaming import HEADERS, put
@@ -148,7 +148,7 @@ def test_batch_with_a_new_column(spark, space, landing):
     assert rows == {"i1": ("Ana", "Desconocido", None), "i2": ("Eva", "PE", None), "i3": ("Beto", "MX", "b@x")}
     versions = versions_of(spark, space.table("silver_instructors"))
     assert versions.read(0).filter("email IS NOT NULL").count() == 0 and versions.read(0).count() == 2
-    known = schema_versions(spark, versions.table).orderBy("schema_version").collect()
+    known = schema_versions(spark, versions.table, VERSION).orderBy("schema_version").collect()
     assert [(r.schema_version, r.added[-1:]) for r in known] == [(0, ["country"]), (1, ["email"])]
     assert layers.gold["gold_revenue_instructor"].count() == 2
     # Back to files without the column.

@@ -72,7 +72,12 @@ def _text_blocks(batches: Iterator[pa.RecordBatch], k: int, ranges: int) -> Iter
             lo = hi
 
 
+def _packed_planes(values: np.ndarray, kind: str) -> bytes:
+    return _planes(values, kind)[0].as_py()
+
+
 def _planes(values: np.ndarray, kind: str) -> pa.Array:
+    # First bytes, second bytes and so on apart: they compress better than mixed.
     size = int(kind[2])
     return packed(values.astype(kind).view(np.uint8).reshape(-1, size).T.tobytes())
 
@@ -85,11 +90,16 @@ def _from_planes(raw: bytes, kind: str) -> np.ndarray:
 def _asked(batches: Iterator[pa.RecordBatch], k: int, ranges: int) -> Iterator[pa.RecordBatch]:
     for name, _, _, keys, place, bounds in _text_blocks(batches, k, ranges):
         held = np.bincount(place, minlength=len(keys))
-        for r in range(ranges):
-            lo, hi = bounds[r : r + 2]
-            if hi > lo:
-                row = [[name], pa.array([r], pa.int32()), _planes(keys[lo:hi], "<u8"), _planes(held[lo:hi], "<u4")]
-                yield pa.record_batch(row, ["block", "range", "keys", "held"])
+        some = np.flatnonzero(np.diff(bounds)).tolist()
+        # One batch a block, a row for each range that it has n-grams of.
+        cut = [slice(bounds[r], bounds[r + 1]) for r in some]
+        columns = [
+            pa.array([name] * len(some)),
+            pa.array(some, pa.int32()),
+            pa.array([_packed_planes(keys[c], "<u8") for c in cut], pa.binary()),
+            pa.array([_packed_planes(held[c], "<u4") for c in cut], pa.binary()),
+        ]
+        yield pa.record_batch(columns, ["block", "range", "keys", "held"])
 
 
 def _counted(table: pa.Table) -> pa.Table:
@@ -106,9 +116,9 @@ def _counted(table: pa.Table) -> pa.Table:
     out = {"block": table.column("block"), "range": table.column("range"), "which": [], "keys": [], "held": []}
     for own, lo, hi in zip(keys, edges[:-1], edges[1:], strict=True):
         which = np.flatnonzero(total[lo:hi] > 1)
-        out["which"].append(_planes(which, "<u4")[0])
-        out["keys"].append(_planes(own[which], "<u8")[0])
-        out["held"].append(_planes(total[lo:hi][which], "<u8")[0])
+        out["which"].append(_packed_planes(which, "<u4"))
+        out["keys"].append(_packed_planes(own[which], "<u8"))
+        out["held"].append(_packed_planes(total[lo:hi][which], "<u8"))
     return pa.table({c: pa.array(v, pa.binary()) if c in ("which", "keys", "held") else v for c, v in out.items()})
 
 

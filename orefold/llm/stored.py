@@ -31,11 +31,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def own_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, whatever else the table holds; a missing one is null."""
-    return df.select(*[F.col(f"`{n}`") if n in df.columns else F.lit(None).alias(n) for n in names])
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -40,8 +40,8 @@ BLOCK_TEXT = 6 << 20
 RANGE_KEYS = 2_000_000
 #: Sets of a list that are all compared with each other.
 SMALL = 8
-#: Parts that a long list is dealt into, so that its rows aren't one task's.
-PARTS = 16
+#: Sets of a long list that one task compares: a longer list is dealt into parts, and who meets all of it goes to each.
+PART_ROWS = 2_000
 SKETCH = [f"p{i}" for i in range(4)]
 
 
@@ -217,10 +217,12 @@ def linked(members: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
     same = F.col("x.node") == F.col("y.node")
     within = small.alias("x").join(small.alias("y"), same & (F.col("x.name") < F.col("y.name")) & may_link("x", "y", percent))
     # Of a long list, the set that has the n-gram earliest; its copies go to all parts of the list.
-    dealt = large.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS)))
-    least = large.groupBy("node").agg(F.min(F.struct("pos", F.xxhash64("name").alias("h"), "name", "n", "alone", *SKETCH)).alias("p"))
-    least = least.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", "n", "pos", "alone", *SKETCH)])
-    copied = least.withColumn("part", F.explode(F.array(*[F.lit(i).cast("long") for i in range(PARTS)])))
+    parts = F.ceil(F.col("size") / PART_ROWS)
+    part, every_part = F.pmod(F.xxhash64("name"), parts), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    dealt = large.withColumn("part", part)
+    least = large.groupBy("node").agg(F.min(F.struct("pos", F.xxhash64("name").alias("h"), "name", "n", "alone", "size", *SKETCH)).alias("p"))
+    least = least.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", "n", "pos", "alone", "size", *SKETCH)])
+    copied = least.withColumn("part", every_part)
     star = dealt.alias("x").join(
         copied.alias("y"), same & (F.col("x.part") == F.col("y.part")) & (F.col("x.name") != F.col("y.name")) & may_link("x", "y", percent)
     )
@@ -229,12 +231,12 @@ def linked(members: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
     vertices = classes.select("name", "label")
     placed = labelled(vertices, components(vertices, measured.where("linked")))
     # What is outside of a long list's largest component, with what is in others.
-    parts = stored(large.join(placed.select("name", F.col("label.name").alias("of")), "name"), "jaccard_parts")
-    counts = parts.groupBy("node", "of").agg(F.count("*").alias("m"))
+    found = stored(large.join(placed.select("name", F.col("label.name").alias("of")), "name"), "jaccard_parts")
+    counts = found.groupBy("node", "of").agg(F.count("*").alias("m"))
     largest = counts.groupBy("node").agg(F.max(F.struct("m", "of")).alias("top"), F.count("*").alias("several")).where("several > 1")
-    mixed = parts.join(largest, "node").withColumn("main", F.col("of") == F.col("top.of")).drop("top", "several")
-    mixed = stored(mixed.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS))), "jaccard_mixed")
-    outside = mixed.where("NOT main").withColumn("part", F.explode(F.array(*[F.lit(i).cast("long") for i in range(PARTS)])))
+    mixed = found.join(largest, "node").withColumn("main", F.col("of") == F.col("top.of")).drop("top", "several")
+    mixed = stored(mixed.withColumn("part", part), "jaccard_mixed")
+    outside = mixed.where("NOT main").withColumn("part", every_part)
     apart = (F.col("x.of") != F.col("y.of")) & (F.col("y.main") | (F.col("x.name") < F.col("y.name")))
     across = outside.alias("x").join(mixed.alias("y"), same & (F.col("x.part") == F.col("y.part")) & apart & may_link("x", "y", percent))
     new = across.select(*pair("x", "y")).join(measured.select("a", "b"), ["a", "b"], "left_anti")

@@ -46,8 +46,8 @@ SKETCH = 0.58
 SKETCHED = 64
 #: Of the nodes, those that choose two coordinates.
 TWICE = 0.25
-#: Parts that a large leaf is dealt into, so that its rows aren't one task's.
-PARTS = 16
+#: Classes of a large leaf that one task compares: a larger leaf is dealt into parts, and who meets all of it goes to each.
+PART_ROWS = 2_000
 SKETCHES = [f"s{i}" for i in range(4)]
 PARITY = [f"p{i}" for i in range(4)]
 FACTS = ["n", *SKETCHES, *PARITY]
@@ -172,14 +172,25 @@ def _within(leaves: DataFrame, percent: int) -> DataFrame:
     return leaves.alias("x").join(leaves.alias("y"), same & _alike("x", "y", percent) & _once("x", "y")).select(*pair("x", "y"))
 
 
+def _parts():
+    return F.ceil(F.col("size") / PART_ROWS)
+
+
+def _part():
+    return F.pmod(F.xxhash64("name"), _parts())
+
+
+def _every_part():
+    return F.explode(F.sequence(F.lit(0).cast("long"), _parts() - 1))
+
+
 def _star(leaves: DataFrame, percent: int) -> DataFrame:
     """Each class of a large leaf with the leaf's pivot."""
-    part = F.pmod(F.xxhash64("name"), F.lit(PARTS))
-    pivots = leaves.groupBy("node").agg(F.max(F.struct("met", F.xxhash64("name").alias("h"), "name", *FACTS)).alias("p"))
-    pivots = pivots.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", *FACTS)])
-    everywhere = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    pivots = leaves.groupBy("node").agg(F.max(F.struct("met", F.xxhash64("name").alias("h"), "name", "size", *FACTS)).alias("p"))
+    pivots = pivots.select("node", *[F.col(f"p.{c}").alias(c) for c in ("name", "size", *FACTS)])
     same = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.name") != F.col("y.name"))
-    return leaves.withColumn("part", part).alias("x").join(everywhere.alias("y"), same & _alike("x", "y", percent)).select(*pair("x", "y"))
+    star = leaves.withColumn("part", _part()).alias("x").join(pivots.withColumn("part", _every_part()).alias("y"), same & _alike("x", "y", percent))
+    return star.select(*pair("x", "y"))
 
 
 def _across(leaves: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
@@ -188,8 +199,8 @@ def _across(leaves: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     counts = parts.groupBy("node", "of").agg(F.count("*").alias("m"))
     largest = counts.groupBy("node").agg(F.max(F.struct("m", "of")).alias("top"), F.count("*").alias("several")).where("several > 1")
     mixed = parts.join(largest, "node").withColumn("main", F.col("of") == F.col("top.of")).drop("top", "several", "met")
-    mixed = stored(mixed.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(PARTS))), "near_mixed")
-    outside = mixed.where("NOT main").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    mixed = stored(mixed.withColumn("part", _part()), "near_mixed")
+    outside = mixed.where("NOT main").withColumn("part", _every_part())
     same = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part"))
     # Of two components at most one is the largest, so one of the pair is outside in any leaf of both.
     apart = (F.col("x.of") != F.col("y.of")) & (F.col("y.main") | (F.col("x.name") < F.col("y.name")))

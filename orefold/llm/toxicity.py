@@ -21,7 +21,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .stored import stored
 
@@ -122,16 +122,14 @@ def _train_part(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def _log_odds(counts: list, totals: dict[bool, float]) -> dict[str, tuple[float, float]]:
-    """Log-odds of tokens and their standard errors; ``counts`` has (token, n_toxic, n_other)."""
+def _log_odds(totals: dict[bool, float]) -> tuple[Column, Column]:
+    """Log-odds of a token with the counts ``toxic`` and ``other``, and their standard error."""
     weight = PRIOR_SHARE * (totals[True] + totals[False])
-    out = {}
-    for token, toxic, other in counts:
-        prior = PRIOR_SHARE * (toxic + other)
-        a, b = toxic + prior, other + prior
-        delta = math.log(a / (totals[True] + weight - a)) - math.log(b / (totals[False] + weight - b))
-        out[token] = (delta, math.sqrt(1 / a + 1 / b))
-    return out
+    toxic, other = F.col("toxic").cast("double"), F.col("other").cast("double")
+    prior = PRIOR_SHARE * (toxic + other)
+    a, b = toxic + prior, other + prior
+    delta = F.log(a / (totals[True] + weight - a)) - F.log(b / (totals[False] + weight - b))
+    return delta, F.sqrt(1 / a + 1 / b)
 
 
 def _draft(counts: list, odds: dict[str, tuple[float, float]], others: float, shrink: float) -> Model:
@@ -233,9 +231,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not sums.t or not sums.o:
         return Model(Scores(), DRIFT, 1.0, 1.0, 0.0, -3.0)
     totals = {True: float(sums.t), False: float(sums.o)}
-    # All tokens of the sampled texts, so their number is bounded by ``TRAIN_ROWS`` texts.
-    counts = sorted(tuple(r) for r in counted.collect())
-    odds = _log_odds(counts, totals)
+    # Of the sampled texts' tokens those that the weakest shrinking leaves a score, so their number
+    # is bounded by ``TRAIN_ROWS`` texts.
+    odds = _log_odds(totals)
+    told = counted.select("*", odds[0].alias("delta"), odds[1].alias("error"))
+    told = told.where(F.abs("delta") - min(SHRINKS) * F.col("error") >= LEAST).collect()
+    counts = sorted((r.token, r.toxic, r.other) for r in told)
+    odds = {r.token: (r.delta, r.error) for r in told}
     drafts = [_draft(counts, odds, totals[False], shrink) for shrink in SHRINKS]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,8 +2,8 @@
 
 A plain ``sum`` of doubles changes in its last digits with the order in which
 partitions arrive, and at cluster totals those digits are cents. ``ExactSum`` reads
-each value as the decimal its text shows, splits it into whole units and a part in
-[0, 1) of eighteen places, and sums both as decimals. Digits beyond the eighteenth
+each value as the decimal its text shows, splits it into whole units and a part of
+eighteen places, and sums both as decimals; values below a million need no split. Digits beyond the eighteenth
 place are rounded away in each value. Only NaN, infinity and values from 1e30 up,
 which such decimals cannot sum, are added as doubles beside it.
 """
@@ -60,9 +60,11 @@ class ExactSum:
         whole = f"coalesce(floor({fine}), try_cast({value} AS {_WHOLE}))"
         part = f"coalesce(CAST(pmod({fine}, 1BD) AS {_PART}), 0BD)"
         slow = f"NOT ({quick}) AND {fits}"
+        # What is small is summed as it is: 10^13 such values still have their twenty digits before the point.
+        small = f"NOT ({quick}) AND abs({as_double}) < 1e6D" if copies == "1L" else "false"
         return self._sums(
-            f"CASE WHEN {slow} THEN {whole} END",
-            f"CASE WHEN {slow} THEN CAST({part} AS {_PART}) END",
+            f"CASE WHEN {small} THEN 0BD WHEN {slow} THEN {whole} END",
+            f"CASE WHEN {small} THEN {fine} WHEN {slow} THEN CAST({part} AS {_PART}) END",
             f"CASE WHEN NOT {fits} THEN {as_double} END",
             weighted_count(value, copies),
             copies,

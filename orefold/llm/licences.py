@@ -69,6 +69,8 @@ UNKNOWN = "unknown"
 ORDINARY_LINES = 2_000
 #: Of the lines that are like no template, the share that may exceed the margin.
 FALSE_ALARMS = 0.0005
+#: Steps of the grid that margins are counted on.
+GRID = 1000
 #: A line with less than this share of every sentence's pairs is like no template.
 UNLIKE = 0.3
 #: Training cuts templates to runs of these numbers of words.
@@ -188,8 +190,12 @@ def fit(docs: DataFrame) -> Model:
     known = sorted({g for r in samples.select("grams").collect() for g in r.grams})  # some hundreds
     starts = ["licensed", "license", "copyright", "rights", "permission", "redistribution"]
     bare = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    # By the hash alone, so that only what is chosen is looked at.
-    chosen = lines(bare).select("line", F.xxhash64("line").alias("h")).orderBy("h", "line").limit(ORDINARY_LINES)
+    # By the hash alone, so that only what is chosen is looked at; a share of the lines that holds some times as
+    # many as are wanted, so that tasks send few of them to the one that sorts.
+    total = _line_count(bare)
+    share = min(1.0, 4 * ORDINARY_LINES / max(total, 1))
+    hashed = lines(bare).select("line", F.xxhash64("line").alias("h"))
+    chosen = hashed.where(F.pmod("h", F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy("h", "line").limit(ORDINARY_LINES)
     ordinary = chosen.select(words(F.col("line")).alias("w")).where(~F.arrays_overlap("w", F.array(*[F.lit(x) for x in starts])))
     held = F.array(*[F.lit(g) for g in known])
     told = ordinary.select(F.array_intersect(grams(F.col("w")), held).alias("grams")).collect()
@@ -204,18 +210,25 @@ def fit(docs: DataFrame) -> Model:
     weights = {g: matrix[:, i].tolist() for g, i in place.items() if abs(matrix[:, i]).max() > 1e-6}
     given = sentences(spark)
     draft = Model(weights, intercepts, families, float("-inf"), given, _keys(bare, given))
-    return replace(draft, threshold=_margin(bare, draft))
+    return replace(draft, threshold=_margin(bare, draft, total))
 
 
-def _margin(docs: DataFrame, draft: Model) -> float:
+def _line_count(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.regexp_count(F.col("text"), F.lit(r"(?m)^.*[\p{L}\p{N}].*$"))).alias("n")).first().n or 0
+
+
+def _margin(docs: DataFrame, draft: Model, total: int) -> float:
     """The margin that ``FALSE_ALARMS`` of the lines like no template exceed. Lines of texts without a key word
     can't be confirmed and count as not exceeding it."""
-    total = docs.agg(F.sum(F.regexp_count(F.col("text"), F.lit(r"(?m)^.*[\p{L}\p{N}].*$"))).alias("n")).first().n or 0
     unlike = _whole_lines(_texts(docs, draft), draft).where(F.col("overlap") < UNLIKE)
-    tail = unlike.orderBy(F.desc("margin")).limit(int(FALSE_ALARMS * total) + 1).agg(F.min("margin").alias("least"), F.count("*").alias("n")).first()
-    # What a line without any weighted gram has.
-    none = max(draft.intercepts[1:]) - draft.intercepts[0]
-    return none if tail.n <= int(FALSE_ALARMS * total) else max(none, tail.least)
+    # Counted on a grid, so that some thousand numbers are sent whatever the number of lines.
+    cells = unlike.groupBy(F.floor(F.col("margin") * GRID).alias("cell")).agg(F.sum("copies")).collect()
+    left, least = int(FALSE_ALARMS * total), max(draft.intercepts[1:]) - draft.intercepts[0]  # that of a line without any weighted gram
+    for cell, n in sorted(map(tuple, cells), reverse=True):
+        left -= n
+        if left < 0:
+            return max(least, (cell + 1) / GRID)
+    return least
 
 
 def _texts(docs: DataFrame, model: Model) -> DataFrame:

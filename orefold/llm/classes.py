@@ -21,6 +21,9 @@ NO_ID = (1 << 63) - 1
 #: more are looked up by a join of two shuffled sides.
 BROADCAST_ROWS = 1_000_000
 NAMED = "doc_id long, row long, n long, name binary"
+#: Parity bits of a full set, 64 to a column: pairs that they show to be too unlike need no full sets.
+WIDE = [f"w{i}" for i in range(16)]
+SETS = "name binary, shingles array<long>, " + ", ".join(f"{w} long" for w in WIDE)
 
 
 def distinct_shingles(block: blocks.Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,6 +63,20 @@ def _full(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             yield pa.record_batch([set_names(hashes, edges), blocks.list_array(hashes.view(np.int64), edges)], ["name", "shingles"])
 
 
+def _sketched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """``_full`` with parity bits: each shingle flips one, so each unlike bit of two sets is an unlike shingle."""
+    for batch in _full(batches, k):
+        sets = batch.column(1)
+        edges = np.asarray(sets.offsets).astype(np.int64)
+        hashes = np.asarray(sets.values).view(np.uint64)[edges[0]:edges[-1]]
+        bit = (blocks.mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(64 * len(WIDE))).astype(np.int64)
+        words = np.zeros((batch.num_rows, len(WIDE)), np.uint64)
+        of = np.repeat(np.arange(batch.num_rows), np.diff(edges))
+        np.bitwise_xor.at(words, (of, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        wide = [pa.array(words[:, i].copy().view(np.int64)) for i in range(len(WIDE))]
+        yield pa.record_batch([*batch.columns, *wide], ["name", "shingles", *WIDE])
+
+
 def only_text(docs: DataFrame) -> DataFrame:
     """doc_id and text alone, whatever else the table holds."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -95,13 +112,20 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     if holders.count() <= BROADCAST_ROWS:
         holders = F.broadcast(holders)
     texts = docs.select(F.xxhash64("doc_id", "text").alias("holder"), "text").join(holders, "holder", "left_semi")
-    sets = texts.select("text").mapInArrow(lambda b: _full(b, k), "name binary, shingles array<long>")
-    sets = stored(sets.join(asked, "name", "left_semi"), f"{label}_sets")
+    # Sets that nobody asked for meet no pair below, so they need not be taken out here.
+    sets = stored(texts.select("text").mapInArrow(lambda b: _sketched(b, k), SETS), f"{label}_sets")
+    # Unlike bits are at most the unlike shingles, so no link is lost; only the other pairs take full sets along.
+    wide = sets.groupBy("name").agg(*[F.first(w).alias(w) for w in WIDE])
+    sides = pairs.join(wide.toDF("b", *[f"b_{w}" for w in WIDE]), "b").join(wide.toDF("a", *[f"a_{w}" for w in WIDE]), "a")
+    flipped = [F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WIDE]
+    possible = (100 + percent) * sum(flipped[1:], flipped[0]) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    sides = stored(sides.select("a", "b", "n_a", "n_b", possible.alias("possible")), f"{label}_possible")
     sets = sets.groupBy("name").agg(F.first("shingles").alias("shingles"))
-    with_both = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
+    with_both = sides.where("possible").join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     linked = 100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    return stored(with_both.withColumn("shared", shared).select("a", "b", linked.alias("linked")), f"{label}_measured")
+    measured = with_both.withColumn("shared", shared).select("a", "b", linked.alias("linked"))
+    return stored(measured.unionByName(sides.where("NOT possible").select("a", "b", F.lit(False).alias("linked"))), f"{label}_measured")
 
 
 def components(vertices: DataFrame, links: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ def _once(a: str, b: str):
 
 
 def _branch(members: DataFrame, level: int) -> DataFrame:
-    """Children of the nodes: (node, name, tokens, n) for each coordinate that the node chooses."""
+    """Children of the nodes: (node, name, tokens) for each coordinate that the node chooses."""
     draw = lambda salt: F.xxhash64(F.lit(salt), F.col("node"))
     one = F.pmod(draw(2 * level), F.lit(COORDINATES)).cast("int")
     other = F.pmod(draw(2 * level + 1), F.lit(COORDINATES)).cast("int")
@@ -138,12 +138,15 @@ def _leaves(classes: DataFrame) -> DataFrame:
     """
     facts = classes.select("name", *FACTS)
     trees = F.explode(F.array(*[F.xxhash64(F.lit(1000 + t)) for t in range(TREES)]))
-    members = classes.select(trees.alias("node"), "name", "n", "tokens")
+    members = classes.select(trees.alias("node"), "name", "tokens")
     # The first level is by far the largest, so tokens stay behind: only what shares a node gets them back.
-    members = _branch(members, 0).select("node", "name", "n")
+    members = _branch(members, 0).select("node", "name")
+    classes = classes.select("name", "tokens")
     found = []
     for level in range(1, DEPTH + 1):
-        sizes = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        # Dealt out once, for the sizes (names are never null, and counting them takes the same columns) and for the join.
+        members = members.repartition("node")
+        sizes = members.groupBy("node").agg(F.count("name").alias("size")).where("size > 1")
         members = stored(members.join(sizes, "node"), f"near_level{level}")
         leaf = F.col("size") <= SMALL
         if level == DEPTH:
@@ -156,11 +159,12 @@ def _leaves(classes: DataFrame) -> DataFrame:
         # Few classes are in large nodes, and deeper nodes have no others.
         branching = active.select("name").distinct()
         classes = stored(classes.join(branching, "name", "left_semi"), f"near_active{level}")
-        members = _branch(active.join(classes.select("name", "tokens"), "name"), level).select("node", "name", "n")
+        members = _branch(active.join(classes, "name"), level).select("node", "name")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     out = stored(out.select("node", "name", "size", (F.col("size") > SMALL).alias("large")), "near_placed_leaves")
+    out = out.repartition("name", "large")
     # A few dozen leaves a class: as many as all trees have for it.
     own = out.groupBy("name", "large").agg(F.collect_set("node").alias("nodes"), F.sum("size").alias("met"))
     return stored(out.join(own, ["name", "large"]).join(facts, "name"), "near_leaves")

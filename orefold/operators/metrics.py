@@ -144,13 +144,16 @@ def revenue_by_instructor(
     country: str = "country",
     k: int | None = None,
     salts: int = SALTS,
+    per_course: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue and enrollments per instructor, highest revenue first.
 
     Enrollments without a known course form the group with a NULL instructor. Pass
-    ``amount="payment_amount"`` for sums of the unconverted amounts.
+    ``amount="payment_amount"`` for sums of the unconverted amounts, and ``per_course`` where
+    ``money_per_course`` of the same enrollments is there already.
     """
-    per_course = money_per_course(enrollments, amount, enrollment, course)
+    if per_course is None:
+        per_course = money_per_course(enrollments, amount, enrollment, course)
     return instructor_revenue(
         per_course, courses, instructors, course, instructor, name, country, k, salts
     )
@@ -207,13 +210,18 @@ def low_engagement(
     max_completion: float | None = None,
     min_enrolled: int | None = None,
     k: int | None = None,
+    per_course: DataFrame | None = None,
 ) -> DataFrame:
     """Completion per course with its enrollments, lowest completion first.
 
     Without limits every course with progress appears. ``max_completion`` and
-    ``min_enrolled`` narrow it to well-attended courses that few people finish.
+    ``min_enrolled`` narrow it to well-attended courses that few people finish. ``per_course``
+    is ``money_per_course`` of the same enrollments, where it is there already.
     """
-    counts = enrollments_per_course(enrollments, enrollment, course, target)
+    if per_course is None:
+        counts = enrollments_per_course(enrollments, enrollment, course, target)
+    else:
+        counts = enrolled(per_course, course, target)
     return by_engagement(
         completion, counts, course, rate, target, max_completion, min_enrolled, k
     )
@@ -248,12 +256,15 @@ def revenue_by_category(
     category: str = "category",
     k: int | None = None,
     salts: int = SALTS,
+    per_course: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue and enrollments per category, highest revenue first.
 
-    The NULL category holds enrollments whose course is unknown.
+    The NULL category holds enrollments whose course is unknown. ``per_course`` is
+    ``money_per_course`` of the same enrollments, where it is there already.
     """
-    per_course = money_per_course(enrollments, amount, enrollment, course)
+    if per_course is None:
+        per_course = money_per_course(enrollments, amount, enrollment, course)
     return category_revenue(per_course, courses, course, category, k, salts)
 
 

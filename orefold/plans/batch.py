@@ -104,27 +104,37 @@ def build_gold(
     silver: Mapping[str, DataFrame], schema: str, retention: Retention | None = None
 ) -> dict[str, DataFrame]:
     enrollments, courses = silver["enrollments"], silver["courses"]
+    spark = enrollments.sparkSession
+    # Three metrics are by course: the enrollments are summed once for all of them.
+    summed = f"{schema}.enrollment_sums"
 
     def store(name: str, df: DataFrame) -> DataFrame:
         return publish(df, f"{schema}.{name}", retention=retention)
 
     def completion() -> dict[str, DataFrame]:
         rates = store(GOLD_COMPLETION, metrics.completion_rate(silver["progress"], courses))
-        low = store(GOLD_LOW_ENGAGEMENT, metrics.low_engagement(rates, enrollments))
+        low = store(GOLD_LOW_ENGAGEMENT, metrics.low_engagement(rates, enrollments, per_course=sums))
         return {GOLD_COMPLETION: rates, GOLD_LOW_ENGAGEMENT: low}
 
     def revenue() -> dict[str, DataFrame]:
-        df = metrics.revenue_by_instructor(enrollments, courses, silver["instructors"])
+        df = metrics.revenue_by_instructor(
+            enrollments, courses, silver["instructors"], per_course=sums
+        )
         return {GOLD_REVENUE: store(GOLD_REVENUE, df)}
 
     def categories() -> dict[str, DataFrame]:
-        df = metrics.revenue_by_category(enrollments, courses)
+        df = metrics.revenue_by_category(enrollments, courses, per_course=sums)
         return {GOLD_CATEGORIES: store(GOLD_CATEGORIES, df)}
 
     steps = {f.__name__: f for f in (completion, revenue, categories)}
     gold: dict[str, DataFrame] = {}
-    for stored in side_by_side(steps).values():
-        gold.update(stored)
+    try:
+        metrics.money_per_course(enrollments).write.mode("overwrite").saveAsTable(summed)
+        sums = spark.table(summed)
+        for stored in side_by_side(steps).values():
+            gold.update(stored)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {summed}")
     return gold
 
 
